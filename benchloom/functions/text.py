@@ -8,7 +8,9 @@ All of them work inside one row, so no helper causes a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The characters Python treats as white space.
 WHITESPACE = (
@@ -74,3 +76,13 @@ def after(col: Column, marker: str) -> Column:
 
 def count_where(array: Column, test) -> Column:
     return F.size(F.filter(array, test)).cast("bigint")
+
+
+def explode_rows(df: DataFrame, keys: Sequence[str], array: Column, pos: str = "pos", value: str = "_v") -> DataFrame:
+    """One row per array element: ``keys, pos, value``.
+
+    An inner explode makes the optimizer add a filter on the array below it, which
+    parses or splits every text a second time.  The outer form has no such filter.
+    """
+    rows = df.select(*keys, F.posexplode_outer(array).alias(pos, value))
+    return rows.where(F.col(pos).isNotNull())

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.text import explode_rows
+
 # --- repositories -----------------------------------------------------------------
 
 
@@ -151,13 +153,12 @@ def issue_mappings(issues: DataFrame, timeline_items: int = 10) -> DataFrame:
     A ``closer`` is a direct link, a ``source`` a cross reference; a timeline
     item may hold both.
     """
-    item = F.explode(F.slice("timeline", 1, timeline_items)).alias("item")
     link = lambda kind, field: F.struct(F.lit(kind).alias("type"), F.col(f"item.{field}").alias("pr"))
-    links = F.explode(F.array(link("linked", "closer"), link("referenced", "source"))).alias("link")
+    links = F.explode_outer(F.array(link("linked", "closer"), link("referenced", "source"))).alias("link")
+    items = explode_rows(issues, issues.columns, F.slice("timeline", 1, timeline_items), "_pos", "item")
     pr = lambda path: F.col(f"link.pr.{path}")
     return (
-        issues.select("*", item)
-        .select("*", links)
+        items.select("*", links)
         .where(F.col("link.pr").isNotNull())
         .select(
             F.col("link.type").alias("type"),

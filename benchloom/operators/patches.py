@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import (
-    FLAGS, LINE_ENDS, SPACE, WHITESPACE, first_group, lines, strip,
+    FLAGS, LINE_ENDS, SPACE, WHITESPACE, explode_rows, first_group, lines, strip,
 )
 
 # What makes a path a test path.
@@ -71,7 +71,7 @@ def _with_file_diffs(df: DataFrame, diff: str, strict: bool) -> DataFrame:
 def diff_files(df: DataFrame, diff: str = "full_patch", strict: bool = False) -> DataFrame:
     """One row per file of every diff: ``position, file, diff``."""
     kept = [c for c in df.columns if c != diff]
-    rows = _with_file_diffs(df, diff, strict).select(*kept, F.posexplode("_files").alias("position", "_f"))
+    rows = explode_rows(_with_file_diffs(df, diff, strict), kept, F.col("_files"), "position", "_f")
     return rows.select(*kept, "position", F.col("_f.key").alias("file"), F.col("_f.diff").alias("diff"))
 
 

@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas
-from ..functions.text import all_matches, count_where, first_group, last, lines, strip
-from ..functions.xml import ATTRIBUTES, attribute, unescape, without_opaque_parts
+from ..functions.text import all_matches, count_where, explode_rows, last, lines, strip
+from ..functions.xml import ATTRIBUTES, attribute, without_opaque_parts
 
 Keys = Sequence[str]
 COUNTERS = ("total", "passed", "failed", "skipped", "errors")
@@ -105,10 +105,9 @@ def junit_cases(
     pick = lambda field, tags: F.coalesce(
         *[F.when(has(t), F.coalesce(first(t, field), F.lit(""))) for t in tags]
     )
+    suites = explode_rows(parse_junit(reports, text, keys, levels), keys, F.col("_suites"), value="_suite")
     return (
-        parse_junit(reports, text, keys, levels)
-        .select(*keys, F.explode("_suites").alias("_suite"))
-        .select(*keys, F.explode("_suite.testcase").alias("_case"))
+        explode_rows(suites, keys, F.col("_suite.testcase"), value="_case")
         .select(
             *keys,
             case["_name"].alias("name"),
@@ -203,7 +202,7 @@ def surefire_cases(reports: DataFrame, text: str = "text", keys: Keys = ("run_id
     fault = last(all_matches(case, rf"<(?:{SUREFIRE_FAULTS})(?=[\s/>]){ATTRIBUTES}>"))
     told = last(all_matches(case, rf"<(?:{SUREFIRE_FAULTS}|skipped)(?=[\s/>]){ATTRIBUTES}>"))
     return (
-        reports.select(*keys, F.posexplode(cases).alias("pos", "_case"))
+        explode_rows(reports, keys, cases, value="_case")
         .select(
             *keys,
             "pos",
@@ -272,10 +271,9 @@ def ctest_cases(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)
     ok = test["Status"] == "passed"
     note = F.get(test["Results"]["Measurement"], F.lit(0))
     told = F.when(~F.coalesce(ok, F.lit(False)) & note.isNotNull(), F.coalesce(note["_VALUE"], F.lit("")))
+    tests = F.flatten(F.transform(doc["Testing"], lambda t: t["Test"]))
     return (
-        reports.select(*keys, doc.alias("_doc"))
-        .select(*keys, F.explode("_doc.Testing").alias("_testing"))
-        .select(*keys, F.posexplode("_testing.Test").alias("pos", "_t"))
+        explode_rows(reports, keys, tests, value="_t")
         .where(test["Name"].isNotNull())
         .select(
             *keys,
@@ -319,9 +317,9 @@ def gtest_cases(
         ok = ok & (F.coalesce(F.size(case["failures"]), F.lit(0)) <= 0)
     told = F.when(~ok & (F.size(case["failures"]) > 0), F.get(case["failures"], F.lit(0))["failure"])
     parsed = reports.select(*keys, _json(F.col(text), schemas.GTEST).alias("_doc"))
+    suites = explode_rows(parsed, keys, F.col("_doc.testsuites"), value="_s")
     suites = (
-        parsed.select(*keys, F.explode("_doc.testsuites").alias("_s"))
-        .select(*keys, "_s", F.explode("_s.testsuite").alias("_c"))
+        explode_rows(suites, [*keys, "_s"], F.col("_s.testsuite"), "_p", "_c")
         .select(
             *keys,
             F.coalesce(case["name"], F.lit("")).alias("name"),
@@ -331,9 +329,9 @@ def gtest_cases(
             told.alias("message"),
         )
     )
+    bare = F.when(F.col("_doc.testsuites").isNull(), F.col("_doc.tests"))
     generic = (
-        parsed.where(F.col("_doc.testsuites").isNull())
-        .select(*keys, F.explode("_doc.tests").alias("_c"))
+        explode_rows(parsed, keys, bare, "_p", "_c")
         .select(
             *keys,
             case["name"].alias("name"),
@@ -349,8 +347,7 @@ def gtest_cases(
 def rspec_tests(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
     example = F.col("_e")
     return (
-        reports.select(*keys, _json(F.col(text), schemas.RSPEC).alias("_doc"))
-        .select(*keys, F.posexplode("_doc.examples").alias("pos", "_e"))
+        explode_rows(reports, keys, _json(F.col(text), schemas.RSPEC)["examples"], value="_e")
         .select(
             *keys,
             "pos",
@@ -455,8 +452,7 @@ def pytest_outcomes(reports: DataFrame, text: str = "text", keys: Keys = ("run_i
     """Node ids of a pytest JSON report; whatever is not ``passed`` has failed."""
     test = F.col("_t")
     return (
-        reports.select(*keys, _json(F.col(text), schemas.PYTEST_REPORT).alias("_doc"))
-        .select(*keys, F.explode("_doc.tests").alias("_t"))
+        explode_rows(reports, keys, _json(F.col(text), schemas.PYTEST_REPORT)["tests"], value="_t")
         .select(
             *keys,
             test["nodeid"].alias("nodeid"),
@@ -489,7 +485,7 @@ def _go_status(action: Column) -> Column:
 def _go_rows(reports: DataFrame, text: str, keys: Keys) -> DataFrame:
     text_of = lambda name: F.coalesce(F.col(f"_e.{name}"), F.lit(""))
     return (
-        reports.select(*keys, F.posexplode(_events(F.col(text), schemas.GO_EVENT)).alias("pos", "_e"))
+        explode_rows(reports, keys, _events(F.col(text), schemas.GO_EVENT), value="_e")
         .where(_good(F.col("_e")))
         .select(
             *keys,
@@ -615,7 +611,7 @@ def rust_tests(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",))
     event = F.col("_e")
     told = F.when(event["event"] == "failed", event["stdout"])
     return (
-        reports.select(*keys, F.posexplode(_events(F.col(text), schemas.RUST_EVENT)).alias("pos", "_e"))
+        explode_rows(reports, keys, _events(F.col(text), schemas.RUST_EVENT), value="_e")
         .where((event["type"] == "test") & event["event"].isin(list(RUST_STATUS)))
         .select(
             *keys,

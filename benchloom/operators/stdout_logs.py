@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import (
-    FLAGS, SPACE, WORD, after, all_matches, count_where, first_group, first_int, from_line_with,
+    FLAGS, SPACE, WORD, after, all_matches, count_where, explode_rows, first_group, first_int,
+    from_line_with,
     last, lines, strip, with_next,
 )
 
@@ -36,7 +37,7 @@ PYTEST_TITLE = rf"(?Uds)_{{10,}}{SPACE}+(.*?){SPACE}+_{{10,}}"
 
 def pytest_tests(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
     """The first result word of every line with the test name behind it."""
-    rows = logs.select(*keys, F.posexplode(lines(F.col(text))).alias("pos", "line"))
+    rows = explode_rows(logs, keys, lines(F.col(text)), value="line")
     return (
         rows.withColumn("status", F.regexp_extract("line", PYTEST_RESULT, 1))
         .where(F.col("status") != "")
@@ -153,7 +154,7 @@ def detect_framework(log: Column) -> Column:
 
 
 def _tests(logs: DataFrame, tests: Column, keys: Keys) -> DataFrame:
-    return logs.select(*keys, F.posexplode(tests).alias("pos", "_t")).select(
+    return explode_rows(logs, keys, tests, value="_t").select(
         *keys, "pos", F.col("_t.name").alias("name"), F.col("_t.status").alias("status")
     )
 
@@ -220,7 +221,7 @@ def _sbt_name(line: Column) -> Column:
 
 def sbt_tests(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
     """Every ``[info] -`` line with a name longer than three characters, as passed."""
-    rows = logs.select(*keys, F.posexplode(lines(F.col(text))).alias("pos", "line"))
+    rows = explode_rows(logs, keys, lines(F.col(text)), value="line")
     return (
         rows.where(_sbt_kind(F.col("line")) == "test")
         .select(*keys, "pos", _sbt_name(F.col("line")).alias("name"), F.lit("passed").alias("status"))
@@ -324,7 +325,7 @@ def maven_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",
 
 def maven_errors(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
     """Positioned compiler errors with their kind; an unlisted kind keeps its text."""
-    rows = logs.select(*keys, F.posexplode(lines(F.col(text))).alias("pos", "message"))
+    rows = explode_rows(logs, keys, lines(F.col(text)), value="message")
     body = F.regexp_extract("message", MAVEN_MESSAGE, 1)
     kind = F.when(F.lit(False), "")
     for sign, name in MAVEN_KINDS:
@@ -339,8 +340,8 @@ def maven_errors(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)
 
 
 def _line_pairs(logs: DataFrame, text: str, keys: Keys) -> DataFrame:
-    pairs = F.posexplode(with_next(lines(F.col(text)))).alias("pos", "_p")
-    return logs.select(*keys, pairs).select(*keys, "pos", "_p.line", "_p.next")
+    pairs = explode_rows(logs, keys, with_next(lines(F.col(text))), value="_p")
+    return pairs.select(*keys, "pos", "_p.line", "_p.next")
 
 
 def maven_stack_errors(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
@@ -358,7 +359,7 @@ def maven_stack_errors(logs: DataFrame, text: str = "stdout", keys: Keys = ("run
     )
     return (
         _line_pairs(logs, text, keys)
-        .select(*keys, "pos", method.alias("method"), F.explode(F.array(assertion, runtime)).alias("_e"))
+        .select(*keys, "pos", method.alias("method"), F.explode_outer(F.array(assertion, runtime)).alias("_e"))
         .where(F.col("_e").isNotNull())
         .select(*keys, "pos", F.col("_e.kind").alias("kind"), F.col("_e.text").alias("text"), "method")
     )

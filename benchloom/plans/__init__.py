@@ -1,6 +1,6 @@
 """Registered queries, their inputs and their SQL counterparts."""
 
-from . import collect_queries  # noqa: F401
+from . import collect_queries, log_queries, patch_queries, report_queries  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
