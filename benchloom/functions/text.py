@@ -86,3 +86,13 @@ def explode_rows(df: DataFrame, keys: Sequence[str], array: Column, pos: str = "
     """
     rows = df.select(*keys, F.posexplode_outer(array).alias(pos, value))
     return rows.where(F.col(pos).isNotNull())
+
+
+def compute_once(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:
+    """``keys`` and one computed column that later steps read but never recompute.
+
+    A filter on a plain projected column is pushed below the projection together with
+    a copy of the expression; a parse would then run once per use.  Filters do not
+    pass a generator, so the value goes through an array of one.
+    """
+    return df.select(*keys, F.explode_outer(F.array(value)).alias(name))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import (
-    FLAGS, LINE_ENDS, SPACE, WHITESPACE, explode_rows, first_group, lines, strip,
+    FLAGS, LINE_ENDS, SPACE, WHITESPACE, compute_once, explode_rows, first_group, lines, strip,
 )
 
 # What makes a path a test path.
@@ -64,7 +64,7 @@ def unique_file_diffs(found: Column) -> Column:
 
 
 def _with_file_diffs(df: DataFrame, diff: str, strict: bool) -> DataFrame:
-    found = df.withColumn("_found", file_diffs(F.col(diff), strict))
+    found = compute_once(df, df.columns, file_diffs(F.col(diff), strict), "_found")
     return found.withColumn("_files", unique_file_diffs(F.col("_found"))).drop("_found")
 
 
@@ -107,7 +107,7 @@ def gold_test_patch(df: DataFrame, diff: str = "full_patch") -> DataFrame:
 
     parts = F.col("_parts")
     return (
-        df.withColumn("_parts", sections)
+        compute_once(df, df.columns, sections, "_parts")
         .withColumn("test_patch", F.array_join(F.filter(parts, is_test), ""))
         .withColumn("gold_patch", F.array_join(F.filter(parts, lambda p: ~is_test(p)), ""))
         .drop("_parts")

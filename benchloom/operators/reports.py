@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas
-from ..functions.text import all_matches, count_where, explode_rows, last, lines, strip
+from ..functions.text import all_matches, compute_once, count_where, explode_rows, last, lines, strip
 from ..functions.xml import ATTRIBUTES, attribute, without_opaque_parts
 
 Keys = Sequence[str]
@@ -78,7 +78,7 @@ def parse_junit(
     """Add ``_suites`` and ``parse_error``; the XML is read once."""
     doc = F.from_xml(F.col(text), F.lit(schemas.junit(levels)), XML_OPTIONS)
     return (
-        reports.select(*keys, doc.alias("_doc"))
+        compute_once(reports, keys, doc, "_doc")
         .withColumn("parse_error", _parse_error("_doc"))
         .select(
             *keys,
@@ -177,7 +177,7 @@ def surefire_suite(reports: DataFrame, text: str = "text", keys: Keys = ("run_id
     """Name and counters in the root tag of a Surefire report."""
     root = F.regexp_extract(without_opaque_parts(F.col(text)), rf"<testsuite(?=[\s/>]){ATTRIBUTES}>", 0)
     count = lambda name: F.coalesce(attribute(F.col("_root"), name).try_cast("bigint"), _zero())
-    return reports.select(*keys, root.alias("_root")).select(
+    return compute_once(reports, keys, root, "_root").select(
         *keys,
         attribute(F.col("_root"), "name").alias("name"),
         *[count(name).alias(name) for name in ("tests", "skipped", "failures", "errors")],
@@ -316,7 +316,7 @@ def gtest_cases(
     if strict:
         ok = ok & (F.coalesce(F.size(case["failures"]), F.lit(0)) <= 0)
     told = F.when(~ok & (F.size(case["failures"]) > 0), F.get(case["failures"], F.lit(0))["failure"])
-    parsed = reports.select(*keys, _json(F.col(text), schemas.GTEST).alias("_doc"))
+    parsed = compute_once(reports, keys, _json(F.col(text), schemas.GTEST), "_doc")
     suites = explode_rows(parsed, keys, F.col("_doc.testsuites"), value="_s")
     suites = (
         explode_rows(suites, [*keys, "_s"], F.col("_s.testsuite"), "_p", "_c")
@@ -375,7 +375,7 @@ def rspec_summary(reports: DataFrame, text: str = "text", keys: Keys = ("run_id"
     n = F.col
     count = lambda name: F.coalesce(F.col(f"_doc.summary.{name}"), _zero())
     return (
-        reports.select(*keys, _json(F.col(text), schemas.RSPEC).alias("_doc"))
+        compute_once(reports, keys, _json(F.col(text), schemas.RSPEC), "_doc")
         .select(
             *keys,
             _parse_error("_doc").alias("parse_error"),
@@ -401,7 +401,7 @@ def mocha_xml(
     doc = F.from_xml(F.col(text), F.lit(ddl), XML_OPTIONS)
     n = F.col
     count = lambda name: F.coalesce(F.col(f"_doc.{name}").try_cast("bigint"), _zero())
-    rows = reports.select(*keys, doc.alias("_doc")).select(
+    rows = compute_once(reports, keys, doc, "_doc").select(
         *keys,
         F.col("_doc._tests").try_cast("bigint").alias("total"),
         F.col("_doc._failures").try_cast("bigint").alias("failed"),
@@ -433,7 +433,7 @@ def jest_json(
     n = F.col
     missing = n("total").isNull() | n("passed").isNull() | n("failed").isNull()
     return (
-        reports.select(*keys, _json(F.col(text), schemas.JEST).alias("_doc"))
+        compute_once(reports, keys, _json(F.col(text), schemas.JEST), "_doc")
         .select(
             *keys,
             doc["numTotalTests"].alias("total"),
@@ -642,7 +642,7 @@ def rust_summary(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",
     n_tests = count_where(events, lambda e: (e["type"] == "test") & e["event"].isin(list(RUST_STATUS)))
     suite_total = suite("passed") + suite("failed") + suite("ignored")
     return (
-        reports.select(*keys, _events(F.col(text), schemas.RUST_EVENT).alias("_events"))
+        compute_once(reports, keys, _events(F.col(text), schemas.RUST_EVENT), "_events")
         .withColumn("_at", F.coalesce(at, F.lit(-1)))
         .withColumn("_suite", F.when(n("_at") >= 0, F.get(events, n("_at"))))
         .select(

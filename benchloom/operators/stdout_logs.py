@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import (
-    FLAGS, SPACE, WORD, after, all_matches, count_where, explode_rows, first_group, first_int,
-    from_line_with,
+    FLAGS, SPACE, WORD, after, all_matches, compute_once, count_where, explode_rows, first_group,
+    first_int, from_line_with,
     last, lines, strip, with_next,
 )
 
@@ -165,7 +165,7 @@ def mocha_tests(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",))
 
 
 def mocha_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
-    return logs.select(*keys, _mocha_summary(F.col(text)).alias("_s")).select(*keys, "_s.*")
+    return compute_once(logs, keys, _mocha_summary(F.col(text)), "_s").select(*keys, "_s.*")
 
 
 def jest_tests(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
@@ -174,13 +174,13 @@ def jest_tests(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",))
 
 def jest_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
     """Counters of the first ``Tests:`` line; a log without one gets ``parse_error``."""
-    return logs.select(*keys, _jest_summary(F.col(text)).alias("_s")).select(*keys, "_s.*")
+    return compute_once(logs, keys, _jest_summary(F.col(text)), "_s").select(*keys, "_s.*")
 
 
 def javascript_tests(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
     """Test rows by the detected framework; none when it is unknown."""
     log, kind = F.col(text), F.col("framework")
-    routed = logs.withColumn("framework", detect_framework(log))
+    routed = compute_once(logs, [*keys, text], detect_framework(log), "framework")
     tests = F.when(kind == "jest", _jest_tests(log)).when(kind == "mocha", _mocha_tests(log))
     return _tests(routed, tests, keys)
 
@@ -199,8 +199,9 @@ def javascript_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run
     summary = (
         F.when(kind == "jest", _jest_summary(log)).when(kind == "mocha", _mocha_summary(log)).otherwise(nothing)
     )
-    routed = logs.withColumn("framework", detect_framework(log))
-    return routed.select(*keys, "framework", summary.alias("_s")).select(*keys, "framework", "_s.*")
+    routed = compute_once(logs, [*keys, text], detect_framework(log), "framework")
+    rows = compute_once(routed, [*keys, "framework"], summary, "_s")
+    return rows.select(*keys, "framework", "_s.*")
 
 
 # --- sbt --------------------------------------------------------------------------
@@ -254,8 +255,8 @@ def sbt_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",))
     bonus = (first_marker > 0) & ((first_test == 0) | (first_marker < first_test))
     n = F.col
     return (
-        logs.where(F.length(text) > 0)
-        .select(*keys, kinds.alias("_kinds"), F.coalesce(last(failures), zero).alias("failed"))
+        compute_once(logs.where(F.length(text) > 0), [*keys, text], kinds, "_kinds")
+        .select(*keys, "_kinds", F.coalesce(last(failures), zero).alias("failed"))
         .withColumn("passed", count_where(n("_kinds"), lambda k: k == "test") + bonus.cast("bigint"))
         .select(
             *keys,
@@ -313,7 +314,7 @@ def maven_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",
         )
         compiled = compiled & ~named
     kept = [*keys] + ([path] if path is not None else [])
-    return logs.select(*kept, log_lines.alias("_lines")).select(
+    return compute_once(logs, kept, log_lines, "_lines").select(
         *keys,
         some("[INFO] BUILD SUCCESS").alias("success"),
         compiled.alias("compiled"),
