@@ -16,7 +16,7 @@ def put(folder, name, text):
 
 def test_jsonl_round_trip(spark, tmp_path):
     out = str(tmp_path / "out")
-    df = spark.createDataFrame([("r", 1, None)], "repo_name STRING, pr_number BIGINT, base_commit STRING")
+    df = spark.createDataFrame([("r", 1, None)], "repo_name STRING, pr_number BIGINT, base_commit STRING").coalesce(1)
     files.append_jsonl(df, out)
     files.append_jsonl(df, out)
     back = files.read_jsonl(spark, out, schemas.MAPPINGS)
