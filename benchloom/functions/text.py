@@ -2,13 +2,13 @@
 
 The formats were defined by programs that use Python's text rules.  The helpers
 here give the JVM functions the same meaning: ``\\n`` is the only line end,
-``\\s`` and ``\\w`` are Unicode classes, ``strip`` trims Unicode white space.
-All of them work inside one row, so no helper causes a shuffle.
+``\\s`` and ``\\w`` are Unicode classes, ``strip`` trims Unicode white space.  Numbers
+are read in ASCII digits.  All helpers work inside one row, so none causes a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,6 +27,15 @@ SPACE = r"[\s\x1c-\x1f]"
 WORD = r"\p{L}\p{N}_"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Use a value several times, or inside a lambda, while it is computed once.
+
+    A column that is written twice is evaluated twice in an interpreted expression,
+    and once per element inside a lambda.  A lambda variable is only read.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(WHITESPACE))
 
@@ -58,7 +67,7 @@ def last(array: Column) -> Column:
 
 def first_int(col: Column, pattern: str) -> Column:
     """The first match as a number, 0 when there is none."""
-    return F.coalesce(first_group(col, pattern).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(F.regexp_extract(col, pattern, 1).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def from_line_with(col: Column, marker: str) -> Column:

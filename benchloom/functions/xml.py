@@ -7,13 +7,14 @@ from pyspark.sql import Column, functions as F
 from .text import all_matches, first_group
 
 # The attribute part of a start tag; quoted values may hold '>'.
-ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
+ATTRIBUTES = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+"""
 COMMENT_OR_CDATA = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 
 
 def without_opaque_parts(xml: Column) -> Column:
     """Drop comments and CDATA; a ``<`` left in well-formed text then starts a tag."""
-    return F.regexp_replace(xml, COMMENT_OR_CDATA, "")
+    cut = F.regexp_replace(xml, COMMENT_OR_CDATA, "")
+    return F.when(F.contains(xml, F.lit("<!")), cut).otherwise(xml)
 
 
 def unescape(col: Column) -> Column:

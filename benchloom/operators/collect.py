@@ -228,26 +228,43 @@ def validate_mappings(mappings: DataFrame) -> DataFrame:
 
 
 def mapping_stats(validated: DataFrame) -> DataFrame:
-    """Per repository: rows, issues and pull requests, in all and valid."""
-    issue_ok, pr_ok, both = F.col("map_issue_ok"), F.col("map_pr_ok"), F.col("map_issue_pr_ok")
-    rows = validated.groupBy("repo_name").agg(
-        F.count("*").alias("num_rows"),
-        F.count_if(issue_ok).alias("num_rows_issue_ok"),
-        F.count_if(pr_ok).alias("num_rows_pr_ok"),
-        F.count_if(both).alias("num_rows_issue_pr_ok"),
-    )
+    """Per repository: rows, issues and pull requests, in all and valid.
 
-    def numbers(side: str, ok: Column) -> DataFrame:
-        per_number = validated.groupBy("repo_name", f"{side}_number").agg(
-            F.bool_or(ok).alias("ok"), F.bool_or(both).alias("valid")
+    Every row counts once for its issue and once for its pull request; one
+    aggregation per number and one per repository give all counters.
+    """
+    n = F.col
+    side = lambda s: F.struct(
+        F.lit(s).alias("side"), n(f"{s}_number").alias("number"), n(f"map_{s}_ok").alias("ok")
+    )
+    numbers = (
+        validated.select(
+            "repo_name", "map_issue_pr_ok", F.explode(F.array(side("issue"), side("pr"))).alias("_n")
         )
-        return per_number.groupBy("repo_name").agg(
-            F.count("*").alias(f"num_{side}s"),
-            F.count_if("ok").alias(f"num_{side}s_{side}_ok"),
-            F.count_if("valid").alias(f"num_{side}s_valid"),
+        .groupBy("repo_name", "_n.side", "_n.number")
+        .agg(
+            F.count("*").alias("n"),
+            F.count_if("map_issue_pr_ok").alias("n_both"),
+            F.bool_or("_n.ok").alias("ok"),
         )
-
-    return rows.join(numbers("issue", issue_ok), "repo_name").join(numbers("pr", pr_ok), "repo_name")
+    )
+    of = lambda s, test=None: n("side") == s if test is None else (n("side") == s) & test
+    rows = lambda value, test: F.sum(F.when(test, n(value)).otherwise(F.lit(0)))
+    return numbers.groupBy("repo_name").agg(
+        rows("n", of("issue")).alias("num_rows"),
+        rows("n", of("issue", n("ok"))).alias("num_rows_issue_ok"),
+        rows("n", of("pr", n("ok"))).alias("num_rows_pr_ok"),
+        rows("n_both", of("issue")).alias("num_rows_issue_pr_ok"),
+        *[
+            F.count_if(of(s, test)).alias(name)
+            for s in ("issue", "pr")
+            for name, test in (
+                (f"num_{s}s", None),
+                (f"num_{s}s_{s}_ok", n("ok")),
+                (f"num_{s}s_valid", n("n_both") > 0),
+            )
+        ],
+    )
 
 
 def flatten_comments(edges: Column) -> Column:

@@ -38,11 +38,10 @@ def _definitions(fn: str, source: str) -> list[tuple]:
             left = min([head.lineno - 1] + [d.lineno for d in decorators[:1]])
             doc = None
         right = node.end_lineno
-        text = lambda a, b: "\n".join(rows[a:b]) + "\n"
         intent = f"{node.name}[{kind}]"
+        code = "\n".join(rows[left:right]) + "\n"
         found.append(
-            (fn, intent, kind, node.name, left, right, text(0, left), text(left, right),
-             text(right, None), doc, f"{fn}:{intent}", len(found))
+            (fn, intent, kind, node.name, left, right, code, doc, f"{fn}:{intent}", len(found))
         )
     return found
 
@@ -51,21 +50,46 @@ def parse_definitions(files: DataFrame, path: str = "path", source: str = "sourc
     """Functions and classes of Python files; a file with a syntax error has none.
 
     The one operator that needs Python: files are parsed independently, batch by
-    batch, so the work spreads over the input partitions.
+    batch, so the work spreads over the input partitions.  The text around a
+    definition is left to ``definition_contexts``.
     """
     names = [field.split()[0] for field in schemas.DEFINITIONS.replace("\n", " ").split(",")]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: list[tuple] = []
         for batch in batches:
             for fn, text in zip(batch["path"], batch["source"]):
-                found = _definitions(fn, text)
-                if found:
+                found += _definitions(fn, text)
+                if len(found) >= 5000:
                     yield pd.DataFrame(found, columns=names)
+                    found = []
+        if found:
+            yield pd.DataFrame(found, columns=names)
 
     wanted = files.select(F.col(path).alias("path"), F.col(source).alias("source"))
     return wanted.where(F.col("source").isNotNull()).mapInPandas(parse, schemas.DEFINITIONS)
 
 
+def definition_contexts(
+    definitions: DataFrame, files: DataFrame, path: str = "path", source: str = "source"
+) -> DataFrame:
+    """Add ``left_context`` and ``right_context``: the lines before and after a definition.
+
+    Every row then holds the text of its whole file, so this comes last, after
+    definitions have been filtered.
+    """
+    rows = files.select(F.col(path).alias("fn"), F.split(source, "\n", -1).alias("_rows"))
+    text = lambda part: F.concat(F.array_join(part, "\n"), F.lit("\n"))
+    before = F.slice("_rows", F.lit(1), F.col("l"))
+    after = F.slice("_rows", F.col("r") + 1, F.size("_rows"))
+    return (
+        definitions.join(rows, "fn")
+        .withColumn("left_context", text(before))
+        .withColumn("right_context", text(after))
+        .drop("_rows")
+    )
+
+
 def rebase_path(path: Column, prefix: str, target: str = "/run_dir/") -> Column:
     """``<prefix><run>/rest`` to ``<target>rest``; other paths stay as they are."""
     rest = F.substring(path, F.lit(len(prefix) + 1), F.length(path))

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import (
-    FLAGS, LINE_ENDS, SPACE, WHITESPACE, compute_once, explode_rows, first_group, lines, strip,
+    FLAGS, LINE_ENDS, SPACE, WHITESPACE, compute_once, explode_rows, first_group, let, lines,
+    strip,
 )
 
 # What makes a path a test path.
@@ -31,36 +32,47 @@ def file_diffs(diff: Column, strict: bool = False) -> Column:
     header with fewer than four words opens no file and its lines are dropped.  Of
     several diffs with one key the last one counts, at the place of the first.
     """
-    parts = F.split(diff, r"(?<=\n)(?=diff --git)", -1)
-    total = F.size(parts)
-
-    def section(part: Column, at: Column) -> Column:
-        header = F.substring_index(part, "\n", 1)
-        words = F.split(strip(header), f"{FLAGS}{SPACE}+", -1)
-        old_path = F.when(F.size(words) >= 4, F.get(words, F.lit(2)))
-        key = F.regexp_replace(old_path, "^a/" if strict else "^[a/]+", "")
+    def key_of(part: Column) -> Column:
+        words = F.split(strip(F.substring_index(part, "\n", 1)), f"{FLAGS}{SPACE}+", -1)
+        old_path = let(words, lambda w: F.when(F.size(w) >= 4, F.get(w, F.lit(2))))
+        if strict:
+            return F.regexp_replace(old_path, "^a/", "")
+        return F.ltrim(old_path, F.lit("a/"))
+
+    def section(part: Column, at: Column, total: Column) -> Column:
         # the line end before the next header separates, it is not part of the diff
         closed = (at < total - 1) & part.endswith("\n")
         text = F.when(closed, F.substring(part, F.lit(1), F.length(part) - 1)).otherwise(part)
         return F.struct(
-            F.when(part.startswith(HEADER), key).alias("key"),
+            F.when(part.startswith(HEADER), key_of(part)).alias("key"),
             at.cast("int").alias("seq"),
             text.alias("diff"),
         )
 
-    found = F.filter(F.transform(parts, section), lambda s: F.length(s["key"]) > 0)
-    return found
+    parts = F.split(diff, r"(?=diff --git)(?<=\n)", -1)
+    sections = let(
+        parts, lambda p: let(F.size(p), lambda n: F.transform(p, lambda x, i: section(x, i, n)))
+    )
+    return F.filter(sections, lambda s: F.length(s["key"]) > 0)
 
 
 def unique_file_diffs(found: Column) -> Column:
     """Apply the last-diff-at-first-place rule to ``file_diffs``."""
+    def newest(keys: Column) -> Column:
+        return let(
+            F.reverse(found),
+            lambda back: let(
+                F.reverse(keys),
+                lambda names: F.transform(
+                    F.array_distinct(keys),
+                    lambda k: F.element_at(back, F.array_position(names, k).cast("int")),
+                ),
+            ),
+        )
+
+    unique = lambda keys: F.size(F.array_distinct(keys)) == F.size(keys)
     keys = F.transform(found, lambda s: s["key"])
-    names = F.array_distinct(keys)
-    backwards = F.reverse(keys)
-    newest = F.transform(
-        names, lambda k: F.element_at(found, F.size(keys) - F.array_position(backwards, k).cast("int") + 1)
-    )
-    return F.when(F.size(names) == F.size(keys), found).otherwise(newest)
+    return let(keys, lambda k: F.when(unique(k), found).otherwise(newest(k)))
 
 
 def _with_file_diffs(df: DataFrame, diff: str, strict: bool) -> DataFrame:
@@ -96,7 +108,7 @@ def gold_test_patch(df: DataFrame, diff: str = "full_patch") -> DataFrame:
     Unlike ``split_test_patch`` any line end counts, line ends are kept, and two
     diffs of one file are both kept.
     """
-    sections = _sections(F.col(diff), f"(?<=[{LINE_ENDS}])(?={HEADER})")
+    sections = _sections(F.col(diff), f"(?={HEADER})(?<=[{LINE_ENDS}])")
 
     def is_test(part: Column) -> Column:
         header = F.regexp_extract(part, f"^[^{LINE_ENDS}]*", 0)
@@ -186,13 +198,16 @@ def repair_start(code: Column) -> Column:
 
 def repair_package(test: Column, source: Column) -> Column:
     """Give the test the package line of its source."""
-    package = first_group(source, r"(?md)^package .*", 0)
-    rows = lines(test)
-    replaced = F.transform(rows, lambda row: F.when(row.startswith("package "), package).otherwise(row))
-    fixed = F.when(
-        F.exists(rows, lambda row: row.startswith("package ")), F.array_join(replaced, "\n")
-    ).otherwise(F.concat(package, F.lit("\n"), test))
-    return F.when(package.isNull(), test).otherwise(fixed)
+    def with_line(package: Column) -> Column:
+        is_package = lambda row: row.startswith("package ")
+        replaced = F.transform(lines(test), lambda row: F.when(is_package(row), package).otherwise(row))
+        return (
+            F.when(package.isNull(), test)
+            .when(F.exists(lines(test), is_package), F.array_join(replaced, "\n"))
+            .otherwise(F.concat(package, F.lit("\n"), test))
+        )
+
+    return let(first_group(source, r"(?md)^package .*", 0), with_line)
 
 
 def _import_lines(code: Column) -> Column:
@@ -210,23 +225,27 @@ def repair_imports(test: Column, source: Column) -> Column:
     Of several source lines that import one name the last text is used, at the
     place of the first.
     """
-    offered = _import_lines(source)
-    names = F.transform(offered, _import_name)
     have = F.transform(_import_lines(test), _import_name)
-    missing = F.filter(F.array_distinct(names), lambda name: ~F.array_contains(have, name))
-    backwards = F.reverse(names)
-    new = F.transform(
-        missing,
-        lambda name: F.element_at(
-            offered, F.size(names) - F.array_position(backwards, name).cast("int") + 1
+    text_of = lambda back, names, name: F.element_at(back, F.array_position(names, name).cast("int"))
+    new = let(
+        F.reverse(_import_lines(source)),
+        lambda back: let(
+            F.transform(back, _import_name),
+            lambda names: F.transform(
+                F.array_except(F.reverse(names), have), lambda name: text_of(back, names, name)
+            ),
         ),
     )
-    rows = lines(test)
-    flags = F.transform(rows, lambda row: row.startswith("package "))
-    at = F.array_position(flags, F.lit(True)).cast("int")
-    head = F.slice(rows, F.lit(1), at)
-    tail = F.slice(rows, at + 1, F.size(rows))
-    return F.array_join(F.concat(head, new, tail), "\n")
+
+    def insert(rows: Column) -> Column:
+        flags = F.transform(rows, lambda row: row.startswith("package "))
+        place = F.array_position(flags, F.lit(True)).cast("int")
+        return let(
+            place,
+            lambda at: F.concat(F.slice(rows, F.lit(1), at), new, F.slice(rows, at + 1, F.size(rows))),
+        )
+
+    return F.array_join(let(lines(test), insert), "\n")
 
 
 def java_test_repair(df: DataFrame, test: str = "test_code", source: str = "source_code") -> DataFrame:
@@ -262,7 +281,7 @@ def fenced_code(text: Column, language: str = "java") -> Column:
 def stub_indent(code: Column) -> Column:
     """White space in front of the first line that is not blank."""
     filled = F.get(F.filter(lines(code), lambda row: strip(row) != ""), F.lit(0))
-    width = F.length(filled) - F.length(F.ltrim(filled, F.lit(WHITESPACE)))
+    width = let(filled, lambda row: F.length(row) - F.length(F.ltrim(row, F.lit(WHITESPACE))))
     return F.coalesce(width, F.lit(0))
 
 

@@ -63,7 +63,7 @@ def _junit_suites(doc: str, levels: int) -> Column:
         if depth == 1:
             return here
         deeper = F.flatten(
-            F.transform(suites, lambda s: F.coalesce(descend(s["testsuite"], depth - 1), F.slice(here, 1, 0)))
+            F.transform(suites, lambda s: F.coalesce(descend(s["testsuite"], depth - 1), none))
         )
         return F.concat(here, deeper)
 
@@ -170,7 +170,6 @@ SUREFIRE_STATE = {
     "error": "error", "rerunError": "error", "flakyError": "error",
     "skipped": "skipped", "system-err": "system-error",
 }
-SUREFIRE_FAULTS = "failure|rerunFailure|flakyFailure|error|rerunError|flakyError"
 
 
 def surefire_suite(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
@@ -193,30 +192,32 @@ def surefire_cases(reports: DataFrame, text: str = "text", keys: Keys = ("run_id
     xml = without_opaque_parts(F.col(text))
     head = rf"<testcase(?=[\s/>]){ATTRIBUTES}"
     cases = all_matches(xml, rf"(?s){head}(?:(?<=/)>|>.*?</testcase\s*>)")
-    tags = "|".join(SUREFIRE_STATE)
-    case = F.col("_case")
-    state_tag = F.col("_tag")
+    # the start tags of a case, its own first; one pass over the text
+    tags = all_matches(F.col("_case"), rf"<(?:testcase|{'|'.join(SUREFIRE_STATE)})(?=[\s/>]){ATTRIBUTES}>")
+    name_of = lambda tag: F.regexp_extract(tag, r"^<([\w-]+)", 1)
+    is_told = lambda tag: ~name_of(tag).isin("testcase", "system-err")
+    is_fault = lambda tag: ~name_of(tag).isin("testcase", "system-err", "skipped")
+    last_tag = name_of(last(F.col("_tags")))
     state = F.lit(None).cast("string")
     for tag, name in SUREFIRE_STATE.items():
-        state = F.when(state_tag == tag, name).otherwise(state)
-    fault = last(all_matches(case, rf"<(?:{SUREFIRE_FAULTS})(?=[\s/>]){ATTRIBUTES}>"))
-    told = last(all_matches(case, rf"<(?:{SUREFIRE_FAULTS}|skipped)(?=[\s/>]){ATTRIBUTES}>"))
+        state = F.when(last_tag == tag, name).otherwise(state)
+    rows = explode_rows(reports, keys, cases, value="_case")
     return (
-        explode_rows(reports, keys, cases, value="_case")
+        compute_once(rows, [*keys, "pos"], tags, "_tags")
         .select(
             *keys,
             "pos",
-            F.regexp_extract(case, rf"{head}>", 0).alias("_head"),
-            last(all_matches(case, rf"<({tags})(?=[\s/>])", 1)).alias("_tag"),
-            fault.alias("_fault"),
-            told.alias("_told"),
+            F.get("_tags", F.lit(0)).alias("_head"),
+            state.alias("_state"),
+            last(F.filter("_tags", is_fault)).alias("_fault"),
+            last(F.filter("_tags", is_told)).alias("_told"),
         )
         .select(
             *keys,
             "pos",
             attribute(F.col("_head"), "name").alias("name"),
             attribute(F.col("_head"), "classname").alias("classname"),
-            F.coalesce(state, F.lit("passed")).alias("status"),
+            F.coalesce("_state", F.lit("passed")).alias("status"),
             attribute(F.col("_told"), "message").alias("message"),
             attribute(F.col("_fault"), "type").alias("error_type"),
         )
@@ -482,20 +483,23 @@ def _go_status(action: Column) -> Column:
     return status
 
 
-def _go_rows(reports: DataFrame, text: str, keys: Keys) -> DataFrame:
+def _go_rows(reports: DataFrame, text: str, keys: Keys, every: bool = False) -> DataFrame:
+    """The events of the logs; with ``every`` also bad lines and logs without a line."""
     text_of = lambda name: F.coalesce(F.col(f"_e.{name}"), F.lit(""))
-    return (
-        explode_rows(reports, keys, _events(F.col(text), schemas.GO_EVENT), value="_e")
-        .where(_good(F.col("_e")))
-        .select(
-            *keys,
-            "pos",
-            text_of("Action").alias("action"),
-            text_of("Package").alias("package"),
-            text_of("Test").alias("test"),
-            F.coalesce("_e.Elapsed", F.lit(0.0)).alias("elapsed"),
-            F.col("_e.Output").alias("output"),
-        )
+    events = _events(F.col(text), schemas.GO_EVENT)
+    if every:
+        rows = reports.select(*keys, F.posexplode_outer(events).alias("pos", "_e"))
+    else:
+        rows = explode_rows(reports, keys, events, value="_e").where(_good(F.col("_e")))
+    return rows.select(
+        *keys,
+        "pos",
+        text_of("Action").alias("action"),
+        text_of("Package").alias("package"),
+        text_of("Test").alias("test"),
+        F.coalesce("_e.Elapsed", F.lit(0.0)).alias("elapsed"),
+        F.col("_e.Output").alias("output"),
+        F.col("_e._corrupt_record").isNotNull().alias("bad"),
     )
 
 
@@ -553,46 +557,44 @@ def go_packages(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)
 def go_summary(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
     """Counters of a Go event log: end events of tests, or package states without any.
 
-    Two partial aggregations over one exploded log; the keys are those of the report.
+    Two aggregations over one exploded log: per package, then per report.  Lines that
+    are no events are counted in ``bad_lines``.
     """
     n = F.col
     status = _go_status(n("action"))
     ended = F.when(status.isNotNull(), n("pos"))
-    is_test = n("test") != ""
     per_package = (
-        _go_rows(reports, text, keys)
-        .groupBy(*keys, "package", is_test.alias("is_test"))
+        _go_rows(reports, text, keys, every=True)
+        .groupBy(*keys, "package", (n("test") != "").alias("is_test"))
         .agg(
             *[F.count_if(status == s).alias(f"n_{s}") for s in GO_STATUS.values()],
             F.max_by(status, ended).alias("last_status"),
+            F.count_if("bad").alias("n_bad"),
         )
     )
-    event = lambda s: F.coalesce(F.sum(F.when(n("is_test"), n(f"n_{s}"))), _zero())
     listed = ~n("is_test") & (n("package") != "")
+    event = lambda s: F.sum(F.when(n("is_test"), n(f"n_{s}")).otherwise(_zero()))
     package = lambda s: F.count_if(listed & (n("last_status") == s))
-    pairs = [F.struct(event(s).alias("t"), package(s).alias("p")).alias(s) for s in GO_STATUS.values()]
-    summed = per_package.groupBy(*keys).agg(*pairs, F.count_if(listed).alias("n_packages"))
-    n_events = sum((n(f"{s}.t") for s in GO_STATUS.values()), _zero())
+    summed = per_package.groupBy(*keys).agg(
+        *[event(s).alias(f"t_{s}") for s in GO_STATUS.values()],
+        *[package(s).alias(f"p_{s}") for s in GO_STATUS.values()],
+        F.count_if(listed).alias("n_packages"),
+        F.sum("n_bad").alias("bad_lines"),
+    )
+    n_events = sum((n(f"t_{s}") for s in GO_STATUS.values()), _zero())
     has_tests = n("n_events") > 0
-    counter = lambda s: F.when(has_tests, n(f"{s}.t")).otherwise(n(f"{s}.p"))
     total = F.when(has_tests, n("n_events")).otherwise(n("n_packages"))
-    events = _events(F.col(text), schemas.GO_EVENT)
-    bad = reports.select(*keys, count_where(events, lambda e: ~_good(e)).alias("bad_lines"))
-    return (
-        bad.join(summed.withColumn("n_events", n_events), list(keys), "left")
-        .na.fill(0, ["n_events", "n_packages"])
-        .select(
-            *keys,
-            total.alias("total"),
-            *[F.coalesce(counter(s), _zero()).alias(s) for s in GO_STATUS.values()],
-            _zero().alias("errors"),
-            total.alias("collected"),
-            F.when(~has_tests, "unknown")
-            .when(n("failed.t") == 0, "passed")
-            .otherwise("failed")
-            .alias("status"),
-            "bad_lines",
-        )
+    return summed.withColumn("n_events", n_events).select(
+        *keys,
+        total.alias("total"),
+        *[F.when(has_tests, n(f"t_{s}")).otherwise(n(f"p_{s}")).alias(s) for s in GO_STATUS.values()],
+        _zero().alias("errors"),
+        total.alias("collected"),
+        F.when(~has_tests, "unknown")
+        .when(n("t_failed") == 0, "passed")
+        .otherwise("failed")
+        .alias("status"),
+        "bad_lines",
     )
 
 

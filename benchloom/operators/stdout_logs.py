@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import (
     FLAGS, SPACE, WORD, after, all_matches, compute_once, count_where, explode_rows, first_group,
-    first_int, from_line_with,
+    first_int, from_line_with, let,
     last, lines, strip, with_next,
 )
 
@@ -48,11 +48,13 @@ def pytest_tests(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)
 def pytest_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
     """The last count per counter, the total of passed, error and failed, and the state."""
     log = F.col(text)
-    found = {key: all_matches(log, rf"\d+ {key}") for key in PYTEST_COUNTERS}
+    found = all_matches(log, rf"\d+ (?:{'|'.join(PYTEST_COUNTERS)})")
+    listed = lambda key: F.filter("_all", lambda m: m.endswith(f" {key}")).alias(f"list_{key}")
     number = lambda key: F.coalesce(
         F.substring_index(last(F.col(f"list_{key}")), " ", 1).try_cast("bigint"), F.lit(0).cast("bigint")
     )
-    counted = logs.select(*keys, *[found[key].alias(f"list_{key}") for key in PYTEST_COUNTERS]).select(
+    one_pass = compute_once(logs, keys, found, "_all")
+    counted = one_pass.select(*keys, *[listed(key) for key in PYTEST_COUNTERS]).select(
         *keys,
         *[number(key).alias(key) for key in PYTEST_COUNTERS],
         *[f"list_{key}" for key in PYTEST_LISTED],
@@ -78,18 +80,18 @@ def pytest_sections(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id
 
 # What the two runners print.
 MOCHA_PASS = rf"(?Udm)^{SPACE}*✓{SPACE}+(.+)$"
-MOCHA_FAIL = rf"(?Udm)^{SPACE}*\d+\){SPACE}+(.+)$"
-MOCHA_BLOCK = rf"(?Uds)\n{SPACE}*\d+\).+?(?=\n{SPACE}*\d+\)|$)"
+MOCHA_FAIL = rf"(?Udm)^{SPACE}*[0-9]+\){SPACE}+(.+)$"
+MOCHA_BLOCK = rf"(?Uds)\n{SPACE}*[0-9]+\).+?(?=\n{SPACE}*[0-9]+\)|$)"
 JEST_FILE = rf"(?Ud)(PASS|FAIL){SPACE}+(.+\.test\.[{WORD}]+)"
-JEST_TOTALS = rf"(?Ud)Tests:{SPACE}+(.+)"
+JEST_TOTALS = rf"(?Ud)Tests:{SPACE}+.+"
 JEST_FAILURE = r"(?Uds)●.+?(?=●|Tests:|$)"
 JEST_SIGNS = (
-    rf"PASS{SPACE}+", rf"FAIL{SPACE}+", rf"Tests:{SPACE}+\d+", rf"Snapshots:{SPACE}+\d+",
-    rf"Time:{SPACE}+[\d.]+{SPACE}*s", "Ran all test suites",
+    rf"PASS{SPACE}", rf"FAIL{SPACE}", rf"Tests:{SPACE}+[0-9]", rf"Snapshots:{SPACE}+[0-9]",
+    rf"Time:{SPACE}+[0-9.]+{SPACE}*s", "Ran all test suites",
 )
 MOCHA_SIGNS = (
-    rf"\d+{SPACE}+passing", rf"\d+{SPACE}+failing", rf"\d+{SPACE}+pending",
-    rf"^{SPACE}*✓{SPACE}+", rf"^{SPACE}*\d+\){SPACE}+",
+    rf"[0-9]{SPACE}+passing", rf"[0-9]{SPACE}+failing", rf"[0-9]{SPACE}+pending",
+    rf"^{SPACE}*✓{SPACE}", rf"^{SPACE}*[0-9]+\){SPACE}",
 )
 
 
@@ -112,37 +114,58 @@ def _jest_tests(log: Column) -> Column:
     )
 
 
-def _mocha_summary(log: Column) -> Column:
-    count = lambda word: first_int(log, rf"(?U)(\d+){SPACE}+{word}")
-    passed, failed = count("passing"), count("failing")
-    block = F.coalesce(first_group(log, MOCHA_BLOCK, 0), F.lit(""))
+def _mocha_totals(log: Column) -> Column:
+    count = lambda word: first_int(log, rf"(?Ud)([0-9]+){SPACE}+{word}")
     return F.struct(
-        passed.alias("passed"),
-        failed.alias("failed"),
-        F.lit(0).cast("bigint").alias("error"),
+        count("passing").alias("passed"),
+        count("failing").alias("failed"),
         count("pending").alias("skipped"),
-        (passed + failed).alias("total"),
-        block.alias("summary_raw"),
-        F.filter(F.array(block), lambda b: b != "").alias("failures"),
-        _state(passed, failed).alias("status"),
-        F.lit(None).cast("string").alias("parse_error"),
+        F.lit(None).cast("bigint").alias("total"),
+        F.regexp_extract(log, MOCHA_BLOCK, 0).alias("summary_raw"),
+        F.array().cast("array<string>").alias("failures"),
     )
 
 
-def _jest_summary(log: Column) -> Column:
-    totals = first_group(log, JEST_TOTALS)
-    there = totals.isNotNull()
-    count = lambda word: F.when(there, first_int(totals, rf"(?U)(\d+){SPACE}+{word}"))
-    return F.struct(
-        count("passed").alias("passed"),
-        count("failed").alias("failed"),
-        F.when(there, F.lit(0).cast("bigint")).alias("error"),
-        count("skipped").alias("skipped"),
-        count("total").alias("total"),
-        F.coalesce(first_group(log, JEST_TOTALS, 0), F.lit("")).alias("summary_raw"),
-        F.transform(all_matches(log, JEST_FAILURE), strip).alias("failures"),
-        F.when(there, _state(count("passed"), count("failed"))).alias("status"),
-        F.when(~there, "no_summary").alias("parse_error"),
+def _jest_totals(log: Column) -> Column:
+    count = lambda line, word: F.when(
+        line != "", first_int(line, rf"(?Ud)([0-9]+){SPACE}+{word}")
+    )
+    return let(
+        F.regexp_extract(log, JEST_TOTALS, 0),
+        lambda line: F.struct(
+            count(line, "passed").alias("passed"),
+            count(line, "failed").alias("failed"),
+            count(line, "skipped").alias("skipped"),
+            count(line, "total").alias("total"),
+            line.alias("summary_raw"),
+            F.transform(all_matches(log, JEST_FAILURE), strip).alias("failures"),
+        ),
+    )
+
+
+def _js_summary(logs: DataFrame, keys: Keys, framework: Column, totals: Column) -> DataFrame:
+    """Summary columns from the totals read out of a log; what follows from them is derived."""
+    n = F.col
+    mocha, jest = framework == "mocha", framework == "jest"
+    zero = F.lit(0).cast("bigint")
+    missing = jest & n("_s.passed").isNull()
+    number = lambda name: F.when(mocha | jest, n(f"_s.{name}")).otherwise(zero).alias(name)
+    block = n("_s.summary_raw")
+    return compute_once(logs, keys, totals, "_s").select(
+        *keys,
+        number("passed"),
+        number("failed"),
+        F.when(~missing, zero).alias("error"),
+        number("skipped"),
+        F.when(mocha, n("_s.passed") + n("_s.failed")).when(jest, n("_s.total")).otherwise(zero).alias("total"),
+        F.coalesce(block, F.lit("")).alias("summary_raw"),
+        F.when(mocha & (block != ""), F.array(block))
+        .otherwise(F.coalesce(n("_s.failures"), F.array().cast("array<string>")))
+        .alias("failures"),
+        F.when(~mocha & ~jest, "unknown")
+        .when(~missing, _state(n("_s.passed"), n("_s.failed")))
+        .alias("status"),
+        F.when(missing, "no_summary").alias("parse_error"),
     )
 
 
@@ -165,7 +188,7 @@ def mocha_tests(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",))
 
 
 def mocha_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
-    return compute_once(logs, keys, _mocha_summary(F.col(text)), "_s").select(*keys, "_s.*")
+    return _js_summary(logs, keys, F.lit("mocha"), _mocha_totals(F.col(text)))
 
 
 def jest_tests(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
@@ -174,7 +197,7 @@ def jest_tests(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",))
 
 def jest_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
     """Counters of the first ``Tests:`` line; a log without one gets ``parse_error``."""
-    return compute_once(logs, keys, _jest_summary(F.col(text)), "_s").select(*keys, "_s.*")
+    return _js_summary(logs, keys, F.lit("jest"), _jest_totals(F.col(text)))
 
 
 def javascript_tests(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
@@ -188,20 +211,9 @@ def javascript_tests(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_i
 def javascript_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)) -> DataFrame:
     """The summary by the detected framework; zeros when it is unknown."""
     log, kind = F.col(text), F.col("framework")
-    zero = F.lit(0).cast("bigint")
-    nothing = F.struct(
-        *[zero.alias(name) for name in ("passed", "failed", "error", "skipped", "total")],
-        F.lit("").alias("summary_raw"),
-        F.array().cast("array<string>").alias("failures"),
-        F.lit("unknown").alias("status"),
-        F.lit(None).cast("string").alias("parse_error"),
-    )
-    summary = (
-        F.when(kind == "jest", _jest_summary(log)).when(kind == "mocha", _mocha_summary(log)).otherwise(nothing)
-    )
+    totals = F.when(kind == "jest", _jest_totals(log)).when(kind == "mocha", _mocha_totals(log))
     routed = compute_once(logs, [*keys, text], detect_framework(log), "framework")
-    rows = compute_once(routed, [*keys, "framework"], summary, "_s")
-    return rows.select(*keys, "framework", "_s.*")
+    return _js_summary(routed, [*keys, "framework"], kind, totals)
 
 
 # --- sbt --------------------------------------------------------------------------
@@ -235,13 +247,11 @@ def sbt_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",))
 
     A success marker counts as one passed test when it comes before any test.
     """
-    log_lines = lines(F.col(text))
-    kinds = F.transform(
-        log_lines,
-        lambda line: F.when(
-            _sbt_kind(line) == "test", F.when(F.length(_sbt_name(line)) > 3, "test")
-        ).otherwise(_sbt_kind(line)),
+    log_lines = F.col("_lines")
+    kind_of = lambda line: let(
+        _sbt_kind(line), lambda k: F.when((k != "test") | (F.length(_sbt_name(line)) > 3), k)
     )
+    kinds = F.transform(log_lines, kind_of)
     failures = F.filter(
         F.transform(
             F.filter(log_lines, lambda line: _sbt_kind(line) == "failed"),
@@ -252,10 +262,11 @@ def sbt_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",))
     zero = F.lit(0).cast("bigint")
     first_test = F.array_position("_kinds", F.lit("test"))
     first_marker = F.array_position("_kinds", F.lit("marker"))
+    filled = logs.where(F.length(text) > 0)
     bonus = (first_marker > 0) & ((first_test == 0) | (first_marker < first_test))
     n = F.col
     return (
-        compute_once(logs.where(F.length(text) > 0), [*keys, text], kinds, "_kinds")
+        compute_once(compute_once(filled, keys, lines(F.col(text)), "_lines"), [*keys, "_lines"], kinds, "_kinds")
         .select(*keys, "_kinds", F.coalesce(last(failures), zero).alias("failed"))
         .withColumn("passed", count_where(n("_kinds"), lambda k: k == "test") + bonus.cast("bigint"))
         .select(

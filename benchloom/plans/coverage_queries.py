@@ -139,6 +139,21 @@ def parse_definitions(t: Tables):
     )
 
 
+@query(f"""
+WITH {RUNS}
+SELECT '/runs/r' || (run_id % 9) || '/src/d' || run_id || '.py' AS fn, CAST(1 + 3 * i + 1 AS INTEGER) AS l,
+  CAST(11 AS BIGINT) AS n_first, CAST(CASE WHEN i = n_lines - 1 THEN 1 ELSE 3 * (n_lines - 1 - i) + 1 END AS BIGINT) AS n_right
+FROM (SELECT *, count(*) OVER (PARTITION BY run_id) AS n_lines FROM dl) WHERE run_id % 10 <> 9 AND n % 3 = 1
+""")
+def definition_contexts(t: Tables):
+    files = python_files(t)
+    found = coverage.parse_definitions(files).where(F.col("intent_name").startswith("g_"))
+    n_lines = lambda c: (F.size(F.split(c, "\n", -1)) - 1).cast("bigint")
+    first = F.length(F.substring_index("left_context", "\n", 1)) + 2
+    whole = coverage.definition_contexts(found, files)
+    return whole.select("fn", "l", first.cast("bigint").alias("n_first"), n_lines("right_context").alias("n_right"))
+
+
 @query(f"""
 WITH {RUNS}
 SELECT '/runs/r' || (run_id % 9) || '/src/d' || run_id || '.py:m[function]' AS source, count(*) AS n

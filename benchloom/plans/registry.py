@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import tune
+from ..session import spread, tune
 
 Plan = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -22,6 +22,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
 
+    @property
+    def documents(self) -> DataFrame:
+        """Texts: much work per row, so a small table is spread over the cores."""
+        return spread(self.spark.read.parquet(f"{self._folder}/documents.parquet"))
+
 
 def query(sql: str | None = None):
     """Register a plan under the name of its function."""

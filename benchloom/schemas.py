@@ -83,7 +83,7 @@ JACOCO = "CLASS STRING, INSTRUCTION_MISSED BIGINT, INSTRUCTION_COVERED BIGINT"
 
 DEFINITIONS = """
   fn STRING, intent STRING, intent_type STRING, intent_name STRING, l INT, r INT,
-  left_context STRING, gt STRING, right_context STRING, doc STRING, source STRING, seq INT
+  gt STRING, doc STRING, source STRING, seq INT
 """
 
 BENCH_TASK_COLUMNS = [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the plans count on.  Skew splitting is set to apply even when
 # it costs another exchange: one repository or task may hold a third of the rows.
@@ -25,6 +25,16 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than cores one partition per core.
+
+    A small file is one split and would be parsed by one core.  A scan that already
+    has a split per core, as any large table does, is returned as it is: no exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def build_session(master: str = "local[8]", app: str = "benchloom", **conf: str) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
     builder = (

@@ -45,7 +45,9 @@ def test_definitions(spark):
         "one_line[function]": (23, 24)}
     doc = got["documented[function]"]
     assert doc.doc == "'Say\\n    so.'" and doc.gt == "    return x\n"
-    assert doc.left_context + doc.gt + doc.right_context == SOURCE + "\n"
+    files = spark.createDataFrame([("a.py", SOURCE)], "path STRING, source STRING")
+    whole = coverage.definition_contexts(coverage.parse_definitions(files), files).where("intent_name = 'documented'").first()
+    assert whole.left_context + whole.gt + whole.right_context == SOURCE + "\n"
     assert doc.source == "a.py:documented[function]" and got["Box[class]"].doc is None
 
 
