@@ -142,7 +142,7 @@ def parse_definitions(t: Tables):
 @query(f"""
 WITH {RUNS}
 SELECT '/runs/r' || (run_id % 9) || '/src/d' || run_id || '.py' AS fn, CAST(1 + 3 * i + 1 AS INTEGER) AS l,
-  CAST(11 AS BIGINT) AS n_first, CAST(CASE WHEN i = n_lines - 1 THEN 1 ELSE 3 * (n_lines - 1 - i) + 1 END AS BIGINT) AS n_right
+  CAST(11 AS BIGINT) AS n_first, CAST(CASE WHEN i = n_lines - 1 THEN 1 ELSE 3 * (n_lines - 1 - i) END AS BIGINT) AS n_right
 FROM (SELECT *, count(*) OVER (PARTITION BY run_id) AS n_lines FROM dl) WHERE run_id % 10 <> 9 AND n % 3 = 1
 """)
 def definition_contexts(t: Tables):
