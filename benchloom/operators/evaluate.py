@@ -80,7 +80,8 @@ def solved(
 
     ``expected`` holds ``(task, nodeid)``.  A task that was evaluated but has no
     expected test is solved; one that was not evaluated failed critically (NULL).
-    Evaluated is a task with an outcome, or with the column ``evaluated`` true.
+    Evaluated is a task with an outcome, or with the column ``evaluated`` true.  A
+    report that lists a test twice is invalid, and its task failed critically.
     The three inputs are stacked and aggregated, so no join can be skewed.
     """
     none = F.lit(None).cast("string")
@@ -99,10 +100,11 @@ def solved(
         kind("expected").alias("expected"),
         kind("passed").alias("passed"),
         F.bool_or(F.col("kind").isin("passed", "run")).alias("ran"),
+        (F.count_if(F.col("kind").isin("passed", "run")) > 1).alias("twice"),
     )
     missed = F.bool_or(F.col("expected") & ~F.col("passed"))
     return tests.groupBy(task).agg(
-        F.when(F.bool_or("ran"), F.when(missed, 0).otherwise(1)).alias("solved")
+        F.when(F.bool_or("ran") & ~F.bool_or("twice"), F.when(missed, 0).otherwise(1)).alias("solved")
     )
 
 

@@ -1,7 +1,8 @@
 """Registered queries, their inputs and their SQL counterparts."""
 
 from . import (  # noqa: F401
-    collect_queries, coverage_queries, evaluate_queries, log_queries, patch_queries, report_queries,
+    collect_queries, coverage_queries, evaluate_queries, job_queries, log_queries, patch_queries,
+    report_queries,
 )
 from .registry import QUERIES, SQL
 

@@ -11,7 +11,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
     "labels conversations"
 ).split()
-PYTHON_QUERIES = {"parse_definitions", "definition_contexts", "duplicate_sources"}
+PYTHON_QUERIES = {"collect_tasks", "parse_definitions", "definition_contexts", "duplicate_sources"}
 
 
 @pytest.fixture(scope="module")
