@@ -203,10 +203,13 @@ def link_cardinality(mappings: DataFrame, side: str) -> DataFrame:
 
     Rows are reduced to distinct links first, so repeated links of a hot number
     are gone before the exchange.  Numbers are per ``repo_name``: the repository
-    of the pull request is not part of its key.
+    of the pull request is not part of its key.  Both sides share one plan up to the
+    distinct links, whose exchange Spark then runs once.
     """
-    other = "pr" if side == "issue" else "issue"
-    links = mappings.select("repo_name", "type", f"{side}_number", f"{other}_number").distinct()
+    links = mappings.select("repo_name", "type", "issue_number", "pr_number")
+    for key in ("repo_name", "issue_number", "pr_number"):
+        links = links.where(F.col(key).isNotNull())
+    links = links.distinct()
     n = lambda kind: F.count_if(F.col("type") == kind)
     linked, referenced = F.col("n_linked"), F.col("n_referenced")
     return (

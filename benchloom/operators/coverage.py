@@ -100,7 +100,10 @@ def rebase_path(path: Column, prefix: str, target: str = "/run_dir/") -> Column:
 def latest_definitions(definitions: DataFrame) -> DataFrame:
     """Of several definitions with one interval in a file, the last (an aggregate)."""
     keys = ["fn", "l", "r"]
-    row = F.struct(*[c for c in definitions.columns if c not in keys])
+    rest = [c for c in definitions.columns if c not in keys]
+    if rest == ["seq"]:
+        return definitions.groupBy(*keys).agg(F.max("seq").alias("seq"))
+    row = F.struct(*rest)
     return definitions.groupBy(*keys).agg(F.max_by(row, "seq").alias("_d")).select(*keys, "_d.*")
 
 

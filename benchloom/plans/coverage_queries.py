@@ -53,7 +53,7 @@ tests AS (SELECT DISTINCT ctx.fn, l, r, test FROM ctx JOIN hits ON hits.fn = ctx
 @query(f"WITH {DEFS} SELECT fn, line, l, r, seq FROM hits WHERE found")
 def line_intervals(t: Tables):
     lines = contexts(t).select("fn", "line").distinct()
-    return coverage.line_intervals(lines, definitions(t)).select("fn", "line", "l", "r", "seq")
+    return coverage.line_intervals(lines, definitions(t).select("fn", "l", "r", "seq"))
 
 
 @query(f"WITH {DEFS} SELECT fn, l, r, test FROM tests")

@@ -15,6 +15,17 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources.files import is_report
 
 
+def state_folder(spark: SparkSession, job: str, default: str | None = None) -> str:
+    """Where a stream keeps its progress: below the shared folder that the cluster names.
+
+    ``default`` is used only on a session that names none.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or default
+    if not root:
+        raise ValueError("the session sets no spark.checkpoint.dir and no default was given")
+    return f"{root.rstrip('/')}/{job}"
+
+
 def stream_jsonl(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
 
