@@ -12,7 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas
-from ..functions.text import all_matches, compute_once, count_where, explode_rows, last, lines, strip
+from ..functions.text import (
+    WHITESPACE, all_matches, compute_once, count_where, explode_rows, last, lines, strip,
+)
 from ..functions.xml import ATTRIBUTES, attribute, without_opaque_parts
 
 Keys = Sequence[str]
@@ -75,16 +77,27 @@ def _junit_suites(doc: str, levels: int) -> Column:
 def parse_junit(
     reports: DataFrame, text: str = "text", keys: Keys = ("run_id",), levels: int = 3
 ) -> DataFrame:
-    """Add ``_suites`` and ``parse_error``; the XML is read once."""
+    """Add ``_suites`` and ``parse_error``; the XML is read once.
+
+    One count or time that is no number voids the report.
+    """
     doc = F.from_xml(F.col(text), F.lit(schemas.junit(levels)), XML_OPTIONS)
-    return (
-        compute_once(reports, keys, doc, "_doc")
-        .withColumn("parse_error", _parse_error("_doc"))
-        .select(
-            *keys,
-            "parse_error",
-            F.when(F.col("parse_error").isNull(), _junit_suites("_doc", levels)).alias("_suites"),
-        )
+    suites = F.when(_parse_error("_doc").isNull(), _junit_suites("_doc", levels))
+    bad = lambda value, kind: value.isNotNull() & strip(value).try_cast(kind).isNull()
+    counters = ("_tests", "_failures", "_errors", "_skipped")
+    bad_count = lambda s: F.greatest(*[F.coalesce(bad(s[name], "bigint"), F.lit(False)) for name in counters])
+    bad_time = lambda s: F.coalesce(
+        F.exists(s["testcase"], lambda c: bad(c["_time"], "double")), F.lit(False)
+    )
+    error = F.coalesce(
+        _parse_error("_doc"),
+        F.when(F.exists("_all", lambda s: bad_count(s) | bad_time(s)), "bad_number"),
+    )
+    parsed = compute_once(reports, keys, doc, "_doc")
+    flat = compute_once(parsed, [*keys, "_doc"], suites, "_all")
+    checked = compute_once(flat, [*keys, "_all"], error, "parse_error")
+    return checked.select(
+        *keys, "parse_error", F.when(F.col("parse_error").isNull(), F.col("_all")).alias("_suites")
     )
 
 
@@ -172,26 +185,43 @@ SUREFIRE_STATE = {
 }
 
 
+def _surefire_root(reports: DataFrame, text: str, keys: Keys) -> DataFrame:
+    """``_xml`` without opaque parts, its ``_root`` tag and ``parse_error``.
+
+    The root must be a ``testsuite`` and closed; a report that was cut off is not read.
+    """
+    n = F.col
+    xml = without_opaque_parts(F.col(text))
+    root = F.regexp_extract(n("_xml"), rf"<[A-Za-z_]{ATTRIBUTES}>", 0)
+    closed = n("_root").endswith("/>") | F.rtrim(n("_xml"), F.lit(WHITESPACE)).endswith("</testsuite>")
+    good = n("_root").rlike(r"^<testsuite[\s/>]") & closed
+    return (
+        compute_once(reports, keys, xml, "_xml")
+        .withColumn("_root", root)
+        .withColumn("parse_error", F.when(~good, "malformed"))
+    )
+
+
 def surefire_suite(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
     """Name and counters in the root tag of a Surefire report."""
-    root = F.regexp_extract(without_opaque_parts(F.col(text)), rf"<testsuite(?=[\s/>]){ATTRIBUTES}>", 0)
-    count = lambda name: F.coalesce(attribute(F.col("_root"), name).try_cast("bigint"), _zero())
-    return compute_once(reports, keys, root, "_root").select(
+    root = F.when(F.col("parse_error").isNull(), F.col("_root"))
+    count = lambda name: F.coalesce(attribute(root, name).try_cast("bigint"), F.when(root.isNotNull(), _zero()))
+    return _surefire_root(reports, text, keys).select(
         *keys,
-        attribute(F.col("_root"), "name").alias("name"),
+        attribute(root, "name").alias("name"),
         *[count(name).alias(name) for name in ("tests", "skipped", "failures", "errors")],
+        "parse_error",
     )
 
 
 def surefire_cases(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
-    """Test rows of Surefire reports.
+    """Test rows of Surefire reports, with the name of their suite.
 
     The state is that of the **last** deciding tag in document order, however deep.
     Comments and CDATA are cut out first, so a tag name can only come from a tag.
     """
-    xml = without_opaque_parts(F.col(text))
     head = rf"<testcase(?=[\s/>]){ATTRIBUTES}"
-    cases = all_matches(xml, rf"(?s){head}(?:(?<=/)>|>.*?</testcase\s*>)")
+    cases = all_matches(F.col("_xml"), rf"(?s){head}(?:(?<=/)>|>.*?</testcase\s*>)")
     # the start tags of a case, its own first; one pass over the text
     tags = all_matches(F.col("_case"), rf"<(?:testcase|{'|'.join(SUREFIRE_STATE)})(?=[\s/>]){ATTRIBUTES}>")
     name_of = lambda tag: F.regexp_extract(tag, r"^<([\w-]+)", 1)
@@ -201,11 +231,14 @@ def surefire_cases(reports: DataFrame, text: str = "text", keys: Keys = ("run_id
     state = F.lit(None).cast("string")
     for tag, name in SUREFIRE_STATE.items():
         state = F.when(last_tag == tag, name).otherwise(state)
-    rows = explode_rows(reports, keys, cases, value="_case")
+    good = _surefire_root(reports, text, keys).where(F.col("parse_error").isNull())
+    good = good.withColumn("suite", attribute(F.col("_root"), "name"))
+    rows = explode_rows(good, [*keys, "suite"], cases, value="_case")
     return (
-        compute_once(rows, [*keys, "pos"], tags, "_tags")
+        compute_once(rows, [*keys, "suite", "pos"], tags, "_tags")
         .select(
             *keys,
+            "suite",
             "pos",
             F.get("_tags", F.lit(0)).alias("_head"),
             state.alias("_state"),
@@ -214,6 +247,7 @@ def surefire_cases(reports: DataFrame, text: str = "text", keys: Keys = ("run_id
         )
         .select(
             *keys,
+            "suite",
             "pos",
             attribute(F.col("_head"), "name").alias("name"),
             attribute(F.col("_head"), "classname").alias("classname"),
@@ -225,9 +259,12 @@ def surefire_cases(reports: DataFrame, text: str = "text", keys: Keys = ("run_id
 
 
 def surefire_ids(cases: DataFrame) -> DataFrame:
-    """``"class name"`` ids with an outcome; skipped tests are left out."""
+    """``"suite test"`` ids with an outcome; skipped tests are left out.
+
+    A report describes one class, so the name of the suite stands for the class.
+    """
     outcome = F.when(F.col("status") == "passed", "passed").when(F.col("status") != "skipped", "failed")
-    rows = cases.withColumn("nodeid", F.concat_ws(" ", "classname", "name")).withColumn("outcome", outcome)
+    rows = cases.withColumn("nodeid", F.concat_ws(" ", "suite", "name")).withColumn("outcome", outcome)
     return rows.where(F.col("outcome").isNotNull())
 
 
@@ -241,7 +278,7 @@ def status_lists(cases: DataFrame, group: Sequence[str], order: str = "pos") ->
 
 
 def status_pivot(cases: DataFrame, group: Sequence[str], order: str = "pos") -> DataFrame:
-    """One row per report and class with one sorted name list per state.
+    """One row per report and suite with one sorted name list per state.
 
     ``group`` must hold the report key: a list is then never longer than its report.
     """

@@ -156,37 +156,37 @@ SELECT run_id, ln AS name, 'com.C' || (i % 2) AS classname, {STATE} AS status,
 FROM dl
 """)
 def surefire_cases(t: Tables):
-    return reports.surefire_cases(surefire_reports(t)).drop("pos")
+    return reports.surefire_cases(surefire_reports(t)).drop("pos", "suite")
 
 
 @query(f"""
 WITH {RUNS}
 SELECT run_id, 'com.S' || run_id AS name, count(*) AS tests, CAST(0 AS BIGINT) AS skipped,
-       count(*) FILTER (WHERE n % 8 = 1) AS failures, CAST(0 AS BIGINT) AS errors FROM dl GROUP BY 1
+       count(*) FILTER (WHERE n % 8 = 1) AS failures, CAST(0 AS BIGINT) AS errors, CAST(NULL AS VARCHAR) AS parse_error FROM dl GROUP BY 1
 """)
 def surefire_suite(t: Tables):
     return reports.surefire_suite(surefire_reports(t))
 
 
 @query(f"""
-WITH {RUNS}, s AS (SELECT *, {STATE} AS st, 'com.C' || (i % 2) AS classname FROM dl)
-SELECT run_id, classname, string_agg(ln, chr(10) ORDER BY i) FILTER (WHERE st = 'passed') AS passed,
+WITH {RUNS}, s AS (SELECT *, {STATE} AS st, 'com.S' || run_id AS suite FROM dl)
+SELECT run_id, suite, string_agg(ln, chr(10) ORDER BY i) FILTER (WHERE st = 'passed') AS passed,
   string_agg(ln, chr(10) ORDER BY i) FILTER (WHERE st = 'failure') AS failure,
   string_agg(ln, chr(10) ORDER BY i) FILTER (WHERE st = 'system-error') AS system_error
 FROM s GROUP BY ALL
 """)
 def status_pivot(t: Tables):
-    wide = reports.status_pivot(reports.surefire_cases(surefire_reports(t)), ["run_id", "classname"])
+    wide = reports.status_pivot(reports.surefire_cases(surefire_reports(t)), ["run_id", "suite"])
     text = lambda name: F.when(F.size(f"`{name}`") > 0, F.array_join(F.col(f"`{name}`"), "\n"))
     return wide.select(
-        "run_id", "classname", text("passed").alias("passed"), text("failure").alias("failure"),
+        "run_id", "suite", text("passed").alias("passed"), text("failure").alias("failure"),
         text("system-error").alias("system_error"),
     )
 
 
 @query(f"""
 WITH {RUNS}, s AS (SELECT *, {STATE} AS st FROM dl)
-SELECT run_id, 'com.C' || (i % 2) || ' ' || ln AS nodeid, CASE st WHEN 'passed' THEN 'passed' ELSE 'failed' END AS outcome
+SELECT run_id, 'com.S' || run_id || ' ' || ln AS nodeid, CASE st WHEN 'passed' THEN 'passed' ELSE 'failed' END AS outcome
 FROM s WHERE st <> 'skipped'
 """)
 def surefire_ids(t: Tables):

@@ -79,12 +79,25 @@ def test_surefire_suite_ids_and_lists(one):
     assert (s.name, s.tests, s.failures, s.errors, s.skipped) == ("com.A", 3, 1, 0, 0)
     got = reports.surefire_cases(rep(one, text))
     ids = [(r.nodeid, r.outcome) for r in reports.surefire_ids(got).orderBy("pos").collect()]
-    assert ids == [("K a", "passed"), ("K b", "failed")]
-    wide = reports.status_pivot(got, ["run_id", "classname"]).first()
+    assert ids == [("com.A a", "passed"), ("com.A b", "failed")]
+    wide = reports.status_pivot(got, ["run_id", "suite"]).first()
     assert (wide["passed"], wide["failure"], wide["skipped"]) == (["a"], ["b"], ["c"])
     assert reports.status_lists(got, ["classname"]).count() == 3
 
 
+@pytest.mark.parametrize("text", ["<testsuites><testsuite name='a'/></testsuites>", "<testsuite name='a'><testcase name='b'/>", ""])
+def test_surefire_wrong_root_or_cut_off(one, text):
+    assert reports.surefire_suite(rep(one, text)).first().parse_error == "malformed"
+    assert reports.surefire_cases(rep(one, text)).count() == 0
+
+
+@pytest.mark.parametrize("text", ['<testsuite tests="many"/>', '<testsuite tests="1"><testcase name="a" time="1,5"/></testsuite>'])
+def test_junit_bad_number_voids_the_report(one, text):
+    s = reports.junit_summary(rep(one, text)).first()
+    assert (s.parse_error, s.total, s.status) == ("bad_number", None, None)
+    assert reports.junit_cases(rep(one, text)).count() == 0
+
+
 def test_ctest(one):
     text = ("<Site><Testing><TestList><Test>./x</Test></TestList>"
             "<Test><Status>passed</Status><Name>a</Name><Path>.</Path></Test>"
