@@ -1,6 +1,7 @@
 """Whole jobs: the operators put together, from input tables to the result table.
 
-Each job is one lazy plan.  ``processed`` arguments hold the keys that earlier runs
+Each job is one lazy plan; only ``collect_tasks`` stores its parsed definitions on the
+way, where the cluster names a folder for that.  ``processed`` arguments hold the keys that earlier runs
 have written; those items are left out.
 """
 
@@ -10,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import cut_lineage
 from . import collect, coverage, evaluate, metrics, patches, reports, stdout_logs
 
 
@@ -136,7 +138,7 @@ def collect_tasks(
     ``contexts`` holds the covered lines (``fn, line, context``), ``outcomes`` the
     results of the test run (``nodeid, outcome``).
     """
-    definitions = coverage.parse_definitions(files, path, source)
+    definitions = cut_lineage(coverage.parse_definitions(files, path, source))
     tests = coverage.definition_tests(contexts, definitions)
     keys = ["fn", "l", "r"]
     rate = coverage.coverage_rate(contexts, definitions).select(*keys, "coverage_rate")

@@ -101,16 +101,23 @@ def parse_junit(
     )
 
 
+def _junit_total(name: str) -> Column:
+    number = lambda s: F.coalesce(strip(s[name]).try_cast("bigint"), _zero())
+    return F.aggregate(F.col("_suites"), _zero(), lambda acc, s: acc + number(s))
+
+
 def junit_cases(
     reports: DataFrame,
     text: str = "text",
     keys: Keys = ("run_id",),
     levels: int = 3,
     class_attribute: str = "classname",
+    skip_empty: bool = False,
 ) -> DataFrame:
     """Test rows of JUnit reports.  Precedence: failure, error, skipped, passed.
 
-    PHP reports name the class in ``class`` instead of ``classname``.
+    PHP reports name the class in ``class`` instead of ``classname``.  ``skip_empty``
+    leaves out reports that count no test, as ``merge_reports`` does.
     """
     case = F.col("_case")
     first = lambda tag, field: F.get(case[tag], F.lit(0))[field]
@@ -118,7 +125,10 @@ def junit_cases(
     pick = lambda field, tags: F.coalesce(
         *[F.when(has(t), F.coalesce(first(t, field), F.lit(""))) for t in tags]
     )
-    suites = explode_rows(parse_junit(reports, text, keys, levels), keys, F.col("_suites"), value="_suite")
+    kept = F.col("_suites")
+    if skip_empty:
+        kept = F.when(_junit_total("_tests") > 0, kept)
+    suites = explode_rows(parse_junit(reports, text, keys, levels), keys, kept, value="_suite")
     return (
         explode_rows(suites, keys, F.col("_suite.testcase"), value="_case")
         .select(
@@ -148,8 +158,6 @@ def junit_summary(
 
     ``need_tests`` (C++ reports): a report without tests has failed.
     """
-    attr = lambda s, name: F.coalesce(strip(s[name]).try_cast("bigint"), _zero())
-    total = lambda name: F.aggregate(F.col("_suites"), _zero(), lambda acc, s: acc + attr(s, name))
     n = F.col
     good = n("failed") + n("errors") == 0
     if need_tests:
@@ -159,10 +167,10 @@ def junit_summary(
         .select(
             *keys,
             "parse_error",
-            total("_tests").alias("total"),
-            total("_failures").alias("failed"),
-            total("_errors").alias("errors"),
-            total("_skipped").alias("skipped"),
+            _junit_total("_tests").alias("total"),
+            _junit_total("_failures").alias("failed"),
+            _junit_total("_errors").alias("errors"),
+            _junit_total("_skipped").alias("skipped"),
         )
         .withColumn("passed", n("total") - n("failed") - n("errors") - n("skipped"))
         .select(
@@ -714,7 +722,7 @@ def merge_reports(summaries: DataFrame, keys: Keys = ("run_id",)) -> DataFrame:
 
 
 def merge_tests(tests: DataFrame, summaries: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The test rows of the reports that ``merge_reports`` keeps."""
+    """The test rows of the reports that ``merge_reports`` keeps, for any kind of report."""
     kept = summaries.where(F.col("total") > 0).select(*keys).distinct()
     return tests.join(kept, list(keys), "left_semi")
 

@@ -103,7 +103,7 @@ def merge_reports(t: Tables):
     files = junit_reports(t)
     keys = ["source", "run_id"]
     summaries = reports.junit_summary(files, keys=keys)
-    tests = reports.merge_tests(reports.junit_cases(files, keys=keys), summaries, keys)
+    tests = reports.junit_cases(files, keys=keys, skip_empty=True)
     counted = tests.groupBy("source").agg(F.count("*").alias("n_tests"))
     return reports.merge_reports(summaries, ["source"]).join(counted, "source")
 

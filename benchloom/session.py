@@ -35,6 +35,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store a result that a plan reads several times in the cluster's shared folder.
+
+    The folder is the one that the session names in ``spark.checkpoint.dir``.  Without
+    one the plan stays as it is and the result is computed once per use.
+    """
+    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df
+
+
 def build_session(master: str = "local[8]", app: str = "benchloom", **conf: str) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
     builder = (

@@ -9,8 +9,11 @@ from benchloom.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("local[4]", "tests", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("checkpoints"))
+    session = build_session(
+        "local[4]", "tests", **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": folder}
+    )
     yield session
     session.stop()
 

@@ -59,7 +59,8 @@ def test_discovery(spark, tmp_path):
 
 def test_every_file_is_processed_once(spark, tmp_path):
     root, sink = tmp_path / "runs", str(tmp_path / "sink")
-    state = incremental.state_folder(spark, "outcomes", str(tmp_path / "state"))
+    state = incremental.state_folder(spark, "outcomes")
+    assert state == spark.conf.get("spark.checkpoint.dir") + "/outcomes"
     text = lambda n: json.dumps({"tests": [{"nodeid": f"t{n}", "outcome": "passed"}]})
     parse = lambda batch: reports.pytest_outcomes(batch, keys=["path"])
 

@@ -197,6 +197,16 @@ def test_merge_drops_empty_reports(spark):
     assert first.total == 2
 
 
+def test_merge_keeps_the_tests_of_counted_reports(one, spark):
+    empty = '<testsuite tests="0"><testcase name="x"/></testsuite>'
+    both = rep(one, SUITE).withColumn("path", F.lit("a")).unionByName(rep(one, empty).withColumn("path", F.lit("b")))
+    keys = ["run_id", "path"]
+    total = reports.junit_summary(both, keys=keys)
+    kept = reports.merge_tests(reports.junit_cases(both, keys=keys), total, keys)
+    assert sorted(r.name for r in kept.collect()) == ["bad", "err", "ok", "skip"]
+    assert reports.junit_cases(both, keys=keys, skip_empty=True).count() == 4
+
+
 def test_choose_js_report(spark):
     side = lambda *ids: spark.createDataFrame([(i, n) for i, n in ids], "run_id STRING, total INT")
     mocha, jest = side(("a", 1), ("b", 2)), side(("b", 3), ("c", 4))
