@@ -137,15 +137,17 @@ def effective_intervals(definitions: DataFrame) -> DataFrame:
 
 
 def line_intervals(
-    lines: DataFrame, definitions: DataFrame, strict: bool = False, block: int = BLOCK
+    lines: DataFrame, definitions: DataFrame, strict: bool = False, block: int = BLOCK,
+    unique: bool = False,
 ) -> DataFrame:
     """Lines joined with the definitions found for them (``lines`` holds ``fn, line``).
 
     A range join turned into an equi join on ``(fn, block of lines)``; each line has
     one block, so a pair is found once.  ``strict`` takes every interval that
-    contains the line.
+    contains the line.  ``unique``, here and below: ``definitions`` comes from
+    ``latest_definitions``.
     """
-    intervals = latest_definitions(definitions)
+    intervals = definitions if unique else latest_definitions(definitions)
     end = "r" if strict else "r_eff"
     if not strict:
         intervals = effective_intervals(intervals)
@@ -161,7 +163,9 @@ def line_intervals(
     )
 
 
-def definition_tests(contexts: DataFrame, definitions: DataFrame, strict: bool = False) -> DataFrame:
+def definition_tests(
+    contexts: DataFrame, definitions: DataFrame, strict: bool = False, unique: bool = False
+) -> DataFrame:
     """``(fn, l, r, test)``: the tests that run through a definition, each once.
 
     ``contexts`` holds ``fn, line, context``.  Empty contexts are dropped and
@@ -171,7 +175,7 @@ def definition_tests(contexts: DataFrame, definitions: DataFrame, strict: bool =
     test = F.substring_index("context", "[", 1)
     rows = contexts.where(F.col("context") != "").select("fn", "line", test.alias("test")).distinct()
     keys = definitions.select("fn", "l", "r", "seq")
-    return line_intervals(rows, keys, strict).select("fn", "l", "r", "test").distinct()
+    return line_intervals(rows, keys, strict, unique=unique).select("fn", "l", "r", "test").distinct()
 
 
 def definition_outcomes(tests: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -185,14 +189,14 @@ def definition_outcomes(tests: DataFrame, outcomes: DataFrame) -> DataFrame:
     return named.join(known, "nodeid").select("fn", "l", "r", list_name.alias("list"), "nodeid")
 
 
-def coverage_rate(covered: DataFrame, definitions: DataFrame) -> DataFrame:
+def coverage_rate(covered: DataFrame, definitions: DataFrame, unique: bool = False) -> DataFrame:
     """Percentage of the lines of a definition that were run, to two decimals.
 
     ``covered`` holds ``fn, line``; lines are made distinct before the range join.
     """
-    intervals = latest_definitions(definitions)
+    intervals = definitions if unique else latest_definitions(definitions)
     lines = covered.select("fn", "line").distinct()
-    found = line_intervals(lines, definitions.select("fn", "l", "r", "seq"), strict=True)
+    found = line_intervals(lines, definitions.select("fn", "l", "r", "seq"), strict=True, unique=unique)
     counts = found.groupBy("fn", "l", "r").agg(F.count("*").alias("n_covered"))
     n = F.coalesce("n_covered", F.lit(0)).cast("double")
     rate = F.bround(F.lit(100.0) * n / (F.col("r") - F.col("l") + 1), 2)
@@ -212,7 +216,9 @@ def good_candidates(problems: DataFrame) -> DataFrame:
     return problems.agg(F.count_if(good).alias("n_good"), F.count("*").alias("n_all"))
 
 
-def problem_table(definitions: DataFrame, tests: DataFrame, outcomes: DataFrame) -> DataFrame:
+def problem_table(
+    definitions: DataFrame, tests: DataFrame, outcomes: DataFrame, unique: bool = False
+) -> DataFrame:
     """Every definition with the number of its covering, passing and failing tests."""
     keys = ["fn", "l", "r"]
     n_tests = tests.groupBy(*keys).agg(F.count("*").alias("n_tests"))
@@ -221,5 +227,6 @@ def problem_table(definitions: DataFrame, tests: DataFrame, outcomes: DataFrame)
         F.count_if(F.col("list") == "FAIL_TO_PASS").alias("n_fail_to_pass"),
     )
     counters = ["n_tests", "n_pass_to_pass", "n_fail_to_pass"]
-    rows = latest_definitions(definitions).join(n_tests, keys, "left").join(listed, keys, "left")
+    rows = definitions if unique else latest_definitions(definitions)
+    rows = rows.join(n_tests, keys, "left").join(listed, keys, "left")
     return rows.na.fill(0, counters)

@@ -138,8 +138,9 @@ def collect_tasks(
     ``contexts`` holds the covered lines (``fn, line, context``), ``outcomes`` the
     results of the test run (``nodeid, outcome``).
     """
-    definitions = cut_lineage(coverage.parse_definitions(files, path, source))
-    tests = coverage.definition_tests(contexts, definitions)
+    definitions = cut_lineage(coverage.latest_definitions(coverage.parse_definitions(files, path, source)))
+    spans = definitions.select("fn", "l", "r", "seq")
+    tests = coverage.definition_tests(contexts, spans, unique=True)
     keys = ["fn", "l", "r"]
-    rate = coverage.coverage_rate(contexts, definitions).select(*keys, "coverage_rate")
-    return coverage.problem_table(definitions, tests, outcomes).join(rate, keys)
+    rate = coverage.coverage_rate(contexts, spans, unique=True).select(*keys, "coverage_rate")
+    return coverage.problem_table(definitions, tests, outcomes, unique=True).join(rate, keys)

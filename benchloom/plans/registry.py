@@ -13,6 +13,10 @@ QUERIES: dict[str, Plan] = {}
 SQL: dict[str, str] = {}
 
 
+# Tables with much work per row or many rows; a small one is spread over the cores.
+WORKED_ON = {"documents", "lineitem", "orders"}
+
+
 class Tables:
     """The tables of one scale-factor folder as attributes."""
 
@@ -20,12 +24,8 @@ class Tables:
         self.spark, self._folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
-
-    @property
-    def documents(self) -> DataFrame:
-        """Texts: much work per row, so a small table is spread over the cores."""
-        return spread(self.spark.read.parquet(f"{self._folder}/documents.parquet"))
+        df = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return spread(df) if name in WORKED_ON else df
 
 
 def query(sql: str | None = None):
