@@ -231,7 +231,7 @@ UNION ALL SELECT 'pass_oracle@1', sum(pass_gt)::DOUBLE, round(avg(pass_gt), 9),
 UNION ALL SELECT 'execution_success', sum(status)::DOUBLE, round(avg(status), 9), count(*) - count(status) FROM f
 UNION ALL SELECT 'num_samples', count(*)::DOUBLE, 1.0, 0 FROM f
 """)
-def realcode_metrics(t: Tables):
+def completion_metrics(t: Tables):
     renamed = metrics.rename_metrics(task_metrics(t))
     return metrics.sum_and_mean(renamed, renamed.columns).withColumn("mean", F.round("mean", 9))
 
