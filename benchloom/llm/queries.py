@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality
+from . import prefix_counts, quality, token_blocks
+from .folders import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +23,21 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op2_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    blocks = shared_folder(spark, "token-blocks")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    token_blocks.write_tokens(_table(spark, folder, "documents"), blocks, path, end_id=1)
+    return token_blocks.read_tokens(spark, blocks, with_ids=False)
+
+
+@_query
+def op10_prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counts = prefix_counts.count_tokens(_table(spark, folder, "documents"), "doc_id", path, budget=1024)
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 @_query
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_table(spark, folder, "documents"), ["doc_id"])
