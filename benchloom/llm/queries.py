@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import prefix_counts, quality, token_blocks
+from . import language_kernel, merge_dropout, prefix_counts, quality, simhash_trees, token_blocks
 from .folders import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,25 @@ def op2_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return token_blocks.read_tokens(spark, blocks, with_ids=False)
 
 
+@_query
+def op3_language_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    away = language_kernel.held_out(F.col("doc_id"), 4)
+    model = language_kernel.train(documents.where(~away))
+    judged = language_kernel.predict(documents, model)
+    return judged.select("doc_id", away.alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op4_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    return merge_dropout.encode(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query
+def op9_simhash_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_trees.near_duplicates(_table(spark, folder, "documents"))
+
+
 @_query
 def op10_prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
