@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_kernel, merge_dropout, prefix_counts, quality, simhash_trees, token_blocks
+from . import (
+    bin_packing, language_kernel, merge_dropout, prefix_counts, projection_forest, quality, simhash_trees, token_blocks,
+)
 from .folders import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +47,17 @@ def op4_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
     return merge_dropout.encode(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@_query
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return bin_packing.pack_documents(_table(spark, folder, "documents"))
+
+
+@_query
+def op8_projection_forest(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = _table(spark, folder, "embeddings")
+    return projection_forest.nearest(embeddings, embeddings.where("vec_id % 20 = 0"))
+
+
 @_query
 def op9_simhash_trees(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_trees.near_duplicates(_table(spark, folder, "documents"))
