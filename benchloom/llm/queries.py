@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    bin_packing, language_kernel, merge_dropout, prefix_counts, projection_forest, quality, simhash_trees, token_blocks,
+    bin_packing, language_kernel, line_dedup, merge_dropout, prefix_counts, projection_forest, quality, simhash_trees, token_blocks,
 )
 from .folders import shared_folder
 
@@ -25,6 +25,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @_query
 def op2_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
     blocks = shared_folder(spark, "token-blocks")
