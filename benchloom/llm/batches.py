@@ -29,8 +29,9 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = PIECE_BY
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
-    """A text column in which null is empty."""
-    return pc.fill_null(batch.column(column).cast(pa.large_string()), "")
+    """A text column in which null is empty, in buffers of its own: some functions misread a slice."""
+    texts = pc.fill_null(batch.column(column).cast(pa.large_string()), "")
+    return pa.concat_arrays([texts, pa.array([], texts.type)])
 
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:

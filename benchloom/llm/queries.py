@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    bin_packing, language_kernel, line_dedup, merge_dropout, prefix_counts, projection_forest, quality, simhash_trees, token_blocks,
+    bin_packing, language_kernel, line_dedup, merge_dropout, pitman_yor, prefix_counts, projection_forest, quality,
+    simhash_trees, token_blocks,
 )
 from .folders import shared_folder
 
@@ -57,6 +58,15 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return bin_packing.pack_documents(_table(spark, folder, "documents"))
 
 
+@_query
+def op7_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    away = language_kernel.held_out(F.col("doc_id"), 7)
+    model = pitman_yor.train(documents.where(~away))
+    scored = pitman_yor.score(documents, model)
+    return scored.select("doc_id", away.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @_query
 def op8_projection_forest(spark: SparkSession, folder: str) -> DataFrame:
     embeddings = _table(spark, folder, "embeddings")
