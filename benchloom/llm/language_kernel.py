@@ -142,7 +142,8 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", per_language: i
     first = Window.partitionBy("lang").orderBy("h")
     chosen = rows.groupBy("lang", "h").agg(F.count("*").alias("n")).withColumn("place", F.row_number().over(first))
     chosen = chosen.where(F.col("place") <= per_language).select("lang", "h", "place")
-    sample = rows.join(chosen, ["lang", "h"]).dropDuplicates(["lang", "h"])
+    # at most per_language * MOST_LANGUAGES narrow rows
+    sample = rows.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Presence()
