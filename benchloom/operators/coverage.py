@@ -1,9 +1,14 @@
-"""Mapping line coverage onto code definitions."""
+"""Mapping line coverage onto code definitions.
+
+Tables of several runs or repositories share paths and test names.  ``keys`` names the
+columns that tell the runs apart; it goes through all operators here.  Without it the
+tables hold one run.
+"""
 
 from __future__ import annotations
 
 import ast
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -13,13 +18,17 @@ from .. import schemas
 # Lines per block of the range join.  A definition meets one row per block it spans.
 BLOCK = 64
 
+Keys = Sequence[str]
+
 
-def _definitions(fn: str, source: str) -> list[tuple]:
-    """Functions and classes of one Python file, outer before inner."""
+def _definitions(fn: str, source: str) -> tuple[list[tuple], str | None]:
+    """Functions and classes of one Python file, outer before inner, or why there are none."""
     try:
         tree = ast.parse(source)
     except (SyntaxError, ValueError):
-        return []
+        return [], "syntax"
+    except (RecursionError, MemoryError):
+        return [], "too_deep"
     rows = source.split("\n")
     found: list[tuple] = []
     waiting: list[ast.AST] = [tree]
@@ -43,50 +52,63 @@ def _definitions(fn: str, source: str) -> list[tuple]:
         found.append(
             (fn, intent, kind, node.name, left, right, code, doc, f"{fn}:{intent}", len(found))
         )
-    return found
+    return found, None
 
 
-def parse_definitions(files: DataFrame, path: str = "path", source: str = "source") -> DataFrame:
-    """Functions and classes of Python files; a file with a syntax error has none.
+def parse_definitions(
+    files: DataFrame, path: str = "path", source: str = "source", keys: Keys = (), errors: bool = False
+) -> DataFrame:
+    """Functions and classes of Python files; a file that cannot be parsed has none.
 
-    The one operator that needs Python: files are parsed independently, batch by
-    batch, so the work spreads over the input partitions.  The text around a
-    definition is left to ``definition_contexts``.
+    With ``errors`` such a file has one row with its ``parse_error`` instead: ``syntax``,
+    or ``too_deep`` for nesting that the parser does not follow.  The one operator that
+    needs Python: files are parsed independently, batch by batch, so the work spreads
+    over the input partitions.  The text around a definition is left to
+    ``definition_contexts``.
     """
     names = [field.split()[0] for field in schemas.DEFINITIONS.replace("\n", " ").split(",")]
+    none = (None,) * (len(names) - 2)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: list[tuple] = []
         for batch in batches:
-            for fn, text in zip(batch["path"], batch["source"]):
-                found += _definitions(fn, text)
+            for row in batch.itertuples(index=False):
+                rows, error = _definitions(row.path, row.source)
+                rows = [(*x, None) for x in rows] or [(row.path, *none, None, error)] * (error is not None)
+                found += [(*row[:-2], *x) for x in rows]
                 if len(found) >= 5000:
-                    yield pd.DataFrame(found, columns=names)
+                    yield pd.DataFrame(found, columns=columns)
                     found = []
         if found:
-            yield pd.DataFrame(found, columns=names)
+            yield pd.DataFrame(found, columns=columns)
 
-    wanted = files.select(F.col(path).alias("path"), F.col(source).alias("source"))
-    return wanted.where(F.col("source").isNotNull()).mapInPandas(parse, schemas.DEFINITIONS)
+    columns = [*(f"_k{i}" for i in range(len(keys))), *names, "parse_error"]
+    own = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    wanted = files.select(*own, F.col(path).alias("path"), F.col(source).alias("source"))
+    kinds = [f"_k{i} {wanted.schema[i].dataType.simpleString()}" for i in range(len(keys))]
+    schema = ", ".join([*kinds, schemas.DEFINITIONS, "parse_error STRING"])
+    out = wanted.where(F.col("source").isNotNull()).mapInPandas(parse, schema).toDF(*keys, *names, "parse_error")
+    return out if errors else out.where("parse_error IS NULL").drop("parse_error")
 
 
 def definition_contexts(
-    definitions: DataFrame, files: DataFrame, path: str = "path", source: str = "source"
+    definitions: DataFrame, files: DataFrame, path: str = "path", source: str = "source", keys: Keys = ()
 ) -> DataFrame:
     """Add ``left_context`` and ``right_context``: the lines before and after a definition.
 
     Every row then holds the text of its whole file, so this comes last, after
-    definitions have been filtered.
+    definitions have been filtered.  The text travels as one cell and is split behind the join.
     """
-    rows = files.select(F.col(path).alias("fn"), F.split(source, "\n", -1).alias("_rows"))
+    rows = files.select(*keys, F.col(path).alias("fn"), F.col(source).alias("_source"))
     text = lambda part: F.concat(F.array_join(part, "\n"), F.lit("\n"))
     before = F.slice("_rows", F.lit(1), F.col("l"))
     after = F.slice("_rows", F.col("r") + 1, F.size("_rows"))
     return (
-        definitions.join(rows, "fn")
+        definitions.join(rows, [*keys, "fn"])
+        .withColumn("_rows", F.split("_source", "\n", -1))
         .withColumn("left_context", text(before))
         .withColumn("right_context", text(after))
-        .drop("_rows")
+        .drop("_rows", "_source")
     )
 
 
@@ -97,22 +119,22 @@ def rebase_path(path: Column, prefix: str, target: str = "/run_dir/") -> Column:
     return F.when(path.startswith(prefix), F.concat(F.lit(target), below)).otherwise(path)
 
 
-def latest_definitions(definitions: DataFrame) -> DataFrame:
+def latest_definitions(definitions: DataFrame, keys: Keys = ()) -> DataFrame:
     """Of several definitions with one interval in a file, the last (an aggregate)."""
-    keys = ["fn", "l", "r"]
-    rest = [c for c in definitions.columns if c not in keys]
+    spot = [*keys, "fn", "l", "r"]
+    rest = [c for c in definitions.columns if c not in spot]
     if rest == ["seq"]:
-        return definitions.groupBy(*keys).agg(F.max("seq").alias("seq"))
+        return definitions.groupBy(*spot).agg(F.max("seq").alias("seq"))
     row = F.struct(*rest)
-    return definitions.groupBy(*keys).agg(F.max_by(row, "seq").alias("_d")).select(*keys, "_d.*")
+    return definitions.groupBy(*spot).agg(F.max_by(row, "seq").alias("_d")).select(*spot, "_d.*")
 
 
-def duplicate_sources(definitions: DataFrame) -> DataFrame:
-    """Sources that name more than one definition; none in a valid table."""
-    return definitions.groupBy("source").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+def duplicate_sources(definitions: DataFrame, keys: Keys = ()) -> DataFrame:
+    """Sources that name more than one definition of a run; none in a valid table."""
+    return definitions.groupBy(*keys, "source").agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
-def effective_intervals(definitions: DataFrame) -> DataFrame:
+def effective_intervals(definitions: DataFrame, keys: Keys = ()) -> DataFrame:
     """Add ``r_eff``: the last line for which a definition is found by the line lookup.
 
     The lookup walks back from the line and stops at the first interval that does
@@ -122,10 +144,11 @@ def effective_intervals(definitions: DataFrame) -> DataFrame:
     in two levels, within blocks of lines and then over the blocks, so that a file
     of any size spreads over tasks.
     """
-    keys = ["fn", "_block"]
+    file = [*keys, "fn"]
+    keys = [*file, "_block"]
     rows = definitions.withColumn("_block", F.floor(F.col("l") / 1024).cast("int"))
     behind = Window.partitionBy(*keys).orderBy(F.col("l").desc(), F.col("r").desc())
-    later = Window.partitionBy("fn").orderBy(F.col("_block").desc()).rowsBetween(
+    later = Window.partitionBy(*file).orderBy(F.col("_block").desc()).rowsBetween(
         Window.unboundedPreceding, -1
     )
     blocks = rows.groupBy(*keys).agg(F.min("r").alias("_r")).withColumn("_later", F.min("_r").over(later))
@@ -138,7 +161,7 @@ def effective_intervals(definitions: DataFrame) -> DataFrame:
 
 def line_intervals(
     lines: DataFrame, definitions: DataFrame, strict: bool = False, block: int = BLOCK,
-    unique: bool = False,
+    unique: bool = False, keys: Keys = (),
 ) -> DataFrame:
     """Lines joined with the definitions found for them (``lines`` holds ``fn, line``).
 
@@ -147,86 +170,102 @@ def line_intervals(
     contains the line.  ``unique``, here and below: ``definitions`` comes from
     ``latest_definitions``.
     """
-    intervals = definitions if unique else latest_definitions(definitions)
+    intervals = definitions if unique else latest_definitions(definitions, keys)
     end = "r" if strict else "r_eff"
     if not strict:
-        intervals = effective_intervals(intervals)
+        intervals = effective_intervals(intervals, keys)
+    file = [*keys, "fn"]
     spanned = F.sequence(F.floor(F.col("l") / block).cast("int"), F.floor(F.col(end) / block).cast("int"))
     spread = intervals.where(F.col(end) >= F.col("l")).withColumn("_b", F.explode(spanned))
     left = lines.withColumn("_b", F.floor(F.col("line") / block).cast("int")).alias("a")
-    right = spread.withColumnRenamed("fn", "_fn").alias("d")
-    match = (F.col("a.fn") == F.col("d._fn")) & (F.col("a._b") == F.col("d._b"))
+    right = spread.alias("d")
+    match = F.col("a._b") == F.col("d._b")
+    for name in file:
+        match = match & (F.col(f"a.{name}") == F.col(f"d.{name}"))
     inside = F.col("a.line").between(F.col("d.l"), F.col(f"d.{end}"))
-    chosen = [c for c in right.columns if c not in ("_fn", "_b", "r_eff")]
+    chosen = [c for c in right.columns if c not in (*file, "_b", "r_eff")]
     return left.join(right, match & inside).select(
         *[F.col(f"a.{c}") for c in lines.columns], *[F.col(f"d.{c}") for c in chosen]
     )
 
 
 def definition_tests(
-    contexts: DataFrame, definitions: DataFrame, strict: bool = False, unique: bool = False
+    contexts: DataFrame, definitions: DataFrame, strict: bool = False, unique: bool = False, keys: Keys = ()
 ) -> DataFrame:
-    """``(fn, l, r, test)``: the tests that run through a definition, each once.
+    """``(keys, fn, l, r, test)``: the tests that run through a definition, each once.
 
     ``contexts`` holds ``fn, line, context``.  Empty contexts are dropped and
     parameters (from ``[`` on) cut off before rows are made distinct, so that only
     distinct ``(file, line, test)`` rows reach the range join.
     """
     test = F.substring_index("context", "[", 1)
-    rows = contexts.where(F.col("context") != "").select("fn", "line", test.alias("test")).distinct()
-    keys = definitions.select("fn", "l", "r", "seq")
-    return line_intervals(rows, keys, strict, unique=unique).select("fn", "l", "r", "test").distinct()
+    rows = contexts.where(F.col("context") != "").select(*keys, "fn", "line", test.alias("test")).distinct()
+    spans = definitions.select(*keys, "fn", "l", "r", "seq")
+    found = line_intervals(rows, spans, strict, unique=unique, keys=keys)
+    return found.select(*keys, "fn", "l", "r", "test").distinct()
 
 
-def definition_outcomes(tests: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """``(fn, l, r, list, nodeid)``: covering tests that passed or failed in the report.
+def duplicate_outcomes(outcomes: DataFrame, keys: Keys = ()) -> DataFrame:
+    """``(keys, nodeid, n)``: tests that the report of a run lists more than once."""
+    return outcomes.groupBy(*keys, "nodeid").agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
-    The run name (from ``|`` on) is cut off the test before the lookup.
+
+def definition_outcomes(tests: DataFrame, outcomes: DataFrame, keys: Keys = ()) -> DataFrame:
+    """``(keys, fn, l, r, list, nodeid)``: covering tests that passed or failed in the report of their run.
+
+    The run name (from ``|`` on) is cut off the test before the lookup.  A test that the
+    report lists twice has no outcome; ``duplicate_outcomes`` names such tests.
     """
-    known = outcomes.groupBy("nodeid").agg(F.max("outcome").alias("outcome"))
+    node = [*keys, "nodeid"]
+    known = outcomes.groupBy(*node).agg(F.max("outcome").alias("outcome"), F.count("*").alias("_n"))
+    known = known.where(F.col("_n") == 1).drop("_n")
     named = tests.withColumn("nodeid", F.substring_index("test", "|", 1))
     list_name = F.when(F.col("outcome") == "passed", "PASS_TO_PASS").otherwise("FAIL_TO_PASS")
-    return named.join(known, "nodeid").select("fn", "l", "r", list_name.alias("list"), "nodeid")
+    return named.join(known, node).select(*keys, "fn", "l", "r", list_name.alias("list"), "nodeid")
 
 
-def coverage_rate(covered: DataFrame, definitions: DataFrame, unique: bool = False) -> DataFrame:
+def coverage_rate(
+    covered: DataFrame, definitions: DataFrame, unique: bool = False, keys: Keys = ()
+) -> DataFrame:
     """Percentage of the lines of a definition that were run, to two decimals.
 
     ``covered`` holds ``fn, line``; lines are made distinct before the range join.
     """
-    intervals = definitions if unique else latest_definitions(definitions)
-    lines = covered.select("fn", "line").distinct()
-    found = line_intervals(lines, definitions.select("fn", "l", "r", "seq"), strict=True, unique=unique)
-    counts = found.groupBy("fn", "l", "r").agg(F.count("*").alias("n_covered"))
+    spot = [*keys, "fn", "l", "r"]
+    intervals = definitions if unique else latest_definitions(definitions, keys)
+    lines = covered.select(*keys, "fn", "line").distinct()
+    found = line_intervals(lines, definitions.select(*spot, "seq"), strict=True, unique=unique, keys=keys)
+    counts = found.groupBy(*spot).agg(F.count("*").alias("n_covered"))
     n = F.coalesce("n_covered", F.lit(0)).cast("double")
     rate = F.bround(F.lit(100.0) * n / (F.col("r") - F.col("l") + 1), 2)
-    return intervals.join(counts, ["fn", "l", "r"], "left").withColumn("coverage_rate", rate).withColumn(
+    return intervals.join(counts, spot, "left").withColumn("coverage_rate", rate).withColumn(
         "n_covered", n.cast("bigint")
     )
 
 
-def good_candidates(problems: DataFrame) -> DataFrame:
-    """Functions with a docstring and a covering test that passes, and all definitions.
+def good_candidates(problems: DataFrame, keys: Keys = ()) -> DataFrame:
+    """Functions with a docstring and a covering test that passes, and all definitions, per run.
 
     ``problems`` holds ``n_pass_to_pass, doc, intent_type``.
     """
     good = (
         (F.col("n_pass_to_pass") > 0) & F.col("doc").isNotNull() & (F.col("intent_type") == "function")
     )
-    return problems.agg(F.count_if(good).alias("n_good"), F.count("*").alias("n_all"))
+    rows = problems.groupBy(*keys) if keys else problems
+    return rows.agg(F.count_if(good).alias("n_good"), F.count("*").alias("n_all"))
 
 
 def problem_table(
-    definitions: DataFrame, tests: DataFrame, outcomes: DataFrame, unique: bool = False
+    definitions: DataFrame, tests: DataFrame, outcomes: DataFrame, unique: bool = False, keys: Keys = ()
 ) -> DataFrame:
     """Every definition with the number of its covering, passing and failing tests."""
-    keys = ["fn", "l", "r"]
-    n_tests = tests.groupBy(*keys).agg(F.count("*").alias("n_tests"))
-    listed = definition_outcomes(tests, outcomes).groupBy(*keys).agg(
+    spot = [*keys, "fn", "l", "r"]
+    n_tests = tests.groupBy(*spot).agg(F.count("*").alias("n_tests"))
+    listed = definition_outcomes(tests, outcomes, keys).groupBy(*spot).agg(
         F.count_if(F.col("list") == "PASS_TO_PASS").alias("n_pass_to_pass"),
         F.count_if(F.col("list") == "FAIL_TO_PASS").alias("n_fail_to_pass"),
     )
     counters = ["n_tests", "n_pass_to_pass", "n_fail_to_pass"]
-    rows = definitions if unique else latest_definitions(definitions)
-    rows = rows.join(n_tests, keys, "left").join(listed, keys, "left")
+    rows = definitions if unique else latest_definitions(definitions, keys)
+    rows = rows.join(n_tests, spot, "left").join(listed, spot, "left")
     return rows.na.fill(0, counters)

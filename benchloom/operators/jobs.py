@@ -1,8 +1,8 @@
 """Whole jobs: the operators put together, from input tables to the result table.
 
 Each job is one lazy plan; only ``collect_tasks`` stores its parsed definitions on the
-way, where the cluster names a folder for that.  ``processed`` arguments hold the keys that earlier runs
-have written; those items are left out.
+way, in a folder that the caller names.  ``processed`` arguments hold the keys that earlier
+runs have written; those items are left out.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut_lineage
 from . import collect, coverage, evaluate, metrics, patches, reports, stdout_logs
 
 
@@ -131,16 +130,22 @@ def score_test_generation(tasks: DataFrame, logs: DataFrame, task: str = "doc_id
 
 
 def collect_tasks(
-    files: DataFrame, contexts: DataFrame, outcomes: DataFrame, path: str = "path", source: str = "source"
+    files: DataFrame, contexts: DataFrame, outcomes: DataFrame, path: str = "path", source: str = "source",
+    keys: Sequence[str] = (), folder: str | None = None,
 ) -> DataFrame:
     """Definitions of Python files with their covering tests counted and their coverage rate.
 
     ``contexts`` holds the covered lines (``fn, line, context``), ``outcomes`` the
-    results of the test run (``nodeid, outcome``).
+    results of the test runs (``nodeid, outcome``); ``keys`` are the columns that tell
+    runs apart in all three.  With ``folder`` the parsed definitions are written there as
+    Parquet and read again; without it the plan parses once for each of its uses.
     """
-    definitions = cut_lineage(coverage.latest_definitions(coverage.parse_definitions(files, path, source)))
-    spans = definitions.select("fn", "l", "r", "seq")
-    tests = coverage.definition_tests(contexts, spans, unique=True)
-    keys = ["fn", "l", "r"]
-    rate = coverage.coverage_rate(contexts, spans, unique=True).select(*keys, "coverage_rate")
-    return coverage.problem_table(definitions, tests, outcomes, unique=True).join(rate, keys)
+    definitions = coverage.latest_definitions(coverage.parse_definitions(files, path, source, keys), keys)
+    if folder is not None:
+        definitions.write.mode("overwrite").parquet(folder)
+        definitions = files.sparkSession.read.schema(definitions.schema).parquet(folder)
+    spot = [*keys, "fn", "l", "r"]
+    spans = definitions.select(*spot, "seq")
+    tests = coverage.definition_tests(contexts, spans, unique=True, keys=keys)
+    rate = coverage.coverage_rate(contexts, spans, unique=True, keys=keys).select(*spot, "coverage_rate")
+    return coverage.problem_table(definitions, tests, outcomes, unique=True, keys=keys).join(rate, spot)

@@ -113,10 +113,10 @@ def score_variants(t: Tables):
 
 @query(f"""
 WITH {lg.RUNS},
-x AS (SELECT '/runs/r' || (run_id % 9) || '/src/d' || run_id || '.py' AS fn, run_id, i, n, CAST(1 + 3 * i AS INTEGER) AS s FROM dl WHERE run_id % 10 <> 9),
+x AS (SELECT '/runs/r' || (run_id % 9) || '/src/d' || (run_id % 7) || '.py' AS fn, run_id, i, n, CAST(1 + 3 * i AS INTEGER) AS s FROM dl WHERE run_id % 10 <> 9),
 defs AS (SELECT fn, run_id, i, CASE n % 3 WHEN 0 THEN s + 2 ELSE s + 1 END AS l, s + 3 AS r, CASE n % 3 WHEN 0 THEN 'f' WHEN 1 THEN 'g' ELSE 'C' END AS k FROM x
          UNION ALL SELECT fn, run_id, i, s + 2, s + 3, 'm' FROM x WHERE n % 3 = 2)
-SELECT fn, l, r, k AS kind, CAST(CASE WHEN i % 4 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_pass_to_pass,
+SELECT run_id AS run, fn, l, r, k AS kind, CAST(CASE WHEN i % 4 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_pass_to_pass,
   CAST(CASE WHEN i % 4 = 2 THEN 1 ELSE 0 END AS BIGINT) AS n_fail_to_pass, round_even(CASE WHEN i % 2 = 0 THEN 100.0::DOUBLE / (r - l + 1) ELSE 0.0 END, 2) AS coverage_rate
 FROM defs
 """)
@@ -124,10 +124,10 @@ def collect_tasks(t: Tables):
     files = d.python_files(t)
     # the last line of every other definition is covered by a test of its own
     spots = t.documents.selectExpr(
-        "doc_id", "concat('/runs/r', doc_id % 9, '/src/d', doc_id, '.py') AS fn", "posexplode(split(text, '\\n')) AS (i, ln)"
+        "doc_id AS run", "concat('/runs/r', doc_id % 9, '/src/d', doc_id % 7, '.py') AS fn", "posexplode(split(text, '\\n')) AS (i, ln)"
     ).where("i % 2 = 0")
-    contexts = spots.selectExpr("fn", "cast(4 + 3 * i AS INT) AS line", "concat('t', doc_id, '::', i, '|run') AS context")
-    outcomes = spots.selectExpr("concat('t', doc_id, '::', i) AS nodeid", "if(i % 4 = 0, 'passed', 'failed') AS outcome")
-    found = jobs.collect_tasks(files, contexts, outcomes)
+    contexts = spots.selectExpr("run", "fn", "cast(4 + 3 * i AS INT) AS line", "concat('t::', i, '|run') AS context")
+    outcomes = spots.selectExpr("run", "concat('t::', i) AS nodeid", "if(i % 4 = 0, 'passed', 'failed') AS outcome")
+    found = jobs.collect_tasks(files, contexts, outcomes, keys=["run"])
     kind = F.substring("intent_name", 1, 1).alias("kind")
-    return found.select("fn", "l", "r", kind, "n_pass_to_pass", "n_fail_to_pass", "coverage_rate")
+    return found.select("run", "fn", "l", "r", kind, "n_pass_to_pass", "n_fail_to_pass", "coverage_rate")

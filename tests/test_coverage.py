@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from benchloom.operators import coverage
+from benchloom.operators import coverage, jobs
 
 SOURCE = '''import os
 
@@ -119,3 +119,24 @@ def test_rebase_and_duplicates(spark):
     assert got == ["/run_dir/src/a.py", "/other/a.py"]
     names = spark.createDataFrame([("a",), ("a",), ("b",)], "source STRING")
     assert [(r.source, r.n) for r in coverage.duplicate_sources(names).collect()] == [("a", 2)]
+
+
+def test_runs_do_not_mix(spark):
+    """Two runs share a path and a test name; a file repeats in both."""
+    files = spark.createDataFrame([(1, "a.py", "def f():\n    x = 1\n"), (2, "a.py", "def g():\n    x = 1\n")], "run INT, path STRING, source STRING")
+    found = coverage.parse_definitions(files, keys=["run"])
+    assert sorted((r.run, r.intent_name) for r in coverage.latest_definitions(found, ["run"]).collect()) == [(1, "f"), (2, "g")]
+    assert coverage.definition_contexts(found, files, keys=["run"]).count() == 2
+    lines = spark.createDataFrame([(1, "a.py", 2, "t|run"), (2, "a.py", 2, "t|run")], "run INT, fn STRING, line INT, context STRING")
+    outcomes = spark.createDataFrame([(1, "t", "passed"), (2, "t", "failed"), (2, "u", "passed"), (2, "u", "failed")], "run INT, nodeid STRING, outcome STRING")
+    table = jobs.collect_tasks(files, lines, outcomes, keys=["run"])
+    got = sorted((r.run, r.intent_name, r.n_tests, r.n_pass_to_pass, r.n_fail_to_pass, r.coverage_rate) for r in table.collect())
+    assert got == [(1, "f", 1, 1, 0, 50.0), (2, "g", 1, 0, 1, 50.0)]
+    assert [tuple(r) for r in coverage.duplicate_outcomes(outcomes, ["run"]).collect()] == [(2, "u", 2)]
+
+
+def test_deep_expression_is_reported(spark):
+    files = spark.createDataFrame([("deep.py", "x = " + "+".join(["1"] * 200_000)), ("bad.py", "def ("), ("ok.py", "def f(): pass")], "path STRING, source STRING")
+    got = {r.fn: r.parse_error for r in coverage.parse_definitions(files, errors=True).collect()}
+    assert got["bad.py"] == "syntax" and got["ok.py"] is None and got.get("deep.py") in (None, "too_deep")
+    assert [r.fn for r in coverage.parse_definitions(files).collect()] == ["ok.py"]

@@ -11,8 +11,9 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
     "labels conversations"
 ).split()
-# collect_tasks parses as well, but stores the result, so its plan starts behind the parser
-PYTHON_QUERIES = {"parse_definitions", "definition_contexts", "duplicate_sources"}
+PYTHON_QUERIES = {
+    "parse_definitions", "definition_contexts", "duplicate_sources", "definition_errors", "collect_tasks",
+}
 
 
 @pytest.fixture(scope="module")
