@@ -95,11 +95,12 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     return df.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
-def cap_windows(repos: DataFrame, k: int = 100, order: Sequence[Column] | None = None) -> DataFrame:
-    """At most ``k`` (and never more than 100) repositories per window, with the full count."""
+def cap_windows(repos: DataFrame, k: int | None = None, order: Sequence[Column] | None = None) -> DataFrame:
+    """The repositories of every window with their number; with ``k`` only the first ``k`` in the given order."""
     totals = repos.groupBy("_period").agg(F.count("*").alias("repositoryCount"))
-    kept = top_per_group(repos, ["_period"], order or [F.col("nameWithOwner")], min(k, 100))
-    return kept.join(totals, "_period")
+    if k is not None:
+        repos = top_per_group(repos, ["_period"], order or [F.col("nameWithOwner")], k)
+    return repos.join(totals, "_period")
 
 
 def flatten_counts(counts: DataFrame) -> DataFrame:
@@ -147,15 +148,16 @@ def cap_issues(issues: DataFrame, max_issues: int | None = None) -> DataFrame:
     return top_per_group(issues, ["repo_name"], order, max_issues)
 
 
-def issue_mappings(issues: DataFrame, timeline_items: int = 10) -> DataFrame:
+def issue_mappings(issues: DataFrame, timeline_items: int | None = None) -> DataFrame:
     """One row per link between an issue and a pull request.
 
     A ``closer`` is a direct link, a ``source`` a cross reference; a timeline
-    item may hold both.
+    item may hold both.  ``timeline_items`` reads only so many items of an issue.
     """
     link = lambda kind, field: F.struct(F.lit(kind).alias("type"), F.col(f"item.{field}").alias("pr"))
     links = F.explode_outer(F.array(link("linked", "closer"), link("referenced", "source"))).alias("link")
-    items = explode_rows(issues, issues.columns, F.slice("timeline", 1, timeline_items), "_pos", "item")
+    timeline = F.col("timeline") if timeline_items is None else F.slice("timeline", 1, timeline_items)
+    items = explode_rows(issues, issues.columns, timeline, "_pos", "item")
     pr = lambda path: F.col(f"link.pr.{path}")
     return (
         items.select("*", links)
@@ -184,9 +186,10 @@ def build_pr_issue_mapping(
     repos: DataFrame | None = None,
     closed_after: str = "2020-01-01T00:00:00Z",
     max_issues: int | None = None,
+    timeline_items: int | None = None,
 ) -> DataFrame:
     """Issues to mapping rows; with ``repos`` the search row is embedded as ``_step1_data``."""
-    rows = issue_mappings(cap_issues(recent_issues(issues, closed_after), max_issues))
+    rows = issue_mappings(cap_issues(recent_issues(issues, closed_after), max_issues), timeline_items)
     if repos is None:
         return rows
     embedded = repos.select(

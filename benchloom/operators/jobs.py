@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import collect, coverage, evaluate, metrics, patches, reports, stdout_logs
 
@@ -19,19 +19,20 @@ def collect_repos(
     start_date: str,
     end_date: str,
     window_days: int = 7,
-    max_results_per_window: int = 100,
+    max_results_per_window: int | None = None,
     details: DataFrame | None = None,
     processed: DataFrame | None = None,
+    order: Sequence[Column] | None = None,
     **filters: object,
 ) -> DataFrame:
     """Repositories that pass the search, per date window, with details if there are any.
 
-    ``filters`` are those of ``filter_repos``; ``processed`` holds ``_period``.
+    ``max_results_per_window`` keeps the first of each window in the given order.  ``filters`` are those of ``filter_repos``; ``processed`` holds ``_period``.
     """
     rows = collect.assign_windows(collect.filter_repos(found, **filters), start_date, end_date, window_days)
     if processed is not None:
         rows = collect.pending(rows, processed, ["_period"])
-    rows = collect.cap_windows(rows, max_results_per_window)
+    rows = collect.cap_windows(rows, max_results_per_window, order)
     if details is not None:
         rows = collect.enrich_repos(rows, details)
     named = {

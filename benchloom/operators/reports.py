@@ -54,8 +54,12 @@ def _good(event: Column) -> Column:
 # --- JUnit, for all ecosystems ----------------------------------------------------
 
 
-def _junit_suites(doc: str, levels: int) -> Column:
-    """All suites of a document as one array, the root only when it holds no suite."""
+# Suites of a report may nest this deep; a deeper report is marked, not cut.
+JUNIT_LEVELS = 12
+
+
+def _junit_suites(doc: str, root_tag: str, levels: int) -> Column:
+    """All suites of a document as one array, the root only when it is a suite and holds none."""
     fields = ("_tests", "_failures", "_errors", "_skipped", "testcase")
     plain = lambda s: F.struct(*[s[f].alias(f) for f in fields])
     none = F.array()
@@ -71,30 +75,57 @@ def _junit_suites(doc: str, levels: int) -> Column:
 
     root = F.col(doc)
     nested = descend(root["testsuite"], levels)
-    return F.when(F.size(root["testsuite"]) > 0, nested).otherwise(F.array(plain(root)))
+    alone = F.filter(F.array(plain(root)), lambda _: F.col(root_tag) == "testsuite")
+    return F.when(F.size(root["testsuite"]) > 0, nested).otherwise(alone)
+
+
+def _junit_depth(xml: Column) -> Column:
+    """How deep suites nest in a text, counted on its tags."""
+    tags = all_matches(xml, rf"<(?:/testsuite\s*|testsuite(?=[\s/>]){ATTRIBUTES})>")
+    opened = lambda tag: F.when(tag.startswith("</"), -1).when(tag.endswith("/>"), 0).otherwise(1)
+
+    def step(state: Column, tag: Column) -> Column:
+        now = state["now"] + opened(tag)
+        here = now + F.when(tag.endswith("/>"), 1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(state["most"], here).alias("most"))
+
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    return F.aggregate(tags, start, step, lambda state: state["most"])
 
 
 def parse_junit(
-    reports: DataFrame, text: str = "text", keys: Keys = ("run_id",), levels: int = 3
+    reports: DataFrame, text: str = "text", keys: Keys = ("run_id",), levels: int = JUNIT_LEVELS
 ) -> DataFrame:
     """Add ``_suites`` and ``parse_error``; the XML is read once.
 
-    One count or time that is no number voids the report.
+    One count or time that is no number voids the report, and so do suites that nest
+    deeper than ``levels`` (``too_deep``).
     """
     doc = F.from_xml(F.col(text), F.lit(schemas.junit(levels)), XML_OPTIONS)
-    suites = F.when(_parse_error("_doc").isNull(), _junit_suites("_doc", levels))
+    bare = without_opaque_parts(F.col(text))
+    facts = F.struct(
+        doc.alias("doc"),
+        F.regexp_extract(bare, r"<([^\s/>?!]+)", 1).alias("root"),
+        _junit_depth(bare).alias("depth"),
+    )
+    suites = F.when(_parse_error("_doc").isNull(), _junit_suites("_doc", "_root", levels))
     bad = lambda value, kind: value.isNotNull() & strip(value).try_cast(kind).isNull()
     counters = ("_tests", "_failures", "_errors", "_skipped")
     bad_count = lambda s: F.greatest(*[F.coalesce(bad(s[name], "bigint"), F.lit(False)) for name in counters])
     bad_time = lambda s: F.coalesce(
         F.exists(s["testcase"], lambda c: bad(c["_time"], "double")), F.lit(False)
     )
+    # the root is no level of its own: it counts only where it holds no suite
+    deep = F.col("_depth") - F.when(F.col("_root") == "testsuite", 1).otherwise(0) > levels
     error = F.coalesce(
         _parse_error("_doc"),
+        F.when(deep, "too_deep"),
         F.when(F.exists("_all", lambda s: bad_count(s) | bad_time(s)), "bad_number"),
     )
-    parsed = compute_once(reports, keys, doc, "_doc")
-    flat = compute_once(parsed, [*keys, "_doc"], suites, "_all")
+    parsed = compute_once(reports, keys, facts, "_facts").select(
+        *keys, F.col("_facts.doc").alias("_doc"), F.col("_facts.root").alias("_root"), F.col("_facts.depth").alias("_depth")
+    )
+    flat = compute_once(parsed, [*keys, "_doc", "_root", "_depth"], suites, "_all")
     checked = compute_once(flat, [*keys, "_all"], error, "parse_error")
     return checked.select(
         *keys, "parse_error", F.when(F.col("parse_error").isNull(), F.col("_all")).alias("_suites")
@@ -110,7 +141,7 @@ def junit_cases(
     reports: DataFrame,
     text: str = "text",
     keys: Keys = ("run_id",),
-    levels: int = 3,
+    levels: int = JUNIT_LEVELS,
     class_attribute: str = "classname",
     skip_empty: bool = False,
 ) -> DataFrame:
@@ -151,7 +182,7 @@ def junit_summary(
     reports: DataFrame,
     text: str = "text",
     keys: Keys = ("run_id",),
-    levels: int = 3,
+    levels: int = JUNIT_LEVELS,
     need_tests: bool = False,
 ) -> DataFrame:
     """Counters from the suite attributes, summed over all levels.

@@ -203,7 +203,7 @@ iss AS (
          CASE WHEN o_custkey % 53 <> 0 THEN strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%dT%H:%M:%SZ') END AS upd
   FROM orders),
 items AS (
-  SELECT *, unnest(range(0, least(o_orderkey % 13 + 1, 10))) AS k
+  SELECT *, unnest(range(0, o_orderkey % 13 + 1)) AS k
   FROM iss WHERE upd IS NULL OR upd >= '1996-06-01T00:00:00Z'),
 links AS (
   SELECT 'linked' AS type, * FROM items WHERE (k + o_custkey) % 2 = 0

@@ -12,14 +12,13 @@ WITH {c.REPOS}, {c.WINDOWS},
 x AS (SELECT "nameWithOwner", stars, CAST(l AS VARCHAR) || ':' || CAST(r AS VARCHAR) AS _period
       FROM repos JOIN windows ON created BETWEEN l AND r WHERE forks >= 10 AND l >= DATE '1996-01-01')
 SELECT _period, "nameWithOwner", n AS "repositoryCount", 10 AS forks_min
-FROM (SELECT *, row_number() OVER (PARTITION BY _period ORDER BY "nameWithOwner") AS rn,
-             count(*) OVER (PARTITION BY _period) AS n FROM x) WHERE rn <= 3
+FROM (SELECT *, count(*) OVER (PARTITION BY _period) AS n FROM x)
 """)
 def collect_repos(t: Tables):
     found = c.repos(t)
     done = collect.assign_windows(found, "1995-01-01", "2001-08-01", 7).where(F.col("_period") < "1996-01-01")
     rows = jobs.collect_repos(
-        found, "1995-01-01", "2001-08-01", 7, max_results_per_window=3, processed=done, min_forks=10
+        found, "1995-01-01", "2001-08-01", 7, processed=done, min_forks=10
     )
     return rows.select("_period", "nameWithOwner", "repositoryCount", "_search_params.forks_min")
 

@@ -28,7 +28,7 @@ ESC = r"replace(replace(replace(replace(ln, '&', '&amp;'), '<', '&lt;'), '>', '&
 
 
 def junit_reports(t: Tables) -> DataFrame:
-    """One suite, a bare suite, nested suites, or a broken document by the run number."""
+    """One suite, a bare suite, suites nested up to eight deep, a root that is no suite, or a broken document, by run."""
     open_case = f"""concat('<testcase name="', {ESC}, '" classname="c', i % 3, '" time="', i / 4.0D, '"')"""
     case = pick(
         "{n} % 5",
@@ -41,12 +41,12 @@ def junit_reports(t: Tables) -> DataFrame:
     n = lambda k: n_lines("{n} % 5 " + k)
     attrs = f"""concat(' name="s" tests="', size(ls), '" failures="', {n('IN (1, 4)')}, '" errors="', {n('= 2')},
         '" skipped="', {n('= 3')}, '"')"""
-    rows = lines_of(t).selectExpr("run_id", "source", f"{attrs} AS a", f"{joined(t, case)} AS c")
+    rows = lines_of(t).selectExpr("run_id", "source", f"{attrs} AS a", f"{joined(t, case)} AS c", "cast(floor(run_id / 4) AS INT) % 7 + 1 AS depth")
     text = """CASE run_id % 4
-        WHEN 0 THEN concat('<?xml version="1.0"?><testsuites><testsuite', a, '>', c, '</testsuite></testsuites>')
+        WHEN 0 THEN if(run_id % 12 = 0, concat('<run', a, '>', c, '</run>'), concat('<?xml version="1.0"?><testsuites><testsuite', a, '>', c, '</testsuite></testsuites>'))
         WHEN 1 THEN concat('<testsuite', a, '>', c, '</testsuite>')
-        WHEN 2 THEN concat('<testsuites><testsuite', a, '><testcase name="outer"/><testsuite', a, '>', c,
-                           '</testsuite></testsuite></testsuites>')
+        WHEN 2 THEN concat('<testsuites>', repeat(concat('<testsuite', a, '><testcase name="outer"/>'), depth), '<testsuite', a, '>',
+                           c, '</testsuite>', repeat('</testsuite>', depth), '</testsuites>')
         ELSE if(run_id % 8 = 3, concat('<testsuite', a, '>', c), concat('<testsuite', a, '><testcase name="lost"/>',
                 '<testsuite', a, '>', c, '</testsuite></testsuite>')) END"""
     return rows.selectExpr("run_id", "source", f"{text} AS text")
@@ -58,16 +58,17 @@ SELECT run_id, ln AS name, 'c' || (i % 3) AS classname, i / 4.0::DOUBLE AS time,
   CASE n % 5 WHEN 0 THEN 'passed' WHEN 1 THEN 'failed' WHEN 2 THEN 'error' WHEN 3 THEN 'skipped' ELSE 'failed' END AS status,
   CASE n % 5 WHEN 0 THEN NULL WHEN 1 THEN 'm' || i ELSE '' END AS message,
   CASE n % 5 WHEN 1 THEN ln WHEN 2 THEN ln WHEN 4 THEN '' END AS details
-FROM dl WHERE run_id % 8 <> 3
+FROM dl WHERE run_id % 8 <> 3 AND run_id % 12 <> 0
 UNION ALL
-SELECT doc_id, 'outer', NULL, 0.0, 'passed', NULL, NULL FROM documents WHERE doc_id % 4 = 2
+SELECT doc_id, 'outer', NULL, 0.0, 'passed', NULL, NULL
+FROM (SELECT doc_id, unnest(range(0, doc_id // 4 % 7 + 1)) FROM documents WHERE doc_id % 4 = 2)
 """)
 def junit_cases(t: Tables):
     return reports.junit_cases(junit_reports(t))
 
 
 JUNIT_COUNTS = f"""
-c AS (SELECT run_id, CASE WHEN run_id % 4 = 2 THEN 2 ELSE 1 END AS f, count(*) AS t,
+c AS (SELECT run_id, CASE WHEN run_id % 4 = 2 THEN run_id // 4 % 7 + 2 WHEN run_id % 12 = 0 THEN 0 ELSE 1 END AS f, count(*) AS t,
         count(*) FILTER (WHERE n % 5 IN (1, 4)) AS fl, count(*) FILTER (WHERE n % 5 = 2) AS er,
         count(*) FILTER (WHERE n % 5 = 3) AS sk FROM dl GROUP BY 1),
 js AS (SELECT run_id, run_id % 8 <> 3 AS ok, CASE WHEN ok THEN t * f ELSE 0 END AS total,
@@ -95,8 +96,8 @@ SELECT source, CAST(sum(total) AS BIGINT) AS total, CAST(sum(total - failed - er
   CAST(sum(failed) AS BIGINT) AS failed, CAST(sum(skipped) AS BIGINT) AS skipped, CAST(sum(errors) AS BIGINT) AS errors,
   CAST(sum(total) AS BIGINT) AS collected,
   CASE WHEN sum(failed) + sum(errors) = 0 THEN 'passed' ELSE 'failed' END AS status,
-  CAST((SELECT count(*) FROM dl JOIN documents d ON d.doc_id = dl.run_id WHERE d.source = g.source AND run_id % 8 <> 3) +
-    (SELECT count(*) FROM documents d WHERE d.source = g.source AND d.doc_id % 4 = 2) AS BIGINT) AS n_tests
+  CAST((SELECT count(*) FROM dl JOIN documents d ON d.doc_id = dl.run_id WHERE d.source = g.source AND run_id % 8 <> 3 AND run_id % 12 <> 0) +
+    (SELECT coalesce(sum(d.doc_id // 4 % 7 + 1), 0) FROM documents d WHERE d.source = g.source AND d.doc_id % 4 = 2) AS BIGINT) AS n_tests
 FROM g GROUP BY source
 """)
 def merge_reports(t: Tables):

@@ -103,7 +103,7 @@ _SUITE = f"""_name: STRING, _tests: STRING, _failures: STRING, _errors: STRING,
   testcase: ARRAY<{_CASE}>"""
 
 
-def junit(levels: int = 3) -> str:
+def junit(levels: int) -> str:
     """The JUnit document: suites may nest up to ``levels`` deep below the root."""
     nested = f"STRUCT<{_SUITE}>"
     for _ in range(levels - 1):

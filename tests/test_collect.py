@@ -118,3 +118,8 @@ def test_repo_filter_bounds(spark):
     got = collect.filter_repos(df, "python", 5, 50, pushed_year=2021, licenses=["mit"])
     assert rows(got, "nameWithOwner") == [("a",), ("b",)]
     assert collect.filter_repos(df, max_stars=5).count() == 4
+
+
+def test_no_cap_by_default(spark):
+    df = spark.createDataFrame([("p", f"n{i:04}") for i in range(150)], "_period STRING, nameWithOwner STRING")
+    assert collect.cap_windows(df).count() == 150 and collect.cap_windows(df, 1000).count() == 150

@@ -239,3 +239,25 @@ def test_jacoco(spark):
 def test_format(one):
     kind = lambda s: one(t=s).select(reports.report_format(F.col("t"))).first()[0]
     assert (kind(" \n{"), kind("[1]"), kind("<x/>"), kind("")) == ("json", "json", "xml", "xml")
+
+
+@pytest.mark.parametrize("depth", [1, 3, 4, 8, 12])
+def test_junit_at_any_depth(one, depth):
+    text = "<testsuites>" + '<testsuite tests="1">' * depth + '<testcase name="a"/>' + "</testsuite>" * depth + "</testsuites>"
+    df = one(run_id="r", text=text)
+    assert reports.junit_summary(df).first()["total"] == depth
+    assert [r.name for r in reports.junit_cases(df).collect()] == ["a"]
+
+
+def test_junit_too_deep_is_marked(one):
+    text = '<testsuite tests="1">' * 14 + "</testsuite>" * 14
+    row = reports.junit_summary(one(run_id="r", text=text)).first()
+    assert row["parse_error"] == "too_deep" and reports.junit_cases(one(run_id="r", text=text)).count() == 0
+
+
+@pytest.mark.parametrize("text", ['<testsuites tests="3" failures="1"/>', '<foo tests="4"><testcase name="x"/></foo>'])
+def test_root_that_is_no_suite_counts_nothing(one, text):
+    df = one(run_id="r", text=text)
+    row = reports.junit_summary(df).first()
+    assert (row["total"], row["failed"], row["parse_error"]) == (0, 0, None)
+    assert reports.junit_cases(df).count() == 0
