@@ -22,16 +22,23 @@ def _per_test(outcomes: DataFrame, task: str, **columns: Column) -> DataFrame:
     return outcomes.groupBy(task, "nodeid").agg(*[c.alias(name) for name, c in columns.items()])
 
 
-def task_correctness(outcomes: DataFrame, task: str = "task") -> DataFrame:
+def _listed_twice(runs: Sequence[str]) -> Column:
+    """Whether a report of one of these runs lists the test of the group more than once."""
+    return F.greatest(F.lit(False), *[F.count_if(F.col("run") == run) > 1 for run in runs])
+
+
+def task_correctness(outcomes: DataFrame, task: str = "task", tasks: DataFrame | None = None) -> DataFrame:
     """Is a candidate task sound?  Compares the runs ``after`` and ``gold``.
 
     ``task_ok``: some test passes only with the gold patch.  ``task_perfect``: more
-    tests pass with it and none is lost.  The run ``before`` plays no part.
+    tests pass with it and none is lost.  The run ``before`` plays no part, but a report
+    of any of the three that lists a test twice voids the task: all its figures are NULL.
+    With ``tasks`` a task without any outcome has a row too, with zeros.
     """
     n = F.col
     tests = _per_test(
         outcomes, task, gold=_passed_in("gold"), after=_passed_in("after"),
-        in_gold=F.bool_or(n("run") == "gold"),
+        in_gold=F.bool_or(n("run") == "gold"), twice=_listed_twice(("before", "after", "gold")),
     )
     counted = tests.groupBy(task).agg(
         F.count_if("gold").alias("n_pass_to_pass"),
@@ -39,14 +46,17 @@ def task_correctness(outcomes: DataFrame, task: str = "task") -> DataFrame:
         F.count_if("after").alias("n_after"),
         F.count_if(n("gold") & ~n("after")).alias("n_gained"),
         F.count_if(n("after") & ~n("gold")).alias("n_lost"),
+        F.bool_or("twice").alias("void"),
     )
-    return counted.select(
-        task,
-        (n("n_gained") > 0).alias("task_ok"),
-        ((n("n_pass_to_pass") > n("n_after")) & (n("n_lost") == 0)).alias("task_perfect"),
-        "n_pass_to_pass",
-        "n_fail_to_pass",
-    )
+    if tasks is not None:
+        counted = tasks.select(task).join(counted, task, "left").na.fill(0).na.fill(False)
+    figures = {
+        "task_ok": n("n_gained") > 0,
+        "task_perfect": (n("n_pass_to_pass") > n("n_after")) & (n("n_lost") == 0),
+        "n_pass_to_pass": n("n_pass_to_pass"),
+        "n_fail_to_pass": n("n_fail_to_pass"),
+    }
+    return counted.select(task, *[F.when(~n("void"), x).alias(name) for name, x in figures.items()])
 
 
 def task_test_lists(outcomes: DataFrame, task: str = "task", run: str = "gold") -> DataFrame:
@@ -128,41 +138,55 @@ def variant_pass(
     task: str = "task",
     baseline: str = "dry_run",
     require_nonempty: bool = True,
+    loose: Sequence[str] = (),
 ) -> DataFrame:
     """``pass_<variant>`` per task: the variant passes all tests that the baseline passes.
 
-    A variant without a passed test fails unless ``require_nonempty`` is off.
+    A variant without a passed test fails unless ``require_nonempty`` is off; ``loose``
+    names variants whose flag is wanted in that way too, as ``loose_<variant>``.  A report
+    that lists a test twice fails the evaluation of its task: all its flags are NULL.
     """
-    tests = _per_test(outcomes, task, _base=_passed_in(baseline), **{f"_{v}": _passed_in(v) for v in variants})
+    runs = (baseline, *variants)
+    tests = _per_test(
+        outcomes, task, _base=_passed_in(baseline), _twice=_listed_twice(runs), **{f"_{v}": _passed_in(v) for v in variants}
+    )
+    valid = ~F.bool_or("_twice")
 
-    def flag(variant: str) -> Column:
+    def flag(variant: str, strict: bool, name: str) -> Column:
         good = ~F.bool_or(F.col("_base") & ~F.col(f"_{variant}"))
-        if require_nonempty:
+        if strict:
             good = good & F.bool_or(F.col(f"_{variant}"))
-        return good.cast("int").alias(f"pass_{variant}")
+        return F.when(valid, good.cast("int")).alias(f"{name}_{variant}")
 
     return tests.groupBy(task).agg(
-        F.bool_or("_base").cast("int").alias(f"pass_{baseline}"), *[flag(v) for v in variants]
+        F.when(valid, F.bool_or("_base").cast("int")).alias(f"pass_{baseline}"),
+        *[flag(v, require_nonempty, "pass") for v in variants],
+        *[flag(v, False, "loose") for v in loose],
     )
 
 
 def zero_failed_flags(
     tasks: DataFrame, flags: DataFrame, variants: Sequence[str], task: str = "task",
-    baseline: str = "dry_run", always: str = "gen",
+    baseline: str = "dry_run", always: str = "gen", evaluated: str | None = None,
 ) -> DataFrame:
     """Flags of all tasks; a failed evaluation has zeros.
 
     A variant column of ``tasks`` that is NULL means the task has no such variant:
-    its flag stays NULL.  The variant ``always`` has a flag in any case.
+    its flag stays NULL.  The variant ``always`` has a flag in any case.  ``evaluated``
+    names a column of ``tasks`` that is true where the runs took place: a task whose
+    reports list no test then has zeros and status 1.  Without it a task without
+    outcomes counts as failed.
     """
-    rows = tasks.join(flags, task, "left")
+    rows = tasks.join(flags.withColumn("_listed", F.lit(True)), task, "left")
     fill = lambda v: F.coalesce(F.col(f"pass_{v}"), F.lit(0))
     columns = [fill(baseline).alias(f"pass_{baseline}")]
     for variant in variants:
         present = F.lit(True) if variant == always else F.col(variant).isNotNull()
         columns.append(F.when(present, fill(variant)).alias(f"pass_{variant}"))
-    done = F.col(f"pass_{baseline}").isNotNull().cast("int").alias("status")
-    return rows.select(*tasks.columns, *columns, done)
+    done = F.col(f"pass_{baseline}").isNotNull()
+    if evaluated is not None:
+        done = done | (F.col("_listed").isNull() & F.coalesce(F.col(evaluated), F.lit(False)))
+    return rows.select(*tasks.columns, *columns, done.cast("int").alias("status"))
 
 
 def distinct_builds(tasks: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

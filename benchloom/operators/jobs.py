@@ -107,12 +107,16 @@ def score_benchmark(tasks: DataFrame, runs: DataFrame, task: str = "instance_id"
 
 def score_variants(
     tasks: DataFrame, builds: DataFrame, outcomes: DataFrame, variants: Sequence[str],
-    task: str = "id", build_keys: Sequence[str] = ("repo", "base_commit"),
+    task: str = "id", build_keys: Sequence[str] = ("repo", "base_commit"), evaluated: str | None = None,
 ) -> DataFrame:
-    """Flags of all tasks whose environment was built, under their metric names."""
+    """Flags of all tasks whose environment was built, under their metric names.
+
+    ``evaluated`` names the column of ``tasks`` that is true where the runs took place.
+    """
     ready = evaluate.build_gate(tasks, builds, list(build_keys))
     flags = evaluate.variant_pass(outcomes, variants, task)
-    return metrics.rename_metrics(evaluate.zero_failed_flags(ready, flags, variants, task), [task])
+    zeroed = evaluate.zero_failed_flags(ready, flags, variants, task, evaluated=evaluated)
+    return metrics.rename_metrics(zeroed, [task])
 
 
 def score_test_generation(tasks: DataFrame, logs: DataFrame, task: str = "doc_id") -> DataFrame:

@@ -26,6 +26,17 @@ def outcomes(t: Tables) -> DataFrame:
     return last.select("task", "run", "nodeid", F.when(F.col("ok"), "passed").otherwise("failed").alias("outcome"))
 
 
+def listed(t: Tables) -> DataFrame:
+    """The outcomes, with one test listed twice in the second run of some tasks."""
+    once = outcomes(t)
+    again = once.where("task % 17 = 3 AND run = 'after' AND nodeid = 't.py::test_0'")
+    return once.unionByName(again.withColumn("outcome", F.lit("passed")))
+
+
+DUPLICATES = """
+dup AS (SELECT DISTINCT task FROM o WHERE task % 17 = 3 AND run = 'after' AND nodeid = 't.py::test_0')
+"""
+
 OUTCOMES = """
 o AS (
   SELECT task, run, nodeid, CASE WHEN arg_max(ok, event_id) THEN 'passed' ELSE 'failed' END AS outcome FROM (
@@ -37,16 +48,19 @@ o AS (
 
 
 @query(f"""
-WITH {OUTCOMES},
+WITH {OUTCOMES}, {DUPLICATES},
 x AS (SELECT task, nodeid, bool_or(run = 'gold' AND outcome = 'passed') AS g, bool_or(run = 'after' AND outcome = 'passed') AS a,
-             bool_or(run = 'gold') AS ing FROM o GROUP BY 1, 2)
-SELECT task, count(*) FILTER (WHERE g AND NOT a) > 0 AS task_ok,
-  count(*) FILTER (WHERE g) > count(*) FILTER (WHERE a) AND count(*) FILTER (WHERE a AND NOT g) = 0 AS task_perfect,
-  count(*) FILTER (WHERE g) AS n_pass_to_pass, count(*) FILTER (WHERE ing AND NOT g) AS n_fail_to_pass
-FROM x GROUP BY 1
+             bool_or(run = 'gold') AS ing FROM o GROUP BY 1, 2),
+c AS (SELECT task, count(*) FILTER (WHERE g AND NOT a) > 0 AS ok,
+        count(*) FILTER (WHERE g) > count(*) FILTER (WHERE a) AND count(*) FILTER (WHERE a AND NOT g) = 0 AS perfect,
+        count(*) FILTER (WHERE g) AS p2p, count(*) FILTER (WHERE ing AND NOT g) AS f2p FROM x GROUP BY 1),
+k AS (SELECT c_custkey AS task, c_custkey IN (SELECT task FROM dup) AS void FROM customer)
+SELECT k.task, CASE WHEN NOT void THEN coalesce(ok, FALSE) END AS task_ok, CASE WHEN NOT void THEN coalesce(perfect, FALSE) END AS task_perfect,
+  CASE WHEN NOT void THEN coalesce(p2p, 0) END AS n_pass_to_pass, CASE WHEN NOT void THEN coalesce(f2p, 0) END AS n_fail_to_pass
+FROM k LEFT JOIN c ON c.task = k.task
 """)
 def task_correctness(t: Tables):
-    return evaluate.task_correctness(outcomes(t))
+    return evaluate.task_correctness(listed(t), tasks=t.customer.selectExpr("c_custkey AS task"))
 
 
 @query(f"""
@@ -107,41 +121,42 @@ def solve_rate(t: Tables):
 
 
 VARIANT = f"""
-WITH {OUTCOMES},
+WITH {OUTCOMES}, {DUPLICATES},
 x AS (SELECT task, nodeid, bool_or(run = 'before' AND outcome = 'passed') AS b, bool_or(run = 'after' AND outcome = 'passed') AS a,
              bool_or(run = 'gold' AND outcome = 'passed') AS g FROM o GROUP BY 1, 2),
-f AS (SELECT task, CAST(bool_or(b) AS INTEGER) AS pass_dry_run,
+r AS (SELECT task, CAST(bool_or(b) AS INTEGER) AS pass_dry_run,
         CAST(NOT bool_or(b AND NOT a) AND bool_or(a) AS INTEGER) AS pass_gen,
         CAST(NOT bool_or(b AND NOT g) AND bool_or(g) AS INTEGER) AS pass_gt,
-        CAST(NOT bool_or(b AND NOT a) AS INTEGER) AS loose_gen FROM x GROUP BY 1)
+        CAST(NOT bool_or(b AND NOT a) AS INTEGER) AS loose_gen FROM x GROUP BY 1),
+f AS (SELECT r.task, CASE WHEN dup.task IS NULL THEN pass_dry_run END AS pass_dry_run, CASE WHEN dup.task IS NULL THEN pass_gen END AS pass_gen,
+        CASE WHEN dup.task IS NULL THEN pass_gt END AS pass_gt, CASE WHEN dup.task IS NULL THEN loose_gen END AS loose_gen
+      FROM r LEFT JOIN dup ON dup.task = r.task)
 """
 
 
 def variant_outcomes(t: Tables) -> DataFrame:
     names = {"before": "dry_run", "after": "gen", "gold": "gt"}
-    return outcomes(t).where(F.col("run") != "model").replace(names, subset=["run"])
+    return listed(t).where(F.col("run") != "model").replace(names, subset=["run"])
 
 
 @query(VARIANT + "SELECT * FROM f")
 def variant_pass(t: Tables):
-    runs = variant_outcomes(t)
-    strict = evaluate.variant_pass(runs, ["gen", "gt"])
-    loose = evaluate.variant_pass(runs, ["gen"], require_nonempty=False)
-    return strict.join(loose.select("task", F.col("pass_gen").alias("loose_gen")), "task")
+    return evaluate.variant_pass(variant_outcomes(t), ["gen", "gt"], loose=["gen"])
 
 
 @query(VARIANT + """
 SELECT c_custkey AS task, coalesce(pass_dry_run, 0) AS pass_dry_run, coalesce(pass_gen, 0) AS pass_gen,
   CASE WHEN c_mktsegment <> 'BUILDING' THEN coalesce(pass_gt, 0) END AS pass_gt,
-  CASE WHEN pass_dry_run IS NULL THEN 0 ELSE 1 END AS status
+  CASE WHEN pass_dry_run IS NOT NULL OR (f.task IS NULL AND c_custkey % 10 <> 0) THEN 1 ELSE 0 END AS status
 FROM customer LEFT JOIN f ON f.task = c_custkey
 """)
 def evaluation_flags(t: Tables):
     tasks = t.customer.selectExpr(
-        "c_custkey AS task", "'code' AS gen", "if(c_mktsegment <> 'BUILDING', 'code', NULL) AS gt"
+        "c_custkey AS task", "'code' AS gen", "if(c_mktsegment <> 'BUILDING', 'code', NULL) AS gt",
+        "c_custkey % 10 <> 0 AS ran",
     )
     flags = evaluate.variant_pass(variant_outcomes(t), ["gen", "gt"])
-    return evaluate.zero_failed_flags(tasks, flags, ["gen", "gt"]).drop("gen", "gt")
+    return evaluate.zero_failed_flags(tasks, flags, ["gen", "gt"], evaluated="ran").drop("gen", "gt", "ran")
 
 
 @query("""

@@ -70,3 +70,17 @@ def test_ids_and_commands(spark):
     files = spark.createDataFrame([("a", "pom.xml"), ("a", "java/pom.xml"), ("b", "java/pom.xml"), ("c", "x/pom.xml")], "repo STRING, path STRING")
     got = {r.repo: (r.command, r.error) for r in evaluate.java_test_command(files).collect()}
     assert got == {"a": ("mvn test", None), "b": ("cd java; mvn test", None), "c": (None, "no_pom")}
+
+
+def test_duplicates_void_and_silent_runs_count(spark):
+    df = outcomes(
+        spark, ("twice", "dry_run", "x", "passed"), ("twice", "gen", "x", "passed"), ("twice", "gen", "x", "failed"),
+        ("good", "dry_run", "x", "passed"), ("good", "gen", "x", "passed"))
+    flags = evaluate.variant_pass(df, ["gen"], loose=["gen"])
+    assert {r.task: (r.pass_dry_run, r.pass_gen, r.loose_gen) for r in flags.collect()} == {"twice": (None, None, None), "good": (1, 1, 1)}
+    tasks = spark.createDataFrame([("twice", True), ("good", True), ("silent", True), ("broken", False)], "task STRING, ran BOOLEAN")
+    got = evaluate.zero_failed_flags(tasks, flags, ["gen"], evaluated="ran").collect()
+    assert {r.task: (r.pass_dry_run, r.pass_gen, r.status) for r in got} == {"twice": (0, 0, 0), "good": (1, 1, 1), "silent": (0, 0, 1), "broken": (0, 0, 0)}
+    gold = outcomes(spark, ("t", "gold", "x", "passed"), ("t", "gold", "x", "failed"), ("u", "gold", "x", "passed"))
+    rows = evaluate.task_correctness(gold, tasks=spark.createDataFrame([("t",), ("u",), ("v",)], "task STRING")).collect()
+    assert {r.task: (r.task_ok, r.n_pass_to_pass) for r in rows} == {"t": (None, None), "u": (True, 1), "v": (False, 0)}
