@@ -359,10 +359,56 @@ def ctest_cases(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)
             F.coalesce(test["Path"], F.lit("")).alias("classname"),
             F.when(ok, "passed").otherwise("failed").alias("status"),
             told.alias("message"),
+            told.alias("details"),
         )
     )
 
 
+def _state_summary(parsed: DataFrame, keys: Keys, states: Column, error: Column, without_tests: str) -> DataFrame:
+    """Counters of the states in the row of a report; a report without tests has zeros.
+
+    A malformed report has a ``parse_error`` and no counters.
+    """
+    n = F.col
+    rows = compute_once(parsed.withColumn("parse_error", error), [*keys, "parse_error"], F.coalesce(states, F.array()), "_states")
+    state = lambda *names: F.when(n("parse_error").isNull(), count_where("_states", lambda x: x.isin(*names)))
+    total = F.when(n("parse_error").isNull(), F.size("_states").cast("bigint"))
+    counted = rows.select(
+        *keys,
+        total.alias("total"),
+        state("passed").alias("passed"),
+        state("failed").alias("failed"),
+        state("skipped").alias("skipped"),
+        state("error").alias("errors"),
+        total.alias("collected"),
+        "parse_error",
+    )
+    bad = n("failed") + n("errors") > 0
+    status = F.when(n("total") == 0, without_tests).when(bad, "failed").when(n("total") > 0, "passed")
+    return counted.select(*keys, *COUNTERS, "collected", status.alias("status"), "parse_error")
+
+
+def ctest_summary(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
+    """Counters of CTest documents; one without tests has failed."""
+    doc = F.from_xml(F.col(text), F.lit(CTEST), {**XML_OPTIONS, "attributePrefix": "_a_"})
+    tests = F.filter(F.flatten(F.transform(F.col("_doc.Testing"), lambda t: t["Test"])), lambda t: t["Name"].isNotNull())
+    states = F.transform(tests, lambda t: F.when(t["Status"] == "passed", "passed").otherwise("failed"))
+    return _state_summary(compute_once(reports, keys, doc, "_doc"), keys, states, _parse_error("_doc"), "failed")
+
+
+def gtest_summary(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
+    """Counters of gtest JSON reports, or of their generic form; one without tests is ``unknown``."""
+    ran = lambda c: F.when(F.coalesce(c["status"], F.lit("RUN")) == "RUN", "passed").otherwise("failed")
+    suites = F.transform(F.col("_doc.testsuites"), lambda s: F.transform(F.coalesce(s["testsuite"], F.array()), ran))
+    generic = F.transform(F.col("_doc.tests"), lambda t: F.coalesce(t["status"], F.lit("unknown")))
+    states = F.when(F.col("_doc.testsuites").isNotNull(), F.flatten(suites)).otherwise(generic)
+    # a field of another type, such as the number of tests, is no error: only text that is no JSON is
+    unread = F.col("_doc.testsuites").isNull() & F.col("_doc.tests").isNull()
+    error = F.when(unread & F.get_json_object("_doc._corrupt_record", "$").isNull(), _parse_error("_doc"))
+    parsed = compute_once(reports, keys, _json(F.col(text), schemas.GTEST), "_doc")
+    return _state_summary(parsed, keys, states, error, "unknown")
+
+
 def count_states(tests: DataFrame, keys: Keys = ("run_id",)) -> DataFrame:
     """A summary counted from test rows (partial counts are summed before the exchange)."""
     n = F.col
@@ -404,6 +450,7 @@ def gtest_cases(
             F.rtrim(F.coalesce(case["time"], F.lit("0")), F.lit("s")).try_cast("double").alias("time"),
             F.when(ok, "passed").otherwise("failed").alias("status"),
             told.alias("message"),
+            told.alias("details"),
         )
     )
     bare = F.when(F.col("_doc.testsuites").isNull(), F.col("_doc.tests"))
@@ -416,6 +463,7 @@ def gtest_cases(
             case["time"].alias("time"),
             F.coalesce(case["status"], F.lit("unknown")).alias("status"),
             F.lit(None).cast("string").alias("message"),
+            F.lit(None).cast("string").alias("details"),
         )
     )
     return suites.unionByName(generic)

@@ -206,21 +206,37 @@ def ctest_reports(t: Tables) -> DataFrame:
         if(i % 2 = 0, concat('out ', i), '<Value>v</Value>'), '</Measurement></Results></Test>')"""
     text = f"""concat('<?xml version="1.0"?><Site Name="x"><Testing><TestList><Test>./a</Test></TestList>',
         {joined(t, case)}, '</Testing></Site>')"""
-    return lines_of(t).selectExpr("run_id", f"{text} AS text")
+    empty = "<Site><Testing><TestList/></Testing></Site>"
+    whole = f"CASE run_id % 13 WHEN 5 THEN '{empty}' WHEN 7 THEN '<Site><Testing>' ELSE {text} END"
+    return lines_of(t).selectExpr("run_id", f"{whole} AS text")
+
+
+CTESTS = "s AS (SELECT *, n % 3 = 0 AND i % 7 <> 6 AS ok FROM dl WHERE n % 11 <> 10 AND run_id % 13 NOT IN (5, 7))"
 
 
 @query(f"""
-WITH {RUNS},
-s AS (SELECT *, n % 3 = 0 AND i % 7 <> 6 AS ok FROM dl WHERE n % 11 <> 10)
+WITH {RUNS}, {CTESTS}
 SELECT run_id, ln AS name, CASE WHEN i % 5 = 4 THEN '' ELSE './d' || i END AS classname,
   CASE WHEN ok THEN 'passed' ELSE 'failed' END AS status,
-  CASE WHEN ok THEN NULL WHEN i % 2 = 0 THEN 'out ' || i ELSE '' END AS message
+  CASE WHEN ok THEN NULL WHEN i % 2 = 0 THEN 'out ' || i ELSE '' END AS message, message AS details
 FROM s
 """)
 def ctest_xml(t: Tables):
     return reports.ctest_cases(ctest_reports(t)).drop("pos")
 
 
+@query(f"""
+WITH {RUNS}, {CTESTS},
+c AS (SELECT doc_id AS run_id, count(ok) AS total, count(*) FILTER (WHERE ok) AS passed, count(*) FILTER (WHERE NOT ok) AS failed
+      FROM documents LEFT JOIN s ON s.run_id = doc_id WHERE doc_id % 13 <> 7 GROUP BY 1)
+SELECT run_id, total, passed, failed, 0::BIGINT AS skipped, 0::BIGINT AS errors, total AS collected,
+  CASE WHEN total > 0 AND failed = 0 THEN 'passed' ELSE 'failed' END AS status, NULL AS parse_error FROM c
+UNION ALL SELECT doc_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'malformed' FROM documents WHERE doc_id % 13 = 7
+""")
+def ctest_summary(t: Tables):
+    return reports.ctest_summary(ctest_reports(t))
+
+
 def gtest_reports(t: Tables) -> DataFrame:
     case = """named_struct('name', ln, 'status', if(length(ln) % 4 = 3, 'NOTRUN', 'RUN'), 'time', concat(i / 8.0D, 's'),
         'failures', if(length(ln) % 4 >= 2, array(named_struct('failure', concat('bad ', ln))), NULL))"""
@@ -229,7 +245,8 @@ def gtest_reports(t: Tables) -> DataFrame:
     suites = f"""to_json(named_struct('tests', size(ls), 'testsuites', array(
         named_struct('name', concat('S', run_id), 'testsuite', transform(ls, (ln, i) -> {case})))))"""
     tests = f"to_json(named_struct('tests', transform(ls, (ln, i) -> {generic})))"
-    return lines_of(t).selectExpr("run_id", f"if(run_id % 3 < 2, {suites}, {tests}) AS text")
+    odd = """WHEN 5 THEN '{"testsuites": []}' WHEN 6 THEN '{"tests": []}' WHEN 7 THEN '{"broken' """
+    return lines_of(t).selectExpr("run_id", f"CASE run_id % 13 {odd} ELSE if(run_id % 3 < 2, {suites}, {tests}) END AS text")
 
 
 @query(f"""
@@ -237,8 +254,8 @@ WITH {RUNS}
 SELECT run_id, ln AS name, CASE WHEN run_id % 3 < 2 THEN 'S' || run_id ELSE 'g' END AS classname, i / 8.0::DOUBLE AS time,
   CASE WHEN run_id % 3 < 2 THEN CASE WHEN n % 4 = 3 THEN 'failed' ELSE 'passed' END
        ELSE CASE n % 4 WHEN 0 THEN 'passed' WHEN 1 THEN 'failed' WHEN 2 THEN 'skipped' ELSE 'error' END END AS status,
-  CASE WHEN run_id % 3 < 2 AND n % 4 = 3 THEN 'bad ' || ln END AS message
-FROM dl
+  CASE WHEN run_id % 3 < 2 AND n % 4 = 3 THEN 'bad ' || ln END AS message, message AS details
+FROM dl WHERE run_id % 13 NOT IN (5, 6, 7)
 """)
 def gtest_json(t: Tables):
     return reports.gtest_cases(gtest_reports(t))
@@ -248,13 +265,15 @@ def gtest_json(t: Tables):
 WITH {RUNS},
 s AS (SELECT run_id, CASE WHEN run_id % 3 < 2 THEN CASE WHEN n % 4 = 3 THEN 'failed' ELSE 'passed' END
        ELSE CASE n % 4 WHEN 0 THEN 'passed' WHEN 1 THEN 'failed' WHEN 2 THEN 'skipped' ELSE 'error' END END AS st FROM dl)
-SELECT run_id, count(*) AS total, count(*) FILTER (WHERE st = 'passed') AS passed, count(*) FILTER (WHERE st = 'failed') AS failed,
-  count(*) FILTER (WHERE st = 'skipped') AS skipped, count(*) FILTER (WHERE st = 'error') AS errors, count(*) AS collected,
-  CASE WHEN count(*) FILTER (WHERE st IN ('failed', 'error')) = 0 THEN 'passed' ELSE 'failed' END AS status
-FROM s GROUP BY 1
+SELECT doc_id AS run_id, count(st) AS total, count(*) FILTER (WHERE st = 'passed') AS passed, count(*) FILTER (WHERE st = 'failed') AS failed,
+  count(*) FILTER (WHERE st = 'skipped') AS skipped, count(*) FILTER (WHERE st = 'error') AS errors, count(st) AS collected,
+  CASE WHEN count(st) = 0 THEN 'unknown' WHEN count(*) FILTER (WHERE st IN ('failed', 'error')) = 0 THEN 'passed' ELSE 'failed' END AS status,
+  NULL AS parse_error
+FROM documents LEFT JOIN s ON s.run_id = doc_id AND doc_id % 13 NOT IN (5, 6) WHERE doc_id % 13 <> 7 GROUP BY 1
+UNION ALL SELECT doc_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'malformed' FROM documents WHERE doc_id % 13 = 7
 """)
 def gtest_summary(t: Tables):
-    return reports.count_states(reports.gtest_cases(gtest_reports(t)))
+    return reports.gtest_summary(gtest_reports(t))
 
 
 def rspec_reports(t: Tables) -> DataFrame:
