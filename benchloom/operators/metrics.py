@@ -141,27 +141,35 @@ def _library(path: Column) -> Column:
     return F.get(F.split(path, "/", -1), F.lit(2))
 
 
-def build_commands(logs: DataFrame, root: str, environment: str, order: str = "seq") -> DataFrame:
-    """One build script per library from the commands that returned 0.
+def build_command_lines(logs: DataFrame, root: str, environment: str, order: str = "seq") -> DataFrame:
+    """``lib_name, position, command``: the commands of each library that returned 0.
 
-    Absolute paths become variables.  A script holds the commands of one library;
-    they are gathered after the failed ones are dropped.
+    Absolute paths become variables; a library is known by the folder of its first command.
+    One row per command, so a library with any number of them spreads.
     """
     good = logs.where(F.col("returncode") == 0).select(
-        _library(F.col("path_lib_name")).alias("lib_name"), "path_lib_name", "cmd", order
+        _library(F.col("path_lib_name")).alias("lib_name"), "path_lib_name", "cmd", F.col(order).alias("position")
+    )
+    folders = good.groupBy("lib_name").agg(F.min_by("path_lib_name", "position").alias("_path"))
+    folder = F.concat(F.lit(f"{root}/"), F.col("_path"))
+    command = F.replace("cmd", F.concat(folder, F.lit(f"/{environment}")), F.lit("$path_venv"))
+    return good.join(folders, "lib_name").select(
+        "lib_name", "position", F.replace(command, folder, F.lit("$path_lib")).alias("command")
     )
+
+
+def build_commands(logs: DataFrame, root: str, environment: str, order: str = "seq") -> DataFrame:
+    """One build script per library: the output format of ``build_command_lines``.
+
+    A script is one cell; use the long form where a library may have more commands than
+    fit in one.
+    """
     commands = F.transform(
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("p"), F.col("cmd").alias("c")))),
+        F.array_sort(F.collect_list(F.struct(F.col("position").alias("p"), F.col("command").alias("c")))),
         lambda e: e["c"],
     )
-    folder = F.concat(F.lit(f"{root}/"), F.col("_path"))
-    script = F.array_join("_commands", "\n")
-    script = F.replace(script, F.concat(folder, F.lit(f"/{environment}")), F.lit("$path_venv"))
-    return (
-        good.groupBy("lib_name")
-        .agg(commands.alias("_commands"), F.min_by("path_lib_name", order).alias("_path"))
-        .select("lib_name", F.replace(script, folder, F.lit("$path_lib")).alias("command"))
-    )
+    rows = build_command_lines(logs, root, environment, order)
+    return rows.groupBy("lib_name").agg(F.array_join(commands, "\n").alias("command"))
 
 
 def add_commands(dataset: DataFrame, commands: DataFrame, repo: str = "repo") -> DataFrame:

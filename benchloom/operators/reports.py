@@ -678,6 +678,13 @@ def go_packages(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)
     )
 
 
+def merge_packages(packages: DataFrame, keys: Keys, order: str = "run_id") -> DataFrame:
+    """The packages of several reports as one list per run: of a repeated package the last counts."""
+    row = F.struct("status", "elapsed")
+    merged = packages.groupBy(*keys, "name").agg(F.max_by(row, order).alias("_p"))
+    return merged.select(*keys, "name", "_p.*")
+
+
 def go_summary(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
     """Counters of a Go event log: end events of tests, or package states without any.
 

@@ -369,6 +369,23 @@ def build_logs(t: Tables) -> DataFrame:
     )
 
 
+@query(f"""
+WITH {LINES}
+SELECT source AS lib_name, (1000000 - i) * 1000000 + doc_id AS position,
+  CASE WHEN n % 2 = 0 THEN '$path_venv/bin/pip install p' ELSE '$path_lib/setup.py b' END || i || ' ' || ln AS command
+FROM dl JOIN documents USING (doc_id) WHERE n % 3 <> 0
+""")
+def build_command_lines(t: Tables):
+    """Libraries with the commands of many documents each."""
+    rows = t.documents.selectExpr("doc_id", "source", "posexplode(split(text, '\\n')) AS (i, ln)").selectExpr(
+        "concat('data/v3/', source) AS path_lib_name",
+        "concat('/root/data/v3/', source, if(length(ln) % 2 = 0, '/venv/bin/pip install p', '/setup.py b'), i, ' ', ln) AS cmd",
+        "if(length(ln) % 3 = 0, 1, 0) AS returncode",
+        "cast((1000000 - i) AS BIGINT) * 1000000 + doc_id AS seq",
+    )
+    return metrics.build_command_lines(rows, "/root", "venv")
+
+
 BUILD = f"""
 WITH {LINES},
 b AS (SELECT 'lib' || doc_id AS lib_name,

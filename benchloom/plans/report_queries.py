@@ -483,6 +483,16 @@ def go_packages(t: Tables):
     return reports.go_packages(go_reports(t))
 
 
+@query(GO + """,
+g AS (SELECT run_id, package, max_by(st, i) AS st FROM pk GROUP BY 1, 2)
+SELECT source, package AS name, max_by(st, run_id) AS status, CASE max_by(st, run_id) WHEN 'passed' THEN 2.5::DOUBLE ELSE 0.5::DOUBLE END AS elapsed
+FROM g JOIN documents ON doc_id = run_id GROUP BY 1, 2
+""")
+def merge_packages(t: Tables):
+    sources = t.documents.selectExpr("doc_id AS run_id", "source")
+    return reports.merge_packages(reports.go_packages(go_reports(t)).join(sources, "run_id"), ["source"])
+
+
 def rust_reports(t: Tables) -> DataFrame:
     test = lambda event, extra: f"""to_json(named_struct('type', 'test', 'event', '{event}', 'name', ln {extra}))"""
     line = pick(

@@ -56,6 +56,17 @@ REPORT_PATHS = {
 }
 
 
+# File names of the reports, so that a listing drops all others.
+REPORT_NAMES = {
+    "java": "TEST-*.xml", "go": "*.{json,xml,jsonl}", "scala": "*.xml", "python": "report_pytest.json",
+    "javascript": "{test-results.xml,jest-results.json}", "typescript": "{test-results.xml,jest-results.json}",
+}
+
+
+def report_names(language: str) -> str:
+    return REPORT_NAMES.get(language, "*.{json,xml}")
+
+
 def is_report(path: Column, language: str) -> Column:
     return path.rlike(REPORT_PATHS[language])
 
@@ -63,11 +74,14 @@ def is_report(path: Column, language: str) -> Column:
 def discover_reports(spark: SparkSession, root: str, language: str) -> DataFrame:
     """``path, text`` of the report files below a folder, each once.
 
-    The path filter is a predicate on file metadata, so files of other names are
-    pruned before they are opened.
+    Files of other names are dropped while folders are listed; the folders in the path
+    are a predicate on file metadata, so no other file is opened.
     """
     files = (
-        spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(root)
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", report_names(language))
+        .option("wholetext", True)
+        .text(root)
     )
     return files.where(is_report(F.col("_metadata.file_path"), language)).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")

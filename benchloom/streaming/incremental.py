@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.files import is_report
+from ..operators.collect import pending
+from ..sources.files import is_report, report_names
 
 
 def state_folder(spark: SparkSession, job: str, default: str | None = None) -> str:
@@ -37,6 +39,7 @@ def stream_reports(
     files = (
         spark.readStream.option("recursiveFileLookup", True)
         .option("wholetext", True)
+        .option("pathGlobFilter", report_names(language))
         .option("maxFilesPerTrigger", files_per_batch)
         .text(root)
     )
@@ -45,6 +48,16 @@ def stream_reports(
     )
 
 
+def _written(spark: SparkSession, sink: str, number: int, keys: Sequence[str]) -> DataFrame | None:
+    """The keys that other micro-batches have written; None before the first."""
+    try:
+        return spark.read.parquet(sink).where(F.col("batch") != number).select(*keys).distinct()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def process_new(
     source: DataFrame,
     operator: Callable[[DataFrame], DataFrame],
@@ -55,11 +68,17 @@ def process_new(
     """Run a batch operator over whatever is new, then stop.
 
     A micro-batch replaces its own output folder, so one that is repeated after a
-    failure writes its rows once.  With ``keys``, an item is taken once per batch.
+    failure writes its rows once.  With ``keys``, which the operator must return, an
+    item is taken once: repeated keys of a batch and keys that the sink already holds
+    are left out.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = batch.dropDuplicates(list(keys)) if keys else batch
+        rows = batch
+        if keys:
+            rows = batch.dropDuplicates(list(keys))
+            done = _written(batch.sparkSession, sink, number, keys)
+            rows = rows if done is None else pending(rows, done, list(keys))
         operator(rows).write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
     return (

@@ -83,3 +83,19 @@ def test_stream_of_mappings(spark, tmp_path):
     sink = str(tmp_path / "sink")
     incremental.process_new(source, lambda b: b.select("pr_number"), sink, str(tmp_path / "s"), ["pr_number"]).awaitTermination()
     assert spark.read.parquet(f"{sink}/*").count() == 1
+
+
+def test_a_key_in_two_files_is_written_once(spark, tmp_path):
+    sink, state = str(tmp_path / "sink"), str(tmp_path / "state")
+    keep = lambda batch: batch.select("repo_name", "pr_number")
+
+    def run():
+        source = incremental.stream_jsonl(spark, str(tmp_path / "in"), schemas.MAPPINGS, files_per_batch=1)
+        incremental.process_new(source, keep, sink, state, ["repo_name", "pr_number"]).awaitTermination()
+        return sorted(tuple(r) for r in spark.read.parquet(sink).select("repo_name", "pr_number").collect())
+
+    put(tmp_path / "in", "a.json", '{"repo_name": "r", "pr_number": 1}\n')
+    put(tmp_path / "in", "b.json", '{"repo_name": "r", "pr_number": 1}\n{"repo_name": "r", "pr_number": 2}\n')
+    assert run() == [("r", 1), ("r", 2)]
+    put(tmp_path / "in", "c.json", '{"repo_name": "r", "pr_number": 2}\n{"repo_name": "q", "pr_number": 1}\n')
+    assert run() == [("q", 1), ("r", 1), ("r", 2)]
