@@ -288,14 +288,17 @@ def flatten_comments(edges: Column) -> Column:
 def enrich_mappings(validated: DataFrame, prs: DataFrame, issues: DataFrame) -> DataFrame:
     """Add texts and comments to the valid rows; all other rows pass through unenriched.
 
-    A row is enriched only when both of its details exist.  Details are reduced to
-    one per number; the flag is part of the join condition, not of the join key, so
-    invalid rows stay spread over the numbers.
+    A row is enriched only when both of its details exist.  Only details of numbers that
+    a valid row names are looked at, and reduced to one per number; the flag is part of
+    the join condition, not of the join key, so invalid rows stay spread over the numbers.
     """
+    valid = validated.where("map_issue_pr_ok")
 
     def details(df: DataFrame, side: str) -> DataFrame:
+        named = valid.select("repo_name", F.col(f"{side}_number").alias("number")).distinct()
         value = F.struct("title", "body", flatten_comments(F.col("comments.edges")).alias("comments"))
-        one = df.groupBy("repo_name", "number").agg(F.any_value(value).alias(f"_{side}"))
+        wanted = df.join(named, ["repo_name", "number"], "left_semi")
+        one = wanted.groupBy("repo_name", "number").agg(F.any_value(value).alias(f"_{side}"))
         return one.withColumnsRenamed({"repo_name": f"_{side}_repo", "number": f"_{side}_no"})
 
     rows = validated

@@ -68,10 +68,12 @@ def extract_patches(
     rows = collect.patch_eligibility(validated).select("*", key)
     if processed is not None:
         rows = collect.pending(rows, processed, ["item_id"])
-    git = diffs.select("item_id", "cloned", "fetched", "full_patch", "error")
+    # statuses need to know whether there is a diff, not what is in it
+    there = F.when(F.col("full_patch").isNotNull(), "").alias("_diff")
+    git = diffs.select("item_id", "cloned", "fetched", there, "error")
     rows = collect.extraction_status(
-        rows.join(git, "item_id", "left"), F.col("cloned"), F.col("fetched"), F.col("full_patch"), F.col("error")
-    )
+        rows.join(git, "item_id", "left"), F.col("cloned"), F.col("fetched"), F.col("_diff"), F.col("error")
+    ).drop("cloned", "fetched", "_diff")
     status, place = F.col("patch_extraction_status"), F.col(order)
     firsts = rows.groupBy("item_id").agg(
         F.min(F.when(status == "skipped_invalid", place)).alias("_invalid"),
@@ -80,12 +82,12 @@ def extract_patches(
     counted = F.when(F.col("_invalid").isNotNull(), place == F.col("_invalid")).otherwise(
         F.coalesce(place <= F.col("_done"), F.lit(True))
     )
-    kept = rows.join(firsts, "item_id").where(counted).drop("_invalid", "_done", "cloned", "fetched")
-    good = status == "success"
-    split = patches.split_test_patch(
-        kept.withColumn("full_patch", F.when(good, F.col("full_patch"))), pattern=test_files_regexp
-    )
-    return split.withColumnRenamed("error", "patch_extraction_error")
+    kept = rows.join(firsts, "item_id").where(counted).drop("_invalid", "_done")
+    # each diff is split once and travels once, to the rows that succeeded
+    texts = diffs.where("full_patch IS NOT NULL").select(F.col("item_id").alias("_item"), "full_patch")
+    split = patches.split_test_patch(texts, pattern=test_files_regexp)
+    match = (F.col("item_id") == F.col("_item")) & (status == "success")
+    return kept.join(split, match, "left").drop("_item").withColumnRenamed("error", "patch_extraction_error")
 
 
 def score_benchmark(tasks: DataFrame, runs: DataFrame, task: str = "instance_id") -> DataFrame:
