@@ -1,7 +1,8 @@
 """Whole jobs: the operators put together, from input tables to the result table.
 
 Each job is one lazy plan; only ``collect_tasks`` stores its parsed definitions on the
-way, in a folder that the caller names.  ``processed`` arguments hold the keys that earlier
+way, in a folder that the caller names.  A table that lacks a column the job needs is
+refused before anything runs.  ``processed`` arguments hold the keys that earlier
 runs have written; those items are left out.
 """
 
@@ -11,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .. import schemas
 from . import collect, coverage, evaluate, metrics, patches, reports, stdout_logs
 
 
@@ -64,6 +66,8 @@ def extract_patches(
     error``.  Of several rows of an item, in the given order: an invalid one stands
     for all; else rows count up to the first that succeeds or raises an error.
     """
+    collect.require_columns(validated, (*schemas.VALIDATED, order))
+    collect.require_columns(diffs, schemas.DIFFS)
     key = collect.item_key("repo_name", "pr_number", "issue_number").alias("item_id")
     rows = collect.patch_eligibility(validated).select("*", key)
     if processed is not None:
@@ -96,6 +100,7 @@ def score_benchmark(tasks: DataFrame, runs: DataFrame, task: str = "instance_id"
     ``runs`` holds the pytest report of the patched run per task (``text``); a task
     without a run failed critically.
     """
+    collect.require_columns(tasks, (task, *schemas.TASK_LISTS))
     outcomes = reports.pytest_outcomes(runs, keys=[task])
     expected = tasks.select(task, F.explode_outer("PASS_TO_PASS").alias("nodeid")).where("nodeid IS NOT NULL")
     ran = runs.groupBy(task).agg(F.lit(True).alias("ran"))
@@ -115,6 +120,8 @@ def score_variants(
 
     ``evaluated`` names the column of ``tasks`` that is true where the runs took place.
     """
+    collect.require_columns(tasks, (task, *build_keys, *variants, *([evaluated] if evaluated else [])))
+    collect.require_columns(outcomes, (task, "run", *schemas.OUTCOMES))
     ready = evaluate.build_gate(tasks, builds, list(build_keys))
     flags = evaluate.variant_pass(outcomes, variants, task)
     zeroed = evaluate.zero_failed_flags(ready, flags, variants, task, evaluated=evaluated)
@@ -147,6 +154,9 @@ def collect_tasks(
     runs apart in all three.  With ``folder`` the parsed definitions are written there as
     Parquet and read again; without it the plan parses once for each of its uses.
     """
+    collect.require_columns(files, (*keys, path, source))
+    collect.require_columns(contexts, (*keys, *schemas.CONTEXTS))
+    collect.require_columns(outcomes, (*keys, *schemas.OUTCOMES))
     definitions = coverage.latest_definitions(coverage.parse_definitions(files, path, source, keys), keys)
     if folder is not None:
         definitions.write.mode("overwrite").parquet(folder)

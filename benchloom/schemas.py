@@ -41,13 +41,6 @@ DETAILS = f"""
   comments STRUCT<edges: {COMMENT_EDGES}>
 """
 
-RAW_RUNS = """
-  run_id STRING, task_id STRING, phase STRING, stdout STRING, stderr STRING,
-  returncode INT, time DOUBLE
-"""
-
-RAW_REPORTS = "run_id STRING, path STRING, text STRING"
-
 # Report documents.  Numbers that a format writes as text stay text here and are
 # cast by the operator, so that a bad number marks its report and nothing else.
 PYTEST_REPORT = "tests ARRAY<STRUCT<nodeid: STRING, outcome: STRING>>"
@@ -86,14 +79,12 @@ DEFINITIONS = """
   gt STRING, doc STRING, source STRING, seq INT
 """
 
-BENCH_TASK_COLUMNS = [
-    "instance_id", "repo", "base_commit", "image_name", "test_patch", "command_test_small",
-    "timeout_build", "timeout_test",
-]
-CANDIDATE_TASK_COLUMNS = [
-    "task_id", "repo_name", "base_commit", "image_name", "command_test", "command_test_small",
-    "test_patch", "gold_patch", "timeout_build", "timeout_test",
-]
+# Columns that jobs need in their input tables.
+TASK_LISTS = ("PASS_TO_PASS", "FAIL_TO_PASS")
+VALIDATED = ("repo_name", "pr_number", "issue_number", "map_issue_pr_ok", "base_commit", "merge_commit")
+DIFFS = ("item_id", "cloned", "fetched", "full_patch", "error")
+CONTEXTS = ("fn", "line", "context")
+OUTCOMES = ("nodeid", "outcome")
 
 _CASE = """STRUCT<_name: STRING, _classname: STRING, _class: STRING, _time: STRING,
   failure: ARRAY<STRUCT<_message: STRING, _VALUE: STRING>>,

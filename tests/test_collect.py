@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from benchloom.operators import collect
+from benchloom.operators import collect, jobs
 
 
 def rows(df, *columns):
@@ -123,3 +123,9 @@ def test_repo_filter_bounds(spark):
 def test_no_cap_by_default(spark):
     df = spark.createDataFrame([("p", f"n{i:04}") for i in range(150)], "_period STRING, nameWithOwner STRING")
     assert collect.cap_windows(df).count() == 150 and collect.cap_windows(df, 1000).count() == 150
+
+
+def test_jobs_refuse_tables_without_their_columns(spark):
+    tasks = spark.createDataFrame([("t",)], "instance_id STRING")
+    with pytest.raises(ValueError, match="PASS_TO_PASS"):
+        jobs.score_benchmark(tasks, tasks)
