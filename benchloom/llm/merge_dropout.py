@@ -7,8 +7,9 @@ would make, so the same text is cut the same way in every run and on every execu
 under another seed or variant.  A skipped merge stays skipped unless one of its neighbours changes.
 With ``dropout`` 0 the result is the library's own encoding.
 
-No piece of such a vocabulary holds a word mark behind another letter, so a text is cut before spaces
-and each different word is worked out once per variant.  The variant of a row follows from its key.
+No piece of such a vocabulary holds a word mark behind another letter, so a text is cut before spaces, and
+before the punctuation that no piece holds behind a letter; each different word is worked out once per
+variant.  The variant of a row follows from its key.
 
 Decoding joins the pieces of the ids: it gives back every text unchanged, also one that holds the word
 mark itself (which is spelled in bytes here).
@@ -22,12 +23,15 @@ from __future__ import annotations
 
 import functools
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 from xxhash import xxh64_intdigest
@@ -56,51 +60,62 @@ class Pieces:
         byte_of = {i: bytes([b]) for b, i in self.bytes.items()}
         names = [model.id_to_piece(i) for i in range(size)]
         self.ids = {x: i for i, x in enumerate(names) if i not in byte_of and not special[i]}
-        self.cost = {x: -model.get_score(i) for x, i in self.ids.items()}
+        # equal scores have one rank
+        scores = sorted({model.get_score(i) for i in self.ids.values()}, reverse=True)
+        place = {score: r for r, score in enumerate(scores)}
+        self.rank = {x: place[model.get_score(i)] for x, i in self.ids.items()}
         surfaces = [byte_of.get(i, b"" if special[i] else names[i].replace(MARK, " ").encode()) for i in range(size)]
         self.flat = np.frombuffer(b"".join(surfaces), np.uint8)
         self.sizes = np.array([len(x) for x in surfaces], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
+        joined = set(regex.findall(r"(?<=\pL)[!-/:-@]", "\n".join(self.ids)))
+        cuts = [c for c in map(chr, [*range(33, 48), *range(58, 65)]) if c not in joined]
+        self.cut = r"(\pL)([" + "".join("\\" + c for c in cuts) + "])" if cuts else None
         self._known: dict[tuple, bytes] = {}
 
     def segment(self, word: str, dropout: float, seed: int, variant: int) -> list[int]:
         """The ids of one word; spaces in it are word marks."""
-        symbols: list[str | None] = [MARK if c == " " else ESCAPED if c == MARK else c for c in word]
-        n, cost = len(symbols), self.cost
+        symbols: list = [ESCAPED if c == MARK else c for c in word] if MARK in word else list(word)
+        symbols = [MARK if c == " " else c for c in symbols] if " " in word else symbols
+        n, rank = len(symbols), self.rank.get
         following, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = []
-        for i in range(n - 1):
-            c = cost.get(symbols[i] + symbols[i + 1])
-            if c is not None:
-                agenda.append((c, i, symbols[i] + symbols[i + 1]))
+        # an entry of the agenda is a rank and, behind it, the place of the left part
+        agenda = [r * n + i for i, r in enumerate(map(rank, map(add, symbols, symbols[1:]))) if r is not None]
         heapify(agenda)
-        key = b"%d:%s" % (variant, word.encode()) if dropout else b""
         limit = int(dropout * 2**64)
+        key = word.encode() if limit else b""
+        keyed = (seed << 8 | variant) << 32
         while agenda:
-            _, i, merged = heappop(agenda)
-            j = following[i] if symbols[i] is not None else n
-            if j >= n or symbols[i] + symbols[j] != merged:
+            r, i = divmod(heappop(agenda), n)
+            left, j = symbols[i], following[i]
+            if left is None or j >= n:
+                continue
+            merged = left + symbols[j]
+            if rank(merged) != r:
                 continue  # one of its parts has changed since
-            if limit and xxh64_intdigest(b"%d,%d:%s" % (i, len(merged), key), seed) < limit:
+            # the span, the seed and the variant are the key of the hash of the word
+            if limit and xxh64_intdigest(key, keyed + (i << 16) + len(merged)) < limit:
                 continue
             symbols[i], symbols[j] = merged, None
             following[i] = k = following[j]
             if k < n:
                 before[k] = i
-                c = cost.get(merged + symbols[k])
-                if c is not None:
-                    heappush(agenda, (c, i, merged + symbols[k]))
+                r = rank(merged + symbols[k])
+                if r is not None:
+                    heappush(agenda, r * n + i)
             h = before[i]
             if h >= 0:
-                c = cost.get(symbols[h] + merged)
-                if c is not None:
-                    heappush(agenda, (c, h, symbols[h] + merged))
-        out = []
+                r = rank(symbols[h] + merged)
+                if r is not None:
+                    heappush(agenda, r * n + h)
+        ids, out = self.ids.get, []
         for x in symbols:
-            if x is None:
-                continue
-            own = self.ids.get(x)
-            out += [own] if own is not None else [self.bytes[b] for b in (MARK if x == ESCAPED else x).encode()]
+            if x is not None:
+                own = ids(x)
+                if own is None:
+                    out += [self.bytes[b] for b in (MARK if x == ESCAPED else x).encode()]
+                else:
+                    out.append(own)
         return out
 
     def words(self, words: list[str], dropout: float, seed: int, variant: int) -> list[bytes]:
@@ -111,7 +126,7 @@ class Pieces:
         for x in words:
             found = known.get((own, x))
             if found is None:
-                found = np.array(self.segment(x, dropout, seed, variant), "<u4").tobytes()
+                found = array("I", self.segment(x, dropout, seed, variant)).tobytes()
                 if len(x) < 32:
                     known[own, x] = found
             out.append(found)
@@ -122,11 +137,14 @@ class Pieces:
         odd = pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, MARK))
         odd = pc.or_(odd, pc.match_substring_regex(texts, "\\A[ \n]|\\A\\z|\\x00")).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts)
-        split = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+        # a null character marks a part that no space comes before
+        plain = pc.replace_substring(plain, "\n", " \n")
+        plain = pc.replace_substring_regex(plain, self.cut, "\\1 \0\\2") if self.cut else plain
+        split = pc.split_pattern(plain, " ")
         offsets = split.offsets.to_numpy().astype(np.int64)
         coded = split.flatten().dictionary_encode()
         codes = coded.indices.to_numpy().astype(np.int64)
-        words = [x if x[:1] == "\n" else " " + x for x in coded.dictionary.to_pylist()]
+        words = [x if x[:1] == "\n" else x[1:] if x[:1] == "\0" else " " + x for x in coded.dictionary.to_pylist()]
         found = self.words(words, dropout, seed, variant)
         sizes = np.array([len(x) >> 2 for x in found], np.int64)
         starts = np.cumsum(sizes) - sizes
