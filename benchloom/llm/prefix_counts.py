@@ -36,7 +36,7 @@ from .batches import pieces, texts_of
 REMEMBERED = 600_000
 
 # White space, and the words, of the tokenizer's splitting rule.
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
