@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .folders import stored
+from .folders import discard, store
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -37,10 +37,12 @@ def components(links: DataFrame) -> DataFrame:
     Links may repeat or join a node to itself.  A node without a link to another has no row.
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    links = stored(links, "links")
+    links, folder = store(links, "links")
     mark = _mark(links)
     while mark[0]:
-        links = stored(_small_star(_large_star(links)), "links")
+        last = folder
+        links, folder = store(_small_star(_large_star(links)), "links")
+        discard(links.sparkSession, last)
         before, mark = mark, _mark(links)
         if mark == before:
             break

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,17 +12,30 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
-    Only a session that names none, as in tests on one machine, gets a temporary folder.
+    Only a session on one machine that names none, as in tests, gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("the session of a cluster has to name a shared folder in spark.checkpoint.dir")
         base = f"file://{tempfile.mkdtemp(prefix='benchloom-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written once and read again: later steps neither recompute nor lose them."""
+def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows, written once and read again, and the folder they are in."""
     folder = shared_folder(df.sparkSession, name)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once and read again: later steps neither recompute nor lose them."""
+    return store(df, name)[0]
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that :func:`store` has made, when no plan reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
