@@ -185,3 +185,32 @@ def test_line_dedup_of_odd_rows(spark):
     assert rows[1] == [(line, 1, 0)] * 2  # rows that repeat key and text are one document
     assert rows[2] == [(None, 0, 0)] and rows[3] == [("", 0, 0)] and rows[7] == [("", 1, 1)]
     assert line_dedup.dedup_lines(table(spark).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [20, 200])
+def test_links_of_small_and_large_buckets(n):
+    draw = random.Random(n)
+    base = [draw.getrandbits(64) for _ in range(4)]
+    words = ["".join(draw.choice("abc") for _ in range(40)) for _ in base]
+    prints, lines = [], []
+    for _ in range(n):
+        k = draw.randrange(4)
+        x, line = base[k], list(words[k])
+        for _ in range(draw.randint(0, 3)):
+            x ^= 1 << draw.randrange(64)
+        for _ in range(draw.randint(0, 8)):
+            line[draw.randrange(40)] = draw.choice("abc")
+        prints.append(x)
+        lines.append("".join(line))
+    blocks = [draw.randrange(3) for _ in range(n)]
+    for pair in (0, 4):
+        for cross in (None, blocks):
+            want, found = Groups(n), Groups(n)
+            for i, j in near_pairs(np.array(prints, np.uint64), line_dedup.RADIUS):
+                first = next((k for k, m in enumerate(line_dedup.PAIR_MASKS) if not (prints[i] ^ prints[j]) & m), None)
+                shared = all((prints[i] ^ prints[j]) & m for m in line_dedup.PAIR_MASKS[:pair])
+                if shared and first is not None and (cross is None or blocks[i] != blocks[j]) and line_dedup.similar(lines[i], lines[j]):
+                    want.join(i, j)
+            for a, b in line_dedup.links_of(pair, list(range(n)), prints, lines, cross, 0.8):
+                found.join(a, b)
+            assert all((found.root(i) == found.root(j)) >= (want.root(i) == want.root(j)) for i in range(n) for j in range(i))
