@@ -16,7 +16,7 @@ their group, but do not name it unless it has no other key; texts of any length
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -203,12 +203,18 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", radius: int
 
     Where several rows have that key, or no row of the group has one, one of them stays.
     """
+    prints = stored(fingerprints(df, key, text), "prints")
+    return keep_first(df, key, text, prints, groups(prints, radius), fingerprints)
+
+
+def keep_first(
+    df: DataFrame, key: str, text: str, prints: DataFrame, found: DataFrame, printed_by: Callable[[DataFrame, str, str], DataFrame]
+) -> DataFrame:
+    """:func:`keep_one` for any groups ``fp, group_fp, component_id`` of ``key, fp``, which ``printed_by`` makes from rows."""
     names = df.columns
     own = [f"_in{i}" for i in range(len(names))]
     rows = df.toDF(*own)
     k, t = F.col(own[names.index(key)]), F.col(own[names.index(text)])
-    prints = stored(fingerprints(df, key, text), "prints")
-    found = groups(prints, radius)
     # the rows that stay, as (key, fingerprint): narrow, one for each group
     named = prints.join(found, "fp").where("key <=> component_id")
     chosen = named.groupBy("group_fp").agg(F.min("key").alias("_key"), F.min("fp").alias("_fp"), F.count("*").alias("_n"))
@@ -217,7 +223,7 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", radius: int
     several = chosen.where("_n > 1 OR _key IS NULL")
     doubt = named.join(several.select("group_fp"), "group_fp", "left_semi").select("key", "fp", "group_fp")
     held = rows.join(several.select("_key").distinct(), k.eqNullSafe(F.col("_key")), "left_semi")
-    printed = fingerprints(held.select(F.struct(*own).alias("row"), t.alias("text")), "row", "text")
+    printed = printed_by(held.select(F.struct(*own).alias("row"), t.alias("text")), "row", "text")
     placed = printed.join(doubt.select("fp", "group_fp").distinct(), "fp").groupBy("group_fp").agg(F.min("key").alias("row"))
     rest = placed.select(*[F.col("row")[c].alias(c) for c in own])
     return single.unionByName(rest).toDF(*names)
