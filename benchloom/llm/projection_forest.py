@@ -4,7 +4,11 @@ The trees are fitted on a bounded sample (``SAMPLE`` vectors, those with the sma
 a node sends vectors to its two sides by a random direction (the line through two vectors of the sample
 drawn at random) and the median of the sample on it.  Every
 vector is then routed to its leaf in every tree.  A search starts at all roots at once and always opens
-the node of any tree that is nearest to the query, until the leaves it reached hold ``CANDIDATES`` vectors.  The vectors of these leaves are ranked by their exact inner product in double precision.
+the node of any tree that is nearest to the query, until the leaves it reached hold as many vectors as the
+budget says.  The vectors of these leaves are ranked by their exact inner product in double precision.
+
+The budget follows from the table: for ``PROBES`` queries (those with the smallest hash of their id) the true
+neighbours are found by brute force, and it is what finds ``RECALL`` of them, ``CANDIDATES`` at least.
 
 Largest inner product is turned into smallest distance for the trees alone: vectors get one more
 component that gives all the same norm, queries get 0 there.
@@ -37,7 +41,11 @@ from .folders import stored
 SAMPLE = 20_000
 TREES = 8
 LEAF = 24
+#: Visits of a query at least.
 CANDIDATES = 40_000
+#: Queries whose true neighbours set the budget, and the share of these to be found.
+PROBES = 200
+RECALL = 0.95
 NEIGHBOURS = 20
 #: Vectors that are searched in one place.
 SHARD = 8192
@@ -73,25 +81,39 @@ class Forest(NamedTuple):
                     open_nodes += [(int(self.children[node, 0]), rows[~right]), (int(self.children[node, 1]), rows[right])]
         return out
 
-    def search(self, query: np.ndarray, sizes: np.ndarray, candidates: int) -> list[int]:
-        """The leaves to visit for a query, nearest border first."""
+    def opened(self, query: np.ndarray) -> Iterator[int]:
+        """All leaves for a query, nearest border first."""
         lifted = np.append(query, 0.0)
         margins = self.directions @ lifted - self.borders
         queue = [(0.0, int(root)) for root in self.roots]
-        found, held = [], 0
-        while queue and held < candidates:
+        while queue:
             distance, node = heappop(queue)
             left, right = self.children[node].tolist()
             if left < 0:
-                found.append(node)
-                held += int(sizes[node])
+                yield node
                 continue
             margin = float(margins[node])
             beyond = distance + margin**2  # the other side lies behind one more border
             heappush(queue, (beyond if margin > 0 else distance, left))
             heappush(queue, (distance if margin > 0 else beyond, right))
+
+    def search(self, query: np.ndarray, sizes: np.ndarray, candidates: int) -> list[int]:
+        """The leaves to visit for a query, nearest border first."""
+        found, held = [], 0
+        for node in self.opened(query) if candidates > 0 else ():
+            found.append(node)
+            held += int(sizes[node])
+            if held >= candidates:
+                break
         return found
 
+    def visits(self, query: np.ndarray, sizes: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """How many vectors a search visits until it finds each of some vectors."""
+        order = np.fromiter(self.opened(query), np.int64)
+        held = np.zeros(len(self.children), np.int64)
+        held[order] = np.cumsum(sizes[order])
+        return held[self.leaves(near)].min(axis=1)
+
     def shards(self, sizes: np.ndarray, limit: int) -> np.ndarray:
         """The shard of each leaf: its highest ancestor with at most ``limit`` vectors, or itself."""
         whole, shard = sizes.copy(), np.arange(len(self.children))
@@ -154,13 +176,50 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return places[np.lexsort((ids[places], -scores[places]))[:k]]
 
 
+def budget(forest: Forest, sizes: np.ndarray, rows: DataFrame, asked: DataFrame, k: int, probes: int = PROBES, recall: float = RECALL) -> int:
+    """The visits with which a share of the true neighbours of some queries is found; both tables have ``id`` and ``v``."""
+    drawn = asked.orderBy(F.xxhash64("id"), "id").limit(probes).collect()
+    if not drawn:
+        return 0
+    ids, queries = np.array([x["id"] for x in drawn]), np.array([x["v"] for x in drawn], np.float64)
+    shared = rows.sparkSession.sparkContext.broadcast((ids, queries))
+    names = ["q", "id", "score", "v"]
+
+    def best(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, matrix = shared.value
+        held = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            vectors, there = _matrix(batch.column("v"), matrix.shape[1]).astype(np.float64), batch.column("id").to_numpy()
+            scores = vectors @ matrix.T
+            scores[there[:, None] == own] = -np.inf
+            places = [_best(scores[:, q], there, k) for q in range(len(own))]
+            flat, which = np.concatenate(places), np.repeat(np.arange(len(own)), [len(x) for x in places])
+            fresh = (which, there[flat], scores[flat, which], vectors[flat])
+            held = fresh if held is None else tuple(np.concatenate(x) for x in zip(held, fresh))
+            order = np.lexsort((held[1], -held[2], held[0]))
+            rank = np.arange(len(order)) - np.searchsorted(held[0][order], held[0][order])
+            held = tuple(x[order[rank < k]] for x in held)
+        if held is not None:
+            vectors = pa.array(list(held[3]), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in held[:3]), vectors], names)
+
+    found = rows.select("id", "v").mapInArrow(best, "q long, id long, score double, v array<double>").where("score > double('-Infinity')")
+    top = found.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "id", "v"))), 1, k).alias("near"))
+    # k vectors of each of the probes
+    needed = [forest.visits(queries[q], sizes, np.array([x["v"] for x in near])) for q, near in top.collect()]
+    return int(np.quantile(np.concatenate(needed), recall, method="higher")) if needed else 0
+
+
 def nearest(
     df: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = NEIGHBOURS,
-    candidates: int = CANDIDATES, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, shard: int = SHARD,
+    candidates: int | None = None, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, shard: int = SHARD,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` rows of ``df`` found nearest to each row of ``queries``.
 
-    Both tables have the columns ``key`` and ``vector``; a row is no candidate of its own id.
+    Both tables have the columns ``key`` and ``vector``; a row is no candidate of its own id.  ``candidates``
+    are the visits of a query; without it they follow from the table.
     """
     spark = df.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -193,6 +252,10 @@ def nearest(
     sizes = np.zeros(len(forest.children), np.int64)
     for leaf_id, n in index.groupBy("leaf").count().collect():
         sizes[leaf_id] = n
+    if candidates is None:
+        candidates = CANDIDATES
+        if sizes.sum() > candidates:
+            candidates = max(candidates, budget(forest, sizes, slim, asked, k))
     shared_sizes = spark.sparkContext.broadcast((sizes, forest.shards(sizes, shard)))
     columns = ["shard", "part", "leaf", "id", "v", "leaves"]
 
