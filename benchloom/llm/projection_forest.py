@@ -1,8 +1,9 @@
 """Approximate nearest neighbours: a forest of random-projection trees, one priority queue per query.
 
 The trees are fitted on a bounded sample (``SAMPLE`` vectors, those with the smallest hash of their id):
-a node sends vectors to its two sides by a random direction (the line through two vectors of the sample
-drawn at random) and the median of the sample on it.  Every
+a node sends vectors to its two sides by a random direction (the line through two different vectors of the
+sample drawn at random) and the median of the sample on it, or the border next to it that splits them.  Only
+copies of one vector make a larger leaf, which counts as a usual one against the budget.  Every
 vector is then routed to its leaf in every tree.  A search starts at all roots at once and always opens
 the node of any tree that is nearest to the query, until the leaves it reached hold as many vectors as the
 budget says.  The vectors of these leaves are ranked by their exact inner product in double precision.
@@ -60,6 +61,7 @@ class Forest(NamedTuple):
     borders: np.ndarray
     children: np.ndarray  # two for each node
     norm: float
+    copies: np.ndarray | None = None  # leaves of more vectors, all equal
 
     def lifted(self, vectors: np.ndarray) -> np.ndarray:
         """Vectors with the component that gives all of them the largest norm."""
@@ -97,12 +99,16 @@ class Forest(NamedTuple):
             heappush(queue, (beyond if margin > 0 else distance, left))
             heappush(queue, (distance if margin > 0 else beyond, right))
 
+    def counted(self, sizes: np.ndarray) -> np.ndarray:
+        """What the leaves count against the budget."""
+        return sizes if self.copies is None else np.where(self.copies, np.minimum(sizes, LEAF), sizes)
+
     def search(self, query: np.ndarray, sizes: np.ndarray, candidates: int) -> list[int]:
         """The leaves to visit for a query, nearest border first."""
-        found, held = [], 0
+        found, held, counted = [], 0, self.counted(sizes)
         for node in self.opened(query) if candidates > 0 else ():
             found.append(node)
-            held += int(sizes[node])
+            held += int(counted[node])
             if held >= candidates:
                 break
         return found
@@ -111,7 +117,7 @@ class Forest(NamedTuple):
         """How many vectors a search visits until it finds each of some vectors."""
         order = np.fromiter(self.opened(query), np.int64)
         held = np.zeros(len(self.children), np.int64)
-        held[order] = np.cumsum(sizes[order])
+        held[order] = np.cumsum(self.counted(sizes)[order])
         return held[self.leaves(near)].min(axis=1)
 
     def shards(self, sizes: np.ndarray, limit: int) -> np.ndarray:
@@ -130,12 +136,13 @@ def fit(sample: np.ndarray, norm: float, trees: int = TREES, leaf: int = LEAF, s
     """Trees over a sample of vectors."""
     random = np.random.default_rng(seed)
     lifted = Forest(None, None, None, None, norm).lifted(sample)
-    directions, borders, children, roots = [], [], [], []
+    directions, borders, children, roots, copies = [], [], [], [], []
 
     def node() -> int:
         directions.append(np.zeros(lifted.shape[1]))
         borders.append(0.0)
         children.append((-1, -1))
+        copies.append(False)
         return len(children) - 1
 
     for _ in range(trees):
@@ -145,17 +152,24 @@ def fit(sample: np.ndarray, norm: float, trees: int = TREES, leaf: int = LEAF, s
             own, rows = open_nodes.pop()
             if len(rows) <= leaf:
                 continue
-            direction = np.subtract(*lifted[random.choice(rows, 2, replace=False)])
-            direction /= max(np.linalg.norm(direction), 1e-12)
+            first = lifted[random.choice(rows)]
+            others = rows[(lifted[rows] != first).any(axis=1)]
+            if not len(others):
+                copies[own] = True
+                continue
+            direction = first - lifted[random.choice(others)]
+            direction /= max(np.linalg.norm(direction), 1e-300)
             along = lifted[rows] @ direction
             border = float(np.median(along))
+            if border == along.max() > along.min():  # more than half of them lie at the right end
+                border = float(along[along < border].max())
             right = along > border
-            if not right.any():  # copies of one vector, or nearly
+            if not right.any():  # vectors that differ by less than the arithmetic tells apart
                 continue
             directions[own], borders[own] = direction, border
             children[own] = node(), node()
             open_nodes += [(children[own][0], rows[~right]), (children[own][1], rows[right])]
-    return Forest(np.array(roots), np.array(directions), np.array(borders), np.array(children), norm)
+    return Forest(np.array(roots), np.array(directions), np.array(borders), np.array(children), norm, np.array(copies))
 
 
 def _usable(vector: Column, dimension: int | None = None) -> Column:
