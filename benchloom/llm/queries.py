@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
     bin_packing, language_kernel, line_dedup, merge_dropout, pitman_yor, prefix_counts, projection_forest, quality,
-    simhash_trees, token_blocks,
+    simhash_trees, spelling_variants, token_blocks,
 )
 from .folders import shared_folder
 
@@ -85,6 +85,11 @@ def op10_prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@_query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.group_variants(_table(spark, folder, "documents"))
+
+
 @_query
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_table(spark, folder, "documents"), ["doc_id"])
