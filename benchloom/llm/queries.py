@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    bin_packing, burst_trie, language_kernel, line_dedup, merge_dropout, pitman_yor, prefix_counts, projection_forest, quality,
+    bin_packing, burst_trie, entropy_mixing, language_kernel, line_dedup, merge_dropout, pitman_yor, prefix_counts, projection_forest, quality,
     simhash_trees, spelling_variants, token_blocks,
 )
 from .folders import shared_folder
@@ -85,6 +85,11 @@ def op10_prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@_query
+def op11_entropy_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return entropy_mixing.mix(_table(spark, folder, "documents"))
+
+
 @_query
 def op12_burst_trie(spark: SparkSession, folder: str) -> DataFrame:
     return burst_trie.conversation_trie(_table(spark, folder, "conversations"))
