@@ -10,7 +10,7 @@ into it, so the steps end for any sizes.
 Documents of one source and size have the same rate, so the steps work on the counts of such cells, not on
 documents.  Rates become copies in two moves.  The copies of a cell are rounded from the largest size to the
 smallest, each cell carrying on the words that the ones before fell short, so that a source misses its
-target by about half of its smallest document.  Within a cell, a hash of the document's key says which of its documents
+target by what its few smallest documents cannot make up for.  Within a cell, a hash of the document's key says which of its documents
 get one copy more; their order is taken in ranges of the hash, so no cell is sorted in one task.
 
 Defined cases: a null text has no words and takes none; a null source is a source of its own, the last one; a source
