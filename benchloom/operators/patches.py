@@ -24,6 +24,15 @@ def _sections(diff: Column, boundary: str) -> Column:
     return F.filter(F.split(diff, boundary, -1), lambda part: part.startswith(HEADER))
 
 
+def header_key(part: Column, strict: bool = False) -> Column:
+    """The file of a section: the old path in its header line."""
+    words = F.split(strip(F.substring_index(part, "\n", 1)), f"{FLAGS}{SPACE}+", -1)
+    old_path = let(words, lambda w: F.when(F.size(w) >= 4, F.get(w, F.lit(2))))
+    if strict:
+        return F.regexp_replace(old_path, "^a/", "")
+    return F.ltrim(old_path, F.lit("a/"))
+
+
 def file_diffs(diff: Column, strict: bool = False) -> Column:
     """``[{key, seq, diff}]`` in order of first appearance.
 
@@ -32,19 +41,12 @@ def file_diffs(diff: Column, strict: bool = False) -> Column:
     header with fewer than four words opens no file and its lines are dropped.  Of
     several diffs with one key the last one counts, at the place of the first.
     """
-    def key_of(part: Column) -> Column:
-        words = F.split(strip(F.substring_index(part, "\n", 1)), f"{FLAGS}{SPACE}+", -1)
-        old_path = let(words, lambda w: F.when(F.size(w) >= 4, F.get(w, F.lit(2))))
-        if strict:
-            return F.regexp_replace(old_path, "^a/", "")
-        return F.ltrim(old_path, F.lit("a/"))
-
     def section(part: Column, at: Column, total: Column) -> Column:
         # the line end before the next header separates, it is not part of the diff
         closed = (at < total - 1) & part.endswith("\n")
         text = F.when(closed, F.substring(part, F.lit(1), F.length(part) - 1)).otherwise(part)
         return F.struct(
-            F.when(part.startswith(HEADER), key_of(part)).alias("key"),
+            F.when(part.startswith(HEADER), header_key(part, strict)).alias("key"),
             at.cast("int").alias("seq"),
             text.alias("diff"),
         )

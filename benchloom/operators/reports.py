@@ -41,10 +41,15 @@ def _parse_error(parsed: str) -> Column:
     return F.when(bad, "malformed")
 
 
+def event_of(line: Column, ddl: str) -> Column:
+    """One parsed line of an NDJSON text; one that is no object is marked corrupt."""
+    return _json(line, ddl)
+
+
 def _events(text: Column, ddl: str) -> Column:
-    """The parsed lines of an NDJSON text; a line that is no object is marked corrupt."""
+    """The parsed lines of an NDJSON text."""
     filled = F.filter(lines(strip(text)), lambda line: strip(line) != "")
-    return F.transform(filled, lambda line: _json(line, ddl))
+    return F.transform(filled, lambda line: event_of(line, ddl))
 
 
 def _good(event: Column) -> Column:
@@ -490,7 +495,7 @@ def rspec_tests(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)
     )
 
 
-def _failed_first(failed: Column, total: Column) -> Column:
+def failed_first(failed: Column, total: Column) -> Column:
     return (
         F.when((failed == 0) & (total > 0), "passed").when(failed > 0, "failed").otherwise("unknown")
     )
@@ -510,7 +515,7 @@ def rspec_summary(reports: DataFrame, text: str = "text", keys: Keys = ("run_id"
         )
         .withColumn("passed", n("total") - n("failed") - n("skipped"))
         .withColumn("errors", _zero())
-        .select(*keys, *COUNTERS, _failed_first(n("failed"), n("total")).alias("status"), "parse_error")
+        .select(*keys, *COUNTERS, failed_first(n("failed"), n("total")).alias("status"), "parse_error")
     )
 
 
@@ -609,12 +614,15 @@ def _go_status(action: Column) -> Column:
 
 def _go_rows(reports: DataFrame, text: str, keys: Keys, every: bool = False) -> DataFrame:
     """The events of the logs; with ``every`` also bad lines and logs without a line."""
-    text_of = lambda name: F.coalesce(F.col(f"_e.{name}"), F.lit(""))
     events = _events(F.col(text), schemas.GO_EVENT)
     if every:
-        rows = reports.select(*keys, F.posexplode_outer(events).alias("pos", "_e"))
-    else:
-        rows = explode_rows(reports, keys, events, value="_e").where(_good(F.col("_e")))
+        return go_event_rows(reports.select(*keys, F.posexplode_outer(events).alias("pos", "_e")), keys)
+    return go_event_rows(explode_rows(reports, keys, events, value="_e").where(_good(F.col("_e"))), keys)
+
+
+def go_event_rows(rows: DataFrame, keys: Keys) -> DataFrame:
+    """Event rows of parsed lines ``keys, pos, _e``; ``pos`` is of any type that orders the lines of a log."""
+    text_of = lambda name: F.coalesce(F.col(f"_e.{name}"), F.lit(""))
     return rows.select(
         *keys,
         "pos",
@@ -633,6 +641,11 @@ def go_tests(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -
     Tests are told apart by ``package/test``.  The output of one test of one report
     is all that is ever gathered in a cell.
     """
+    return go_tests_of(_go_rows(reports, text, keys), keys)
+
+
+def go_tests_of(events: DataFrame, keys: Keys = ("run_id",)) -> DataFrame:
+    """:func:`go_tests` of event rows."""
     status = _go_status(F.col("action"))
     ended = F.when(status.isNotNull(), F.col("pos"))
     piece = F.when(
@@ -640,8 +653,7 @@ def go_tests(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -
     )
     output = F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["output"])
     grouped = (
-        _go_rows(reports, text, keys)
-        .where(F.col("test") != "")
+        events.where((F.col("test") != "") & ~F.col("bad"))
         .groupBy(*keys, F.concat_ws("/", "package", "test").alias("test_key"))
         .agg(
             F.min_by("test", "pos").alias("name"),
@@ -665,11 +677,15 @@ def go_tests(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -
 
 def go_packages(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
     """Last state of every Go package (events without a test name)."""
+    return go_packages_of(_go_rows(reports, text, keys), keys)
+
+
+def go_packages_of(events: DataFrame, keys: Keys = ("run_id",)) -> DataFrame:
+    """:func:`go_packages` of event rows."""
     status = _go_status(F.col("action"))
     ended = F.when(status.isNotNull(), F.col("pos"))
     return (
-        _go_rows(reports, text, keys)
-        .where((F.col("test") == "") & (F.col("package") != ""))
+        events.where((F.col("test") == "") & (F.col("package") != "") & ~F.col("bad"))
         .groupBy(*keys, F.col("package").alias("name"))
         .agg(
             F.max_by(status, ended).alias("status"),
@@ -691,12 +707,16 @@ def go_summary(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",))
     Two aggregations over one exploded log: per package, then per report.  Lines that
     are no events are counted in ``bad_lines``.
     """
+    return go_summary_of(_go_rows(reports, text, keys, every=True), keys)
+
+
+def go_summary_of(events: DataFrame, keys: Keys = ("run_id",)) -> DataFrame:
+    """:func:`go_summary` of event rows, bad lines among them."""
     n = F.col
     status = _go_status(n("action"))
     ended = F.when(status.isNotNull(), n("pos"))
     per_package = (
-        _go_rows(reports, text, keys, every=True)
-        .groupBy(*keys, "package", (n("test") != "").alias("is_test"))
+        events.groupBy(*keys, "package", (n("test") != "").alias("is_test"))
         .agg(
             *[F.count_if(status == s).alias(f"n_{s}") for s in GO_STATUS.values()],
             F.max_by(status, ended).alias("last_status"),
@@ -787,7 +807,7 @@ def rust_summary(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",
             _zero().alias("errors"),
             count_where(events, lambda e: ~_good(e)).alias("bad_lines"),
         )
-        .select(*keys, *COUNTERS, _failed_first(n("failed"), n("total")).alias("status"), "bad_lines")
+        .select(*keys, *COUNTERS, failed_first(n("failed"), n("total")).alias("status"), "bad_lines")
     )
 
 

@@ -59,6 +59,10 @@ def pytest_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id"
         *[number(key).alias(key) for key in PYTEST_COUNTERS],
         *[f"list_{key}" for key in PYTEST_LISTED],
     )
+    return with_pytest_state(counted)
+
+
+def with_pytest_state(counted: DataFrame) -> DataFrame:
     n = F.col
     return counted.withColumn("total", n("passed") + n("error") + n("failed")).withColumn(
         "status", _state(n("passed") + n("xpassed"), n("error") + n("failed") + n("xfailed"))
@@ -228,6 +232,22 @@ def _sbt_kind(line: Column) -> Column:
     return F.when(test, "test").when(failure, "failed").when(marker, "marker")
 
 
+def sbt_kind(line: Column) -> Column:
+    """The kind of a line; a test needs a name of more than three characters."""
+    return let(_sbt_kind(line), lambda k: F.when((k != "test") | (F.length(_sbt_name(line)) > 3), k))
+
+
+def sbt_failures(line: Column) -> Column:
+    """The number of failures that a line tells."""
+    number = first_group(line, rf"(?U)Failed:{SPACE}*(\d+)").try_cast("bigint")
+    return F.when(_sbt_kind(line) == "failed", number)
+
+
+def sbt_status() -> Column:
+    n = F.col
+    return F.when(n("passed") == 0, "unknown").when(n("failed") == 0, "passed").otherwise("failed")
+
+
 def _sbt_name(line: Column) -> Column:
     return strip(F.substring_index(line, "[info]", -1))
 
@@ -248,10 +268,7 @@ def sbt_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",))
     A success marker counts as one passed test when it comes before any test.
     """
     log_lines = F.col("_lines")
-    kind_of = lambda line: let(
-        _sbt_kind(line), lambda k: F.when((k != "test") | (F.length(_sbt_name(line)) > 3), k)
-    )
-    kinds = F.transform(log_lines, kind_of)
+    kinds = F.transform(log_lines, sbt_kind)
     failures = F.filter(
         F.transform(
             F.filter(log_lines, lambda line: _sbt_kind(line) == "failed"),
@@ -276,10 +293,7 @@ def sbt_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",))
             "failed",
             zero.alias("skipped"),
             zero.alias("errors"),
-            F.when(n("passed") == 0, "unknown")
-            .when(n("failed") == 0, "passed")
-            .otherwise("failed")
-            .alias("status"),
+            sbt_status().alias("status"),
         )
     )
 
@@ -303,7 +317,13 @@ MAVEN_KINDS = (
 )
 
 
-def _positioned_error(line: Column) -> Column:
+def maven_test_count(line: Column) -> Column:
+    """The number of tests in a line that counts them."""
+    part = last(F.filter(F.split(line, ",", -1), lambda p: F.contains(p, F.lit("Tests run"))))
+    return strip(F.get(F.split(part, ":", -1), F.lit(1))).try_cast("bigint")
+
+
+def positioned_error(line: Column) -> Column:
     return line.startswith("[ERROR]") & line.rlike(MAVEN_MESSAGE)
 
 
@@ -316,8 +336,7 @@ def maven_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",
     log_lines = lines(F.col(text))
     some = lambda prefix: F.exists(F.col("_lines"), lambda line: line.startswith(prefix))
     counted = last(F.filter("_lines", lambda line: line.startswith("[INFO] Tests run:")))
-    part = last(F.filter(F.split(counted, ",", -1), lambda p: F.contains(p, F.lit("Tests run"))))
-    tests = strip(F.get(F.split(part, ":", -1), F.lit(1))).try_cast("bigint")
+    tests = maven_test_count(counted)
     compiled = some("[INFO]  T E S T S")
     if path is not None:
         named = F.exists(
@@ -330,7 +349,7 @@ def maven_summary(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",
         some("[INFO] BUILD SUCCESS").alias("success"),
         compiled.alias("compiled"),
         F.when(counted.isNull(), F.lit(0)).otherwise(tests).cast("bigint").alias("tests"),
-        count_where(F.col("_lines"), _positioned_error).alias("n_errors"),
+        count_where(F.col("_lines"), positioned_error).alias("n_errors"),
         F.when(counted.isNotNull() & tests.isNull(), "bad_test_count").alias("parse_error"),
     )
 
@@ -342,7 +361,7 @@ def maven_errors(logs: DataFrame, text: str = "stdout", keys: Keys = ("run_id",)
     kind = F.when(F.lit(False), "")
     for sign, name in MAVEN_KINDS:
         kind = kind.when(F.contains(body, F.lit(sign)), name)
-    return rows.where(_positioned_error(F.col("message"))).select(
+    return rows.where(positioned_error(F.col("message"))).select(
         *keys,
         "pos",
         kind.otherwise(body).alias("type"),

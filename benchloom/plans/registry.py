@@ -20,7 +20,9 @@ class Tables:
         self.spark, self._folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        # a row of this table costs a whole parse, and its file may be a single row group, which one task reads
+        return table.repartition(self.spark.sparkContext.defaultParallelism) if name == "documents" else table
 
 
 def query(sql: str | None = None):

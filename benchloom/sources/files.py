@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import schemas
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``; only a session on one machine that names none gets a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("the session of a cluster has to name a shared folder in spark.checkpoint.dir")
+        base = f"file://{tempfile.mkdtemp(prefix='benchloom-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 # --- tables -----------------------------------------------------------------------
 
 
@@ -37,6 +50,40 @@ def write_metrics_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+# --- logs -------------------------------------------------------------------------
+
+
+def read_log_lines(spark: SparkSession, root: str, names: str = "*", key: Column | None = None) -> DataFrame:
+    """``path, at, line`` of the log files below a folder, read by as many tasks as the files have splits.
+
+    ``path`` is the file, or what ``key`` makes of ``_metadata``: several files then are one log, in the order of
+    their names.  ``at`` orders the lines of a log: file, start of the split, and an id that grows within the split.
+    Only ``\\n`` ends a line.
+    """
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names).option("lineSep", "\n").text(root)
+    file = F.col("_metadata.file_path")
+    at = F.struct(file.alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"))
+    return rows.select((file if key is None else key).alias("path"), at.alias("at"), F.col("value").alias("line"))
+
+
+def with_line_numbers(lines: DataFrame, keys: Sequence[str] = ("path",), at: str = "at") -> DataFrame:
+    """Add ``line_no``, the place of a line in its log from 0.
+
+    The lines of a split are counted, and the counts of the splits before it are added up, so no log is sorted.
+    The file is read twice.  Should the second reading cut it elsewhere, the job fails instead of numbering wrongly.
+    """
+    split = [*keys, "_path", "_start"]
+    rows = lines.withColumns({"_path": F.col(at)["path"], "_start": F.col(at)["start"], "_id": F.col(at)["id"]})
+    before = Window.partitionBy(*keys).orderBy("_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*split).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"), F.max("_id").alias("_last"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    same = (F.col("_id") >= F.col("_first")) & (F.col("_id") <= F.col("_last"))
+    number = F.when(same, F.col("_before") + F.col("_id") - F.col("_first")).otherwise(
+        F.raise_error(F.lit("the splits of a log have changed between two readings")).cast("bigint")
+    )
+    return rows.join(counts, split, "left").select(*lines.columns, number.alias("line_no"))
+
+
 # --- reports ----------------------------------------------------------------------
 
 # Where each ecosystem leaves its reports, as patterns over the path.
