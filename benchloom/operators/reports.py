@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas
 from ..functions.text import (
-    WHITESPACE, all_matches, compute_once, count_where, explode_rows, last, lines, strip,
+    WHITESPACE, all_matches, compute_once, count_where, explode_rows, last, let, lines, strip,
+)
+from ..functions.xml import (
+    ATTRIBUTES, attribute, masked, own_text, prefix_sums, root_name, tag_steps, unmasked, well_formed,
 )
-from ..functions.xml import ATTRIBUTES, attribute, without_opaque_parts
 
 Keys = Sequence[str]
 COUNTERS = ("total", "passed", "failed", "skipped", "errors")
@@ -59,82 +61,56 @@ def _good(event: Column) -> Column:
 # --- JUnit, for all ecosystems ----------------------------------------------------
 
 
-# Suites of a report may nest this deep; a deeper report is marked, not cut.
-JUNIT_LEVELS = 12
-
+SUITE_TAG = rf"<(?:/testsuite\s*|testsuite(?=[\s/>]){ATTRIBUTES})>"
 
-def _junit_suites(doc: str, root_tag: str, levels: int) -> Column:
-    """All suites of a document as one array, the root only when it is a suite and holds none."""
-    fields = ("_tests", "_failures", "_errors", "_skipped", "testcase")
-    plain = lambda s: F.struct(*[s[f].alias(f) for f in fields])
-    none = F.array()
 
-    def descend(suites: Column, depth: int) -> Column:
-        here = F.transform(suites, plain)
-        if depth == 1:
-            return here
-        deeper = F.flatten(
-            F.transform(suites, lambda s: F.coalesce(descend(s["testsuite"], depth - 1), none))
-        )
-        return F.concat(here, deeper)
+def _flat_suites(mask: Column) -> Column:
+    """A JUnit document with all suites beside each other, however deep they nest.
 
-    root = F.col(doc)
-    nested = descend(root["testsuite"], levels)
-    alone = F.filter(F.array(plain(root)), lambda _: F.col(root_tag) == "testsuite")
-    return F.when(F.size(root["testsuite"]) > 0, nested).otherwise(alone)
+    A suite becomes an empty element ``s`` with its attributes, in front of what it held; the text is cut at the tags
+    of suites, and running sums over these tags say how deep each piece lies.  Whatever lies outside of suites goes,
+    and so does the root's own part if the root is a suite that holds suites.
+    """
 
+    def flat(tags: Column) -> Column:
+        opened = lambda tag: ~tag.startswith("</")
+        several = F.size(F.filter(tags, opened)) > 1
+        least = F.when((root_name(mask) == "testsuite") & several, 2).otherwise(1)
 
-def _junit_depth(xml: Column) -> Column:
-    """How deep suites nest in a text, counted on its tags."""
-    tags = all_matches(xml, rf"<(?:/testsuite\s*|testsuite(?=[\s/>]){ATTRIBUTES})>")
-    opened = lambda tag: F.when(tag.startswith("</"), -1).when(tag.endswith("/>"), 0).otherwise(1)
+        def part(tag: Column, depth: Column, behind: Column) -> Column:
+            alone = tag.endswith("/>")
+            attributes = F.substring(tag, F.lit(11), F.length(tag) - F.when(alone, 12).otherwise(11))
+            inside = depth + F.when(alone, 1).otherwise(0) >= least
+            head = F.when(opened(tag) & inside, F.concat(F.lit("<s"), attributes, F.lit("/>"))).otherwise("")
+            return F.concat(head, F.when(depth >= least, behind).otherwise(""))
 
-    def step(state: Column, tag: Column) -> Column:
-        now = state["now"] + opened(tag)
-        here = now + F.when(tag.endswith("/>"), 1).otherwise(0)
-        return F.struct(now.alias("now"), F.greatest(state["most"], here).alias("most"))
+        pieces = F.split(mask, SUITE_TAG, -1)
+        steps = F.arrays_zip(tags.alias("tag"), prefix_sums(tag_steps(tags)).alias("depth"))
+        joined = F.zip_with(steps, F.slice(pieces, F.lit(2), F.size(pieces)), lambda at, behind: part(at["tag"], at["depth"], behind))
+        return F.concat(F.lit("<r>"), F.array_join(F.filter(joined, lambda x: x.isNotNull()), ""), F.lit("</r>"))
 
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-    return F.aggregate(tags, start, step, lambda state: state["most"])
+    return unmasked(let(all_matches(mask, SUITE_TAG), flat))
 
 
-def parse_junit(
-    reports: DataFrame, text: str = "text", keys: Keys = ("run_id",), levels: int = JUNIT_LEVELS
-) -> DataFrame:
-    """Add ``_suites`` and ``parse_error``; the XML is read once.
+def parse_junit(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
+    """Add ``_suites``, ``_cases`` and ``parse_error``; suites may nest at any depth.
 
-    One count or time that is no number voids the report, and so do suites that nest
-    deeper than ``levels`` (``too_deep``).
+    A text that is not well-formed is void, and so is one in which a count or time is no number.
     """
-    doc = F.from_xml(F.col(text), F.lit(schemas.junit(levels)), XML_OPTIONS)
-    bare = without_opaque_parts(F.col(text))
-    facts = F.struct(
-        doc.alias("doc"),
-        F.regexp_extract(bare, r"<([^\s/>?!]+)", 1).alias("root"),
-        _junit_depth(bare).alias("depth"),
-    )
-    suites = F.when(_parse_error("_doc").isNull(), _junit_suites("_doc", "_root", levels))
+    xml = F.col(text)
+    facts = let(masked(xml), lambda mask: F.struct(well_formed(xml, mask).alias("good"), mask.alias("mask")))
+    parsed = compute_once(reports, keys, facts, "_facts")
+    doc = F.from_xml(F.when(F.col("_facts.good"), _flat_suites(F.col("_facts.mask"))), F.lit(schemas.JUNIT), XML_OPTIONS)
+    parsed = compute_once(parsed, keys, doc, "_doc")
     bad = lambda value, kind: value.isNotNull() & strip(value).try_cast(kind).isNull()
     counters = ("_tests", "_failures", "_errors", "_skipped")
     bad_count = lambda s: F.greatest(*[F.coalesce(bad(s[name], "bigint"), F.lit(False)) for name in counters])
-    bad_time = lambda s: F.coalesce(
-        F.exists(s["testcase"], lambda c: bad(c["_time"], "double")), F.lit(False)
-    )
-    # the root is no level of its own: it counts only where it holds no suite
-    deep = F.col("_depth") - F.when(F.col("_root") == "testsuite", 1).otherwise(0) > levels
-    error = F.coalesce(
-        _parse_error("_doc"),
-        F.when(deep, "too_deep"),
-        F.when(F.exists("_all", lambda s: bad_count(s) | bad_time(s)), "bad_number"),
-    )
-    parsed = compute_once(reports, keys, facts, "_facts").select(
-        *keys, F.col("_facts.doc").alias("_doc"), F.col("_facts.root").alias("_root"), F.col("_facts.depth").alias("_depth")
-    )
-    flat = compute_once(parsed, [*keys, "_doc", "_root", "_depth"], suites, "_all")
-    checked = compute_once(flat, [*keys, "_all"], error, "parse_error")
-    return checked.select(
-        *keys, "parse_error", F.when(F.col("parse_error").isNull(), F.col("_all")).alias("_suites")
-    )
+    any_of = lambda array, test: F.coalesce(F.exists(array, test), F.lit(False))
+    wrong = any_of("_doc.s", bad_count) | any_of("_doc.testcase", lambda c: bad(c["_time"], "double"))
+    error = F.coalesce(_parse_error("_doc"), F.when(wrong, "bad_number"))
+    checked = compute_once(parsed, [*keys, "_doc"], error, "parse_error")
+    good = lambda value: F.when(F.col("parse_error").isNull(), value)
+    return checked.select(*keys, "parse_error", good(F.coalesce("_doc.s", F.array())).alias("_suites"), good(F.col("_doc.testcase")).alias("_cases"))
 
 
 def _junit_total(name: str) -> Column:
@@ -146,7 +122,6 @@ def junit_cases(
     reports: DataFrame,
     text: str = "text",
     keys: Keys = ("run_id",),
-    levels: int = JUNIT_LEVELS,
     class_attribute: str = "classname",
     skip_empty: bool = False,
 ) -> DataFrame:
@@ -161,12 +136,11 @@ def junit_cases(
     pick = lambda field, tags: F.coalesce(
         *[F.when(has(t), F.coalesce(first(t, field), F.lit(""))) for t in tags]
     )
-    kept = F.col("_suites")
+    kept = F.col("_cases")
     if skip_empty:
         kept = F.when(_junit_total("_tests") > 0, kept)
-    suites = explode_rows(parse_junit(reports, text, keys, levels), keys, kept, value="_suite")
     return (
-        explode_rows(suites, keys, F.col("_suite.testcase"), value="_case")
+        explode_rows(parse_junit(reports, text, keys), keys, kept, value="_case")
         .select(
             *keys,
             case["_name"].alias("name"),
@@ -187,7 +161,6 @@ def junit_summary(
     reports: DataFrame,
     text: str = "text",
     keys: Keys = ("run_id",),
-    levels: int = JUNIT_LEVELS,
     need_tests: bool = False,
 ) -> DataFrame:
     """Counters from the suite attributes, summed over all levels.
@@ -199,7 +172,7 @@ def junit_summary(
     if need_tests:
         good = good & (n("total") > 0)
     return (
-        parse_junit(reports, text, keys, levels)
+        parse_junit(reports, text, keys)
         .select(
             *keys,
             "parse_error",
@@ -221,7 +194,8 @@ def junit_summary(
 
 # --- Surefire ---------------------------------------------------------------------
 
-# The tags that decide the state of a Surefire test case.
+# The states of a Surefire test case, and the tags that decide it.
+STATES = ("passed", "failure", "error", "skipped", "system-error")
 SUREFIRE_STATE = {
     "failure": "failure", "rerunFailure": "failure", "flakyFailure": "failure",
     "error": "error", "rerunError": "error", "flakyError": "error",
@@ -230,20 +204,19 @@ SUREFIRE_STATE = {
 
 
 def _surefire_root(reports: DataFrame, text: str, keys: Keys) -> DataFrame:
-    """``_xml`` without opaque parts, its ``_root`` tag and ``parse_error``.
+    """``_xml``, the masked text, its ``_root`` tag and ``parse_error``.
 
-    The root must be a ``testsuite`` and closed; a report that was cut off is not read.
+    The text must be well-formed, the root a ``testsuite`` with a name, and every case named.
     """
     n = F.col
-    xml = without_opaque_parts(F.col(text))
-    root = F.regexp_extract(n("_xml"), rf"<[A-Za-z_]{ATTRIBUTES}>", 0)
-    closed = n("_root").endswith("/>") | F.rtrim(n("_xml"), F.lit(WHITESPACE)).endswith("</testsuite>")
-    good = n("_root").rlike(r"^<testsuite[\s/>]") & closed
-    return (
-        compute_once(reports, keys, xml, "_xml")
-        .withColumn("_root", root)
-        .withColumn("parse_error", F.when(~good, "malformed"))
-    )
+    xml = F.col(text)
+    facts = let(masked(xml), lambda mask: F.struct(mask.alias("xml"), well_formed(xml, mask).alias("good")))
+    parsed = compute_once(reports, keys, facts, "_facts").select(*keys, n("_facts.xml").alias("_xml"), n("_facts.good").alias("_good"))
+    root = F.regexp_extract(n("_xml"), rf"<[\p{{L}}_]{ATTRIBUTES}>", 0)
+    named = n("_root").rlike(r"\sname\s*=")
+    good = n("_good") & n("_root").rlike(r"^<testsuite[\s/>]") & named
+    rows = compute_once(parsed, [*keys, "_xml", "_good"], root, "_root")
+    return rows.withColumn("parse_error", F.when(~F.coalesce(good, F.lit(False)), "malformed")).drop("_good")
 
 
 def surefire_suite(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
@@ -258,48 +231,73 @@ def surefire_suite(reports: DataFrame, text: str = "text", keys: Keys = ("run_id
     )
 
 
+# The tags of a fault, whose text is the full error.
+SUREFIRE_FAULTS = tuple(tag for tag in SUREFIRE_STATE if tag not in ("skipped", "system-err"))
+CASE_HEAD = rf"<testcase(?=[\s/>]){ATTRIBUTES}"
+
+
+def _surefire_texts(xml: Column) -> Column:
+    """The test cases of a masked report, each as text."""
+    return all_matches(xml, rf"(?s){CASE_HEAD}(?:(?<=/)>|>.*?</testcase\s*>)")
+
+
+def _surefire_tags(case: Column) -> Column:
+    """The deciding start tags of a case, each with the text behind it, the case's own first."""
+    return all_matches(case, rf"<(?:testcase|{'|'.join(SUREFIRE_STATE)})(?=[\s/>]){ATTRIBUTES}>[^<]*")
+
+
+def _surefire_state(tags: Column) -> Column:
+    last_name = F.regexp_extract(last(tags), r"^<([\w-]+)", 1)
+    state = F.lit("passed")
+    for tag, name in SUREFIRE_STATE.items():
+        state = F.when(last_name == tag, name).otherwise(state)
+    return state
+
+
 def surefire_cases(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
     """Test rows of Surefire reports, with the name of their suite.
 
-    The state is that of the **last** deciding tag in document order, however deep.
-    Comments and CDATA are cut out first, so a tag name can only come from a tag.
+    The state is that of the **last** deciding tag in document order, however deep; ``error_type`` and ``full_error``
+    (the text of the element before any child) are those of the last fault, ``system_error`` the text of the last
+    ``system-err``.  A tag name inside a comment or CDATA section is no tag.
     """
-    head = rf"<testcase(?=[\s/>]){ATTRIBUTES}"
-    cases = all_matches(F.col("_xml"), rf"(?s){head}(?:(?<=/)>|>.*?</testcase\s*>)")
-    # the start tags of a case, its own first; one pass over the text
-    tags = all_matches(F.col("_case"), rf"<(?:testcase|{'|'.join(SUREFIRE_STATE)})(?=[\s/>]){ATTRIBUTES}>")
+    n = F.col
     name_of = lambda tag: F.regexp_extract(tag, r"^<([\w-]+)", 1)
-    is_told = lambda tag: ~name_of(tag).isin("testcase", "system-err")
-    is_fault = lambda tag: ~name_of(tag).isin("testcase", "system-err", "skipped")
-    last_tag = name_of(last(F.col("_tags")))
-    state = F.lit(None).cast("string")
-    for tag, name in SUREFIRE_STATE.items():
-        state = F.when(last_tag == tag, name).otherwise(state)
-    good = _surefire_root(reports, text, keys).where(F.col("parse_error").isNull())
-    good = good.withColumn("suite", attribute(F.col("_root"), "name"))
-    rows = explode_rows(good, [*keys, "suite"], cases, value="_case")
-    return (
-        compute_once(rows, [*keys, "suite", "pos"], tags, "_tags")
-        .select(
-            *keys,
-            "suite",
-            "pos",
-            F.get("_tags", F.lit(0)).alias("_head"),
-            state.alias("_state"),
-            last(F.filter("_tags", is_fault)).alias("_fault"),
-            last(F.filter("_tags", is_told)).alias("_told"),
-        )
-        .select(
-            *keys,
-            "suite",
-            "pos",
-            attribute(F.col("_head"), "name").alias("name"),
-            attribute(F.col("_head"), "classname").alias("classname"),
-            F.coalesce("_state", F.lit("passed")).alias("status"),
-            attribute(F.col("_told"), "message").alias("message"),
-            attribute(F.col("_fault"), "type").alias("error_type"),
-        )
-    )
+    start_of = lambda tag: F.regexp_extract(tag, rf"^<{ATTRIBUTES}>", 0)
+    newest = lambda names: last(F.filter("_tags", lambda tag: name_of(tag).isin(*names)))
+
+    def text_of(tag: Column) -> Column:
+        start = start_of(tag)
+        told = F.when(~start.endswith("/>"), own_text(F.substring(tag, F.length(start) + 1, F.length(tag))))
+        return F.when(told != "", told)
+
+    good = _surefire_root(reports, text, keys).where(n("parse_error").isNull())
+    good = good.withColumn("suite", attribute(n("_root"), "name"))
+    rows = explode_rows(good, [*keys, "suite"], _surefire_texts(n("_xml")), value="_case")
+    tagged = compute_once(rows, [*keys, "suite", "pos"], _surefire_tags(n("_case")), "_tags")
+    chosen = tagged.select(
+        *keys, "suite", "pos", F.get("_tags", F.lit(0)).alias("_head"), _surefire_state(n("_tags")).alias("status"),
+        newest(SUREFIRE_FAULTS).alias("_fault"), newest((*SUREFIRE_FAULTS, "skipped")).alias("_told"), newest(("system-err",)).alias("_system"),
+    )
+    return chosen.select(
+        *keys, "suite", "pos",
+        attribute(start_of(n("_head")), "name").alias("name"),
+        attribute(start_of(n("_head")), "classname").alias("classname"),
+        "status",
+        attribute(start_of(n("_told")), "message").alias("message"),
+        attribute(start_of(n("_fault")), "type").alias("error_type"),
+        text_of(n("_fault")).alias("full_error"),
+        text_of(n("_system")).alias("system_error"),
+    )
+
+
+def surefire_lists(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
+    """``keys, suite`` and one list of test names per state, in document order, made inside the row of the report."""
+    good = _surefire_root(reports, text, keys).where(F.col("parse_error").isNull()).withColumn("suite", attribute(F.col("_root"), "name"))
+    test = lambda tags: F.struct(attribute(F.get(tags, F.lit(0)), "name").alias("name"), _surefire_state(tags).alias("status"))
+    tests = F.transform(_surefire_texts(F.col("_xml")), lambda case: let(_surefire_tags(case), test))
+    listed = lambda state: F.transform(F.filter("_tests", lambda x: x["status"] == state), lambda x: x["name"]).alias(state)
+    return compute_once(good, [*keys, "suite"], tests, "_tests").select(*keys, "suite", *[listed(state) for state in STATES])
 
 
 def surefire_ids(cases: DataFrame) -> DataFrame:
@@ -316,7 +314,7 @@ def status_lists(cases: DataFrame, group: Sequence[str], order: str = "pos") ->
     """Names per state in long form: ``group, status, position, name``.
 
     One row per name, so a class of any size is never gathered in one cell; the
-    wide form is ``status_pivot``.
+    wide forms are ``surefire_lists``, inside the row of a report, and ``status_pivot``.
     """
     return cases.select(*group, "status", F.col(order).alias("position"), "name")
 
@@ -326,12 +324,11 @@ def status_pivot(cases: DataFrame, group: Sequence[str], order: str = "pos") ->
 
     ``group`` must hold the report key: a list is then never longer than its report.
     """
-    states = ["passed", "failure", "error", "skipped", "system-error"]
     listed = F.transform(
         F.array_sort(F.collect_list(F.struct(F.col(order).alias("p"), F.col("name").alias("n")))),
         lambda e: e["n"],
     )
-    return cases.groupBy(*group).pivot("status", states).agg(listed)
+    return cases.groupBy(*group).pivot("status", list(STATES)).agg(listed)
 
 
 # --- CTest, gtest, mocha, jest, rspec ---------------------------------------------
@@ -615,9 +612,13 @@ def _go_status(action: Column) -> Column:
 def _go_rows(reports: DataFrame, text: str, keys: Keys, every: bool = False) -> DataFrame:
     """The events of the logs; with ``every`` also bad lines and logs without a line."""
     events = _events(F.col(text), schemas.GO_EVENT)
+    # a run may have several reports: the rows of one stay together, in the order of the table
+    numbered = reports.withColumn("_report", F.monotonically_increasing_id())
     if every:
-        return go_event_rows(reports.select(*keys, F.posexplode_outer(events).alias("pos", "_e")), keys)
-    return go_event_rows(explode_rows(reports, keys, events, value="_e").where(_good(F.col("_e"))), keys)
+        rows = numbered.select(*keys, "_report", F.posexplode_outer(events).alias("pos", "_e"))
+    else:
+        rows = explode_rows(numbered, [*keys, "_report"], events, value="_e").where(_good(F.col("_e")))
+    return go_event_rows(rows.withColumn("pos", F.struct("_report", "pos")), keys)
 
 
 def go_event_rows(rows: DataFrame, keys: Keys) -> DataFrame:
@@ -874,16 +875,23 @@ def run_envelope(
     prefer_report: bool = True,
     zero_returncode: bool = True,
     timed_out: str | None = None,
+    errors_fail: bool = False,
 ) -> DataFrame:
-    """The result row of a run.
+    """The result row of a run, with the counts of errors and collected tests of its report.
 
     ``prefer_report``: the report, else the parsed console text, else zeros; without
     it the parsed console text is the parser result (the report stays beside it).
-    ``zero_returncode``: a run whose tests all passed returns 0.  A run that ran
-    into its time limit (a boolean column) has code 2 and a fixed error text.
+    ``zero_returncode``: a run whose tests all passed returns 0; with ``errors_fail`` (C++) tests
+    with errors have not passed.  A run that ran into its time limit (a boolean column) has code 2 and a
+    fixed error text.  A summary without ``errors`` has none, one without ``collected`` has collected its total.
     """
-    names = ["total", "passed", "failed", "skipped"]
-    side = lambda df, alias: df.select(*keys, F.struct(*names, "status").alias(alias))
+    names = ["total", "passed", "failed", "skipped", "errors", "collected"]
+
+    def side(df: DataFrame, alias: str) -> DataFrame:
+        absent = {"errors": _zero(), "collected": F.col("total")}
+        counts = [F.col(name) if name in df.columns else absent[name].alias(name) for name in names]
+        return df.select(*keys, F.struct(*counts, "status").alias(alias))
+
     rows = runs.join(side(reports, "_report"), list(keys), "left")
     if stdout_summaries is not None:
         rows = rows.join(side(stdout_summaries, "_parsed"), list(keys), "left")
@@ -900,7 +908,8 @@ def run_envelope(
             "stderr", F.when(late, "Timeout exception").otherwise(F.col("stderr"))
         )
     if zero_returncode:
-        all_passed = (F.col("_report.total") > 0) & (F.col("_report.failed") == 0)
+        bad = F.col("_report.failed") + (F.col("_report.errors") if errors_fail else _zero())
+        all_passed = (F.col("_report.total") > 0) & (bad == 0)
         code = F.when(all_passed, 0).otherwise(code)
     return rows.withColumn("returncode", code.cast("int")).select(
         *runs.columns, F.col("_report").isNotNull().alias("has_report"), "_r.*"

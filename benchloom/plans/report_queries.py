@@ -153,7 +153,9 @@ STATE = """CASE n % 8 WHEN 0 THEN 'passed' WHEN 1 THEN 'failure' WHEN 2 THEN 'er
 WITH {RUNS}
 SELECT run_id, ln AS name, 'com.C' || (i % 2) AS classname, {STATE} AS status,
   CASE WHEN n % 8 IN (1, 2, 5, 6, 7) THEN 'a > b ' || i WHEN n % 8 = 3 THEN 'later' END AS message,
-  CASE WHEN n % 8 IN (1, 2, 5, 6, 7) THEN 'T' || (i % 3) END AS error_type
+  CASE WHEN n % 8 IN (1, 2, 5, 6, 7) THEN 'T' || (i % 3) END AS error_type,
+  CASE WHEN n % 8 = 1 THEN '<error> ' || ln WHEN n % 8 IN (2, 5, 6) AND ln <> '' THEN ln END AS full_error,
+  CASE WHEN n % 8 IN (4, 5, 6, 7) THEN 'oops' END AS system_error
 FROM dl
 """)
 def surefire_cases(t: Tables):
@@ -173,16 +175,15 @@ def surefire_suite(t: Tables):
 WITH {RUNS}, s AS (SELECT *, {STATE} AS st, 'com.S' || run_id AS suite FROM dl)
 SELECT run_id, suite, string_agg(ln, chr(10) ORDER BY i) FILTER (WHERE st = 'passed') AS passed,
   string_agg(ln, chr(10) ORDER BY i) FILTER (WHERE st = 'failure') AS failure,
+  string_agg(ln, chr(10) ORDER BY i) FILTER (WHERE st = 'error') AS error,
+  string_agg(ln, chr(10) ORDER BY i) FILTER (WHERE st = 'skipped') AS skipped,
   string_agg(ln, chr(10) ORDER BY i) FILTER (WHERE st = 'system-error') AS system_error
 FROM s GROUP BY ALL
 """)
 def status_pivot(t: Tables):
-    wide = reports.status_pivot(reports.surefire_cases(surefire_reports(t)), ["run_id", "suite"])
+    wide = reports.surefire_lists(surefire_reports(t))
     text = lambda name: F.when(F.size(f"`{name}`") > 0, F.array_join(F.col(f"`{name}`"), "\n"))
-    return wide.select(
-        "run_id", "suite", text("passed").alias("passed"), text("failure").alias("failure"),
-        text("system-error").alias("system_error"),
-    )
+    return wide.select("run_id", "suite", *[text(state).alias(state.replace("-", "_")) for state in reports.STATES])
 
 
 @query(f"""
@@ -558,12 +559,14 @@ c AS (SELECT run_id, count(*) AS t, count(*) FILTER (WHERE n % 4 = 0) AS jp, cou
         count(*) FILTER (WHERE n % 4 > 1) AS js, count(*) FILTER (WHERE n % 3 = 0) AS mp, count(*) FILTER (WHERE n % 3 = 1) AS mf,
         count(*) FILTER (WHERE n % 3 = 2) AS ms FROM dl GROUP BY 1),
 x AS (SELECT run_id, run_id % 3 <> 0 AS has_report, run_id % 3 = 0 AND run_id % 2 = 0 AS parsed, run_id % 17 = 0 AS late, * FROM c)
-SELECT run_id, has_report, CASE WHEN has_report AND jf = 0 THEN 0 WHEN late THEN 2 ELSE 1 END AS returncode,
+SELECT run_id, has_report, CASE WHEN has_report AND jf = 0 AND run_id % 5 <> 0 THEN 0 WHEN late THEN 2 ELSE 1 END AS returncode,
   CASE WHEN late THEN 'Timeout exception' ELSE '' END AS stderr,
   CASE WHEN has_report THEN t WHEN parsed THEN mp + mf ELSE 0 END AS total,
   CASE WHEN has_report THEN jp WHEN parsed THEN mp ELSE 0 END AS passed,
   CASE WHEN has_report THEN jf WHEN parsed THEN mf ELSE 0 END AS failed,
   CASE WHEN has_report THEN js WHEN parsed THEN ms ELSE 0 END AS skipped,
+  CASE WHEN has_report AND run_id % 5 = 0 THEN 1 ELSE 0 END AS errors,
+  CASE WHEN has_report THEN t WHEN parsed THEN mp + mf ELSE 0 END AS collected,
   CASE WHEN has_report THEN NULL WHEN parsed THEN CASE WHEN mp > 0 AND mf = 0 THEN 'passed' WHEN mp = 0 THEN 'failed' ELSE 'unknown' END
        ELSE 'unknown' END AS status
 FROM (SELECT * EXCLUDE (run_id_1) FROM x)
@@ -577,9 +580,9 @@ def run_envelope(t: Tables):
         "doc_id AS run_id", "1 AS returncode", "'' AS stderr", "doc_id % 17 = 0 AS late"
     )
     js = reports.jest_json(jest_reports(t)).where("run_id % 3 <> 0")
-    js = js.withColumn("status", F.lit(None).cast("string"))
+    js = js.withColumn("status", F.lit(None).cast("string")).withColumn("errors", F.when(F.expr("run_id % 5 = 0"), 1).otherwise(0).cast("bigint"))
     parsed = stdout_logs.mocha_summary(mocha_logs(t).where("run_id % 2 = 0"))
-    return reports.run_envelope(runs, js, parsed, timed_out="late").drop("late")
+    return reports.run_envelope(runs, js, parsed, timed_out="late", errors_fail=True).drop("late")
 
 
 @query("""

@@ -90,13 +90,7 @@ _CASE = """STRUCT<_name: STRING, _classname: STRING, _class: STRING, _time: STRI
   failure: ARRAY<STRUCT<_message: STRING, _VALUE: STRING>>,
   error: ARRAY<STRUCT<_message: STRING, _VALUE: STRING>>,
   skipped: ARRAY<STRUCT<_message: STRING, _VALUE: STRING>>>"""
-_SUITE = f"""_name: STRING, _tests: STRING, _failures: STRING, _errors: STRING, _skipped: STRING,
-  testcase: ARRAY<{_CASE}>"""
+_SUITE = "STRUCT<_tests: STRING, _failures: STRING, _errors: STRING, _skipped: STRING>"
 
-
-def junit(levels: int) -> str:
-    """The JUnit document: suites may nest up to ``levels`` deep below the root."""
-    nested = f"STRUCT<{_SUITE}>"
-    for _ in range(levels - 1):
-        nested = f"STRUCT<{_SUITE}, testsuite: ARRAY<{nested}>>"
-    return f"STRUCT<{_SUITE}, testsuite: ARRAY<{nested}>, _corrupt_record: STRING>"
+# All suites of a JUnit document beside each other, and all their cases.
+JUNIT = f"STRUCT<s: ARRAY<{_SUITE}>, testcase: ARRAY<{_CASE}>, _corrupt_record: STRING>"

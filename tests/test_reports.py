@@ -241,7 +241,7 @@ def test_format(one):
     assert (kind(" \n{"), kind("[1]"), kind("<x/>"), kind("")) == ("json", "json", "xml", "xml")
 
 
-@pytest.mark.parametrize("depth", [1, 3, 4, 8, 12])
+@pytest.mark.parametrize("depth", [1, 3, 12, 13, 50, 200])
 def test_junit_at_any_depth(one, depth):
     text = "<testsuites>" + '<testsuite tests="1">' * depth + '<testcase name="a"/>' + "</testsuite>" * depth + "</testsuites>"
     df = one(run_id="r", text=text)
@@ -249,10 +249,75 @@ def test_junit_at_any_depth(one, depth):
     assert [r.name for r in reports.junit_cases(df).collect()] == ["a"]
 
 
-def test_junit_too_deep_is_marked(one):
-    text = '<testsuite tests="1">' * 14 + "</testsuite>" * 14
-    row = reports.junit_summary(one(run_id="r", text=text)).first()
-    assert row["parse_error"] == "too_deep" and reports.junit_cases(one(run_id="r", text=text)).count() == 0
+def test_junit_shallow_suites_beside_deep_ones(one):
+    """Cases of every level are found once, comments and CDATA with tags in them change nothing."""
+    deep = '<testsuite tests="1"><testcase name="d"/>' * 40 + "</testsuite>" * 40
+    text = ('<testsuite tests="7"><testcase name="lost"/><!-- <testsuite tests="5"> --><testsuite tests="2"/>' + deep +
+            '<testcase name="lost"/><testsuite name="a>b" tests="1"><properties><testcase name="no"/></properties><testcase name="e">'
+            '<failure message="m"><![CDATA[</testsuite> <testsuite tests="9">]]></failure></testcase></testsuite><testcase name="lost"/></testsuite>')
+    assert reports.junit_summary(rep(one, text)).first()["total"] == 43
+    got = cases(reports.junit_cases(rep(one, text)))
+    assert [c[0] for c in got] == ["d"] * 40 + ["e"] and got[-1][3] == '</testsuite> <testsuite tests="9">'
+
+
+SYNTAX_ERRORS = {
+    "open tag": "<testsuite name='s'><b></testsuite>", "crossed tags": "<testsuite name='s'><a><b></a></b></testsuite>",
+    "cut off": "<testsuite name='s'><testcase name='a' classname='c'/>", "attribute twice": "<testsuite name='s' x='1' x='2'/>",
+    "no quotes": "<testsuite name='s' x=1/>", "no value": "<testsuite name='s' x/>", "< in a value": "<testsuite name='s' x='<'/>",
+    "unknown entity": "<testsuite name='s'>&foo;</testsuite>", "bare ampersand": "<testsuite name='s'>a & b</testsuite>",
+    "ampersand in a value": "<testsuite name='&'/>", "character 0": "<testsuite name='s'>&#0;</testsuite>", "control character": "<testsuite name='s'>\x01</testsuite>",
+    "two roots": "<testsuite name='s'/><testsuite name='t'/>", "two long roots": "<testsuite name='s'></testsuite><testsuite name='t'></testsuite>",
+    "another root": "<testsuite name='s'></testsuite><b/>", "text behind": "<testsuite name='s'/>x", "text before": "x<testsuite name='s'/>",
+    "no root": "<!-- c -->", "bad name": "<testsuite name='s'><1a/></testsuite>", "-- in a comment": "<testsuite name='s'><!-- a -- b --></testsuite>",
+    "open CDATA": "<testsuite name='s'><![CDATA[x</testsuite>", "]]> in text": "<testsuite name='s'>]]></testsuite>",
+    "late declaration": "<testsuite name='s'/><?xml version='1.0'?>", "open comment": "<testsuite name='s'/><!-- x", "open instruction": "<testsuite name='s'><?pi x</testsuite>",
+    "attribute in an end tag": "<testsuite name='s'></testsuite x='1'>", "space before a name": "< testsuite name='s'/>", "no space": "<testsuite name='s'x='2'/>",
+    "noncharacter": "<testsuite name='s'>\uffff</testsuite>", "prefix": "<testsuite name='s'><p:a/></testsuite>",
+}
+
+
+def test_no_rows_of_text_that_is_not_well_formed(spark):
+    whole = lambda text: text.replace("'/>", "'><testcase name='a' classname='c'/></testsuite>")
+    rows = [(what, whole(text) if what in ("text behind", "late declaration") else text) for what, text in SYNTAX_ERRORS.items()]
+    df = spark.createDataFrame(rows, "run_id STRING, text STRING")
+    for found in (reports.surefire_suite(df), reports.junit_summary(df)):
+        assert {r.run_id: r.parse_error for r in found.collect()} == dict.fromkeys(SYNTAX_ERRORS, "malformed")
+    assert reports.surefire_cases(df).count() == 0 and reports.junit_cases(df).count() == 0
+
+
+@pytest.mark.parametrize("text", [
+    '\ufeff<testsuite name="s" tests="1"/>'[1:], "<?xml version='1.0' encoding='UTF-8'?>\n<!DOCTYPE testsuite>\n<!-- </testsuite> --><testsuite name='s' tests='1'>\n</testsuite>\n<!-- end -->\n<?pi x?>\n",
+    "<testsuite name='a > b' tests='1'>&#65;&#x42;&amp;<testsuite-x/><ns:a xmlns:ns='u'/></testsuite>", "<testsuite name='s' tests='1'><b><testsuitex/></b><![CDATA[ ]] > ]]></testsuite>",
+])
+def test_well_formed_texts_are_read(one, text):
+    assert reports.surefire_suite(rep(one, text)).first().tests == 1
+    assert reports.junit_summary(rep(one, text)).first()["total"] == 1
+
+
+def test_surefire_error_bodies(one):
+    text = ('<testsuite name="s" tests="4">'
+            '<testcase name="a" classname="c"><failure type="T" message="m"><![CDATA[at <init> & co]]> &lt;more&gt;<!-- no --> end<b/>not this</failure>'
+            '<system-err>first</system-err><system-err><![CDATA[boom]]></system-err></testcase>'
+            '<testcase name="b" classname="c"><failure>one</failure><rerunError type="E">two &#x263A;</rerunError></testcase>'
+            '<testcase name="d" classname="c"><error type="E"/><skipped>because</skipped></testcase><testcase name="e" classname="c"/></testsuite>')
+    got = [(r.name, r.status, r.error_type, r.full_error, r.system_error) for r in reports.surefire_cases(rep(one, text)).orderBy("pos").collect()]
+    assert got == [("a", "system-error", "T", "at <init> & co <more> end", "boom"), ("b", "error", "E", "two ☺", None), ("d", "skipped", "E", None, None), ("e", "passed", None, None, None)]
+    lists = reports.surefire_lists(rep(one, text)).first()
+    assert (lists["system-error"], lists["error"], lists["skipped"], lists["passed"], lists["failure"]) == (["a"], ["b"], ["d"], ["e"], [])
+
+
+def test_envelope_of_errors(spark):
+    runs = spark.createDataFrame([("a", 1, ""), ("b", 1, "")], "run_id STRING, returncode INT, stderr STRING")
+    report = spark.createDataFrame([("a", 3, 2, 0, 0, 1, 5, "failed"), ("b", 2, 2, 0, 0, 0, 2, "passed")],
+                                   "run_id STRING, total LONG, passed LONG, failed LONG, skipped LONG, errors LONG, collected LONG, status STRING")
+    got = lambda **options: {r.run_id: (r.returncode, r.errors, r.collected) for r in reports.run_envelope(runs, report, **options).collect()}
+    assert got() == {"a": (0, 1, 5), "b": (0, 0, 2)} and got(errors_fail=True) == {"a": (1, 1, 5), "b": (0, 0, 2)}
+
+
+def test_go_reports_of_one_run_keep_their_lines_together(one, spark):
+    log = lambda *texts: "\n".join(json.dumps({"Action": "output", "Package": "p", "Test": "T", "Output": t}) for t in texts)
+    df = spark.createDataFrame([("r", log("a1 ", "a2 ", "a3 ")), ("r", log("b1 ", "b2 "))], "run_id STRING, text STRING").coalesce(1)
+    assert reports.go_tests(df).first().message == "a1 a2 a3 b1 b2 "
 
 
 @pytest.mark.parametrize("text", ['<testsuites tests="3" failures="1"/>', '<foo tests="4"><testcase name="x"/></foo>'])
