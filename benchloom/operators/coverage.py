@@ -8,14 +8,16 @@ tables hold one run.
 from __future__ import annotations
 
 import ast
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schemas
 
-# Lines per block of the range join.  A definition meets one row per block it spans.
+# Lines per leaf of the tree that the range join uses.
 BLOCK = 64
 
 Keys = Sequence[str]
@@ -91,6 +93,61 @@ def parse_definitions(
     return out if errors else out.where("parse_error IS NULL").drop("parse_error")
 
 
+def source_hash(source: Column) -> Column:
+    return F.sha2(source, 256)
+
+
+def parse_distinct(
+    files: DataFrame, path: str = "path", source: str = "source", keys: Keys = (), errors: bool = False, cache: str | None = None
+) -> DataFrame:
+    """:func:`parse_definitions` in which equal sources are parsed once, whatever files and runs they are in.
+
+    Snapshots of a repository share most files.  A source is known by its hash; definitions of a hash are joined back to
+    all files that have it and named after them.  With ``cache`` the parsed hashes stay in that folder, and later
+    calls parse only what is new.
+    """
+    files = files.where(F.col(source).isNotNull())
+    texts = files.select(source_hash(F.col(source)).alias("_hash"), F.col(source).alias("_source"))
+    texts = texts.groupBy("_hash").agg(F.first("_source").alias("_source"))
+    if cache is None:
+        found = parse_definitions(texts, "_hash", "_source", errors=True)
+    else:
+        found = _cached(texts, cache)
+    places = files.select(*keys, F.col(path).alias("_path"), source_hash(F.col(source)).alias("_hash"))
+    joined = places.join(found.withColumnRenamed("fn", "_hash"), "_hash")
+    names = [c for c in found.columns if c not in ("fn", "source")]
+    named = F.concat_ws(":", "_path", F.substring(F.col("source"), F.lit(66), F.length("source")))
+    out = joined.select(*keys, F.col("_path").alias("fn"), *names, F.when(F.col("source").isNotNull(), named).alias("source"))
+    out = out.select(*keys, *found.columns)
+    return out if errors else out.where("parse_error IS NULL").drop("parse_error")
+
+
+def _cached(texts: DataFrame, cache: str) -> DataFrame:
+    """The definitions of all hashes in the cache, after those of new texts have been added.
+
+    A call adds one folder of definitions and, behind it, one of the hashes they belong to, so hashes whose
+    definitions were not written completely are parsed again.
+    """
+    spark, name = texts.sparkSession, uuid.uuid4().hex
+    definitions = ", ".join([schemas.DEFINITIONS, "parse_error STRING", "call STRING"])
+    read = lambda part, ddl: spark.read.schema(ddl).parquet(f"{cache}/{part}")
+    try:
+        known = read("hashes", "_hash STRING, call STRING").select("_hash")
+        new = texts.join(known, "_hash", "left_anti")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        new = texts
+    # the list of hashes is written from the same rows that were parsed
+    fresh = f"{cache}/texts/call={name}"
+    new.write.mode("overwrite").parquet(fresh)
+    rows = spark.read.schema("_hash STRING, _source STRING").parquet(fresh)
+    parse_definitions(rows, "_hash", "_source", errors=True).write.mode("overwrite").parquet(f"{cache}/definitions/call={name}")
+    rows.select("_hash").write.mode("overwrite").parquet(f"{cache}/hashes/call={name}")
+    done = read("hashes", "_hash STRING, call STRING").select("call").distinct()
+    return read("definitions", definitions).join(done, "call", "left_semi").drop("call")
+
+
 def definition_contexts(
     definitions: DataFrame, files: DataFrame, path: str = "path", source: str = "source", keys: Keys = ()
 ) -> DataFrame:
@@ -159,31 +216,69 @@ def effective_intervals(definitions: DataFrame, keys: Keys = ()) -> DataFrame:
     return joined.withColumn("r_eff", F.least("_within", "_later")).drop("_block", "_within", "_later")
 
 
+def _shifted(value: Column, bits: Column) -> Column:
+    return F.call_function("shiftright", value, bits)
+
+
+def _level(blocks: Column) -> Column:
+    """The largest k with ``2**k <= blocks``."""
+    return F.length(F.bin(blocks)) - 1
+
+
+def dyadic_nodes(first: Column, last: Column) -> Column:
+    """The nodes ``(k, i)`` that make up the blocks ``first`` to ``last`` (from 1): node ``(k, i)`` has ``2**k`` blocks from ``i * 2**k`` on.
+
+    A node is taken if it lies within and its parent does not: at most two of each size.
+    """
+    start = lambda k: _shifted(first + _shifted_left(k) - 1, k)
+    end = lambda k: _shifted(last + 1, k) - 1
+
+    def at(k: Column) -> Column:
+        a, c, above_a, above_c = start(k), end(k), start(k + 1), end(k + 1)
+        parent_out = lambda i: ~_shifted(i, F.lit(1)).between(above_a, above_c)
+        inside = F.filter(F.array_distinct(F.array(a, c)), lambda i: i.between(a, c) & parent_out(i))
+        return F.transform(inside, lambda i: F.struct(k.alias("k"), i.alias("i")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), _level(last - first + 1)), at))
+
+
+def _shifted_left(k: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), k)
+
+
+def dyadic_ancestors(block: Column) -> Column:
+    """All nodes that hold a block (from 1).  Nodes of intervals start at 1 or later, so none is larger than its start."""
+    return F.transform(F.sequence(F.lit(0), _level(block)), lambda k: F.struct(k.alias("k"), _shifted(block, k).alias("i")))
+
+
 def line_intervals(
     lines: DataFrame, definitions: DataFrame, strict: bool = False, block: int = BLOCK,
     unique: bool = False, keys: Keys = (),
 ) -> DataFrame:
     """Lines joined with the definitions found for them (``lines`` holds ``fn, line``).
 
-    A range join turned into an equi join on ``(fn, block of lines)``; each line has
-    one block, so a pair is found once.  ``strict`` takes every interval that
-    contains the line.  ``unique``, here and below: ``definitions`` comes from
-    ``latest_definitions``.
+    A range join turned into an equi join.  Blocks of lines are the leaves of a binary tree: an interval is split into
+    the largest nodes that make up its blocks, at most two per level, and a line meets the nodes above its block.
+    Exactly one of them belongs to an interval that has the block, so a pair is found once; only lines of
+    the two outer blocks may still lie outside.  ``strict`` takes every interval that contains the line.  ``unique``, here and below:
+    ``definitions`` comes from ``latest_definitions``.
     """
     intervals = definitions if unique else latest_definitions(definitions, keys)
     end = "r" if strict else "r_eff"
     if not strict:
         intervals = effective_intervals(intervals, keys)
     file = [*keys, "fn"]
-    spanned = F.sequence(F.floor(F.col("l") / block).cast("int"), F.floor(F.col(end) / block).cast("int"))
-    spread = intervals.where(F.col(end) >= F.col("l")).withColumn("_b", F.explode(spanned))
-    left = lines.withColumn("_b", F.floor(F.col("line") / block).cast("int")).alias("a")
+    # numbered from 1, lines before the first included
+    block_of = lambda line: F.greatest(F.floor(line / block).cast("bigint"), F.lit(0)) + 1
+    spread = intervals.where(F.col(end) >= F.greatest("l", F.lit(0)))
+    spread = spread.withColumn("_node", F.explode(dyadic_nodes(block_of(F.col("l")), block_of(F.col(end)))))
+    left = lines.withColumn("_node", F.explode(dyadic_ancestors(block_of(F.col("line"))))).alias("a")
     right = spread.alias("d")
-    match = F.col("a._b") == F.col("d._b")
+    match = (F.col("a._node.k") == F.col("d._node.k")) & (F.col("a._node.i") == F.col("d._node.i"))
     for name in file:
         match = match & (F.col(f"a.{name}") == F.col(f"d.{name}"))
     inside = F.col("a.line").between(F.col("d.l"), F.col(f"d.{end}"))
-    chosen = [c for c in right.columns if c not in (*file, "_b", "r_eff")]
+    chosen = [c for c in right.columns if c not in (*file, "_node", "r_eff")]
     return left.join(right, match & inside).select(
         *[F.col(f"a.{c}") for c in lines.columns], *[F.col(f"d.{c}") for c in chosen]
     )

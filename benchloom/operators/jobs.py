@@ -145,19 +145,19 @@ def score_test_generation(tasks: DataFrame, logs: DataFrame, task: str = "doc_id
 
 def collect_tasks(
     files: DataFrame, contexts: DataFrame, outcomes: DataFrame, path: str = "path", source: str = "source",
-    keys: Sequence[str] = (), folder: str | None = None,
+    keys: Sequence[str] = (), folder: str | None = None, cache: str | None = None,
 ) -> DataFrame:
     """Definitions of Python files with their covering tests counted and their coverage rate.
 
     ``contexts`` holds the covered lines (``fn, line, context``), ``outcomes`` the
     results of the test runs (``nodeid, outcome``); ``keys`` are the columns that tell
     runs apart in all three.  With ``folder`` the parsed definitions are written there as
-    Parquet and read again; without it the plan parses once for each of its uses.
+    Parquet and read again.  Equal sources are parsed once; with ``cache`` also across calls.
     """
     collect.require_columns(files, (*keys, path, source))
     collect.require_columns(contexts, (*keys, *schemas.CONTEXTS))
     collect.require_columns(outcomes, (*keys, *schemas.OUTCOMES))
-    definitions = coverage.latest_definitions(coverage.parse_definitions(files, path, source, keys), keys)
+    definitions = coverage.latest_definitions(coverage.parse_distinct(files, path, source, keys, cache=cache), keys)
     if folder is not None:
         definitions.write.mode("overwrite").parquet(folder)
         definitions = files.sparkSession.read.schema(definitions.schema).parquet(folder)

@@ -34,6 +34,19 @@ def append_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
+def append_batch(df: DataFrame, path: str, batch: str) -> None:
+    """Write the rows of one batch as JSON Lines; a batch that is written again replaces itself.
+
+    So a job that is repeated, by a driver that was restarted for instance, appends its rows once.
+    """
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/batch={batch}")
+
+
+def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All batches that :func:`append_batch` has written completely."""
+    return spark.read.schema(f"{schema}, batch STRING").option("mode", "PERMISSIVE").json(path).drop("batch")
+
+
 def read_jacoco(spark: SparkSession, path: str) -> DataFrame:
     """JaCoCo CSV reports, columns found by name, with the place of every row."""
     names = [field.split()[0] for field in schemas.JACOCO.split(",")]
@@ -135,6 +148,49 @@ def discover_reports(spark: SparkSession, root: str, language: str) -> DataFrame
     )
 
 
+# Where a Scala run leaves its reports, as a pattern over the path below the folder of the run.
+SCALA_RUN_PATH = r"^(?:(?:target|test-output)/(?:.*/)?)?[^/]*(?:TEST-|(?i:test))[^/]*\.xml$"
+
+
+def list_files(spark: SparkSession, root: str, names: str = "*") -> DataFrame:
+    """``path`` of the files below a folder; none is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", names).load(root)
+    return files.select("path")
+
+
+def deepest_root(paths: DataFrame, roots: DataFrame, path: str = "path") -> DataFrame:
+    """``path, root``: the longest of the ``root`` folders that a path lies in; paths outside of all roots are left out.
+
+    Every folder above a path is a row, so the longest prefix is an equi join and a maximum.
+    """
+    parts = F.split(path, "/", -1)
+    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    prefixes = paths.select(path).distinct().select(path, F.explode(above).alias("root"))
+    found = prefixes.join(roots.select(F.rtrim(F.col("root"), F.lit("/")).alias("root")).distinct(), "root")
+    return found.groupBy(path).agg(F.max_by("root", F.length("root")).alias("root"))
+
+
+def discover_run_reports(spark: SparkSession, top: str, language: str, marker: str) -> DataFrame:
+    """``run, path, text`` of the reports of all runs below a folder.
+
+    A run is a folder that holds a file ``marker``; a report belongs to the deepest run that it lies in.  For
+    Scala this also finds reports that lie directly in the folder of a run.
+    """
+    roots = list_files(spark, top, marker).select(F.regexp_replace("path", "/[^/]*$", "").alias("root"))
+    names = report_names(language)
+    placed = deepest_root(list_files(spark, top, names), roots)
+    if language == "scala":
+        wanted = F.substring(F.col("path"), F.length("root") + 2, F.length("path")).rlike(SCALA_RUN_PATH)
+    else:
+        wanted = is_report(F.col("path"), language)
+    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names).option("wholetext", True).text(top)
+    # the two readers write the scheme of a local path differently
+    plain = lambda path: F.regexp_replace(path, "^file:/+", "file:/")
+    texts = texts.select(plain(F.col("_metadata.file_path")).alias("_plain"), F.col("value").alias("text"))
+    chosen = placed.where(wanted).select(F.col("root").alias("run"), "path", plain(F.col("path")).alias("_plain"))
+    return texts.join(chosen, "_plain").select("run", "path", "text")
+
+
 def with_run_id(reports: DataFrame, pattern: str, path: str = "path") -> DataFrame:
     """The run id of a report, taken from its path by the first group of a pattern."""
     return reports.withColumn("run_id", F.regexp_extract(path, pattern, 1))

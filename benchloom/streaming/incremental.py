@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -48,14 +47,8 @@ def stream_reports(
     )
 
 
-def _written(spark: SparkSession, sink: str, number: int, keys: Sequence[str]) -> DataFrame | None:
-    """The keys that other micro-batches have written; None before the first."""
-    try:
-        return spark.read.parquet(sink).where(F.col("batch") != number).select(*keys).distinct()
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 def process_new(
@@ -64,26 +57,30 @@ def process_new(
     sink: str,
     checkpoint: str,
     keys: Sequence[str] = (),
+    done: DataFrame | None = None,
 ) -> StreamingQuery:
     """Run a batch operator over whatever is new, then stop.
 
     A micro-batch replaces its own output folder, so one that is repeated after a
-    failure writes its rows once.  With ``keys``, which the operator must return, an
-    item is taken once: repeated keys of a batch and keys that the sink already holds
-    are left out.
+    failure writes its rows once.  With ``keys`` an item is taken once: the keys seen so far are the state of the
+    stream, kept by RocksDB below the checkpoint, so a batch looks up its own keys and never reads the sink.
+    ``done`` holds keys that something else has processed before.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = batch
-        if keys:
-            rows = batch.dropDuplicates(list(keys))
-            done = _written(batch.sparkSession, sink, number, keys)
-            rows = rows if done is None else pending(rows, done, list(keys))
+        rows = batch if done is None else pending(batch, done, list(keys))
         operator(rows).write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
-    return (
-        source.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    session = source.sparkSession
+    rows = source.dropDuplicates(list(keys)) if keys else source
+    before = session.conf.get(PROVIDER, None)
+    session.conf.set(PROVIDER, ROCKSDB)
+    try:
+        return (
+            rows.writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        session.conf.unset(PROVIDER) if before is None else session.conf.set(PROVIDER, before)

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -140,3 +141,46 @@ def test_deep_expression_is_reported(spark):
     got = {r.fn: r.parse_error for r in coverage.parse_definitions(files, errors=True).collect()}
     assert got["bad.py"] == "syntax" and got["ok.py"] is None and got.get("deep.py") in (None, "too_deep")
     assert [r.fn for r in coverage.parse_definitions(files).collect()] == ["ok.py"]
+
+
+def test_intervals_become_few_nodes(spark):
+    """A file of a million lines: an interval has at most two nodes per level, and a line meets each interval once."""
+    rng = random.Random(5)
+    n = 1_000_000
+    intervals = sorted({tuple(sorted((rng.randrange(n), rng.randrange(n)))) for _ in range(40)} | {(0, n - 1), (0, 0), (1, n - 1), (63, 64), (n - 1, n - 1)})
+    block = lambda name: F.floor(F.col(name) / 64) + 1
+    df = definitions(spark, *intervals)
+    sizes = df.select(F.size(coverage.dyadic_nodes(block("l"), block("r"))).alias("n")).agg(F.max("n")).first()[0]
+    assert sizes <= 2 * math.log2(n)
+    lines = [*range(0, n, 997), 1, 62, 63, 64, 65, n - 1]
+    want = sorted((x, *i) for x in lines for i in intervals if i[0] <= x <= i[1])
+    assert hits(spark, lines, intervals, strict=True) == want
+
+
+def test_nodes_are_the_blocks(spark):
+    rows = [(a, b) for a in range(1, 12) for b in (*range(a, 34), 1000)]
+    df = spark.createDataFrame(rows, "a LONG, b LONG").select("a", "b", coverage.dyadic_nodes(F.col("a"), F.col("b")).alias("n"))
+    for r in df.collect():
+        assert sorted(b for k, i in r.n for b in range(i << k, (i + 1) << k)) == list(range(r.a, r.b + 1))
+
+
+def snapshots(spark, runs):
+    sources = {"a.py": "def f():\n    pass\n", "b.py": "class C:\n    def m(self):\n        pass\n", "copy_of_a.py": "def f():\n    pass\n", "bad.py": "def (", "none.py": None, "empty.py": ""}
+    rows = [(run, path, source) for run in runs for path, source in sources.items()]
+    return spark.createDataFrame(rows, "run INT, path STRING, source STRING")
+
+
+def test_equal_sources_are_parsed_once(spark, tmp_path):
+    rows_of = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    five = snapshots(spark, range(5))
+    for errors in (False, True):
+        want = rows_of(coverage.parse_definitions(five, keys=["run"], errors=errors))
+        assert rows_of(coverage.parse_distinct(five, keys=["run"], errors=errors)) == want
+        assert rows_of(coverage.parse_distinct(five, keys=["run"], errors=errors, cache=str(tmp_path / "cache"))) == want
+    # 4 different texts in 25 files; the second call had nothing to parse
+    calls = sorted(spark.read.parquet(str(p)).count() for p in (tmp_path / "cache" / "texts").iterdir())
+    assert calls == [0, 4]
+    more = snapshots(spark, [7]).unionByName(spark.createDataFrame([(7, "new.py", "def g(): pass")], "run INT, path STRING, source STRING"))
+    got = coverage.parse_distinct(more, keys=["run"], cache=str(tmp_path / "cache"))
+    assert rows_of(got) == rows_of(coverage.parse_definitions(more, keys=["run"]))
+    assert sorted(spark.read.parquet(str(p)).count() for p in (tmp_path / "cache" / "texts").iterdir()) == [0, 1, 4]

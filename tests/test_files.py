@@ -99,3 +99,40 @@ def test_a_key_in_two_files_is_written_once(spark, tmp_path):
     assert run() == [("r", 1), ("r", 2)]
     put(tmp_path / "in", "c.json", '{"repo_name": "r", "pr_number": 2}\n{"repo_name": "q", "pr_number": 1}\n')
     assert run() == [("q", 1), ("r", 1), ("r", 2)]
+
+
+def test_a_batch_that_is_written_again_counts_once(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = lambda *n: spark.createDataFrame([("r", i) for i in n], "repo_name STRING, pr_number BIGINT")
+    for df, batch in ((rows(1, 2), "a"), (rows(3), "b"), (rows(1, 2), "a")):
+        files.append_batch(df, out, batch)
+    assert sorted(r.pr_number for r in files.read_batches(spark, out, schemas.MAPPINGS).collect()) == [1, 2, 3]
+
+
+def test_a_batch_does_not_read_the_sink(spark, tmp_path):
+    """A restart between batches writes each key once, even where the sink has moved away; other keys come from a table."""
+    state = str(tmp_path / "state")
+
+    def run(sink):
+        source = incremental.stream_jsonl(spark, str(tmp_path / "in"), schemas.MAPPINGS, files_per_batch=1)
+        known = spark.createDataFrame([("r", 9)], "repo_name STRING, pr_number BIGINT")
+        incremental.process_new(source, lambda b: b.select("repo_name", "pr_number"), str(sink), state, ["repo_name", "pr_number"], known).awaitTermination()
+        return sorted(r.pr_number for r in spark.read.parquet(str(sink)).collect())
+
+    put(tmp_path / "in", "a.json", '{"repo_name": "r", "pr_number": 1}\n{"repo_name": "r", "pr_number": 9}\n')
+    assert run(tmp_path / "one") == [1]
+    put(tmp_path / "in", "b.json", '{"repo_name": "r", "pr_number": 1}\n{"repo_name": "r", "pr_number": 2}\n')
+    assert run(tmp_path / "two") == [2]
+    assert spark.conf.get(incremental.PROVIDER) != incremental.ROCKSDB
+
+
+def test_reports_belong_to_the_deepest_run(spark, tmp_path):
+    top = tmp_path / "runs"
+    for name in ("r1/build.sbt", "r1/my-test.xml", "r1/target/deep/TEST-a.xml", "r1/src/test.xml", "r1/inner/build.sbt", "r1/inner/TestB.xml",
+                 "r1/inner/target/x/test-c.xml", "r1/inner/other/test.xml", "r2/test.xml", "r10/build.sbt", "r10/test-output/test.xml", "r10/readme.xml"):
+        put(top, name, f"<{name.split('/')[-1]}>")
+    got = files.discover_run_reports(spark, str(top), "scala", "build.sbt").collect()
+    assert sorted((r.run.split("/runs/")[1], r.path.split("/runs/")[1]) for r in got) == [
+        ("r1", "r1/my-test.xml"), ("r1", "r1/target/deep/TEST-a.xml"), ("r1/inner", "r1/inner/TestB.xml"),
+        ("r1/inner", "r1/inner/target/x/test-c.xml"), ("r10", "r10/test-output/test.xml")]
+    assert all(r.text == f"<{r.path.split('/')[-1]}>" for r in got)
