@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import schemas
 
 # Lines per leaf of the tree that the range join uses.
-BLOCK = 64
+BLOCK = 128
+# A node of the tree has ``2 ** BITS`` branches.
+BITS = 2
 
 Keys = Sequence[str]
 
@@ -221,44 +223,40 @@ def _shifted(value: Column, bits: Column) -> Column:
 
 
 def _level(blocks: Column) -> Column:
-    """The largest k with ``2**k <= blocks``."""
-    return F.length(F.bin(blocks)) - 1
+    """The largest k with ``4**k <= blocks``."""
+    return F.floor((F.length(F.bin(blocks)) - 1) / BITS).cast("int")
 
 
-def dyadic_nodes(first: Column, last: Column) -> Column:
-    """The nodes ``(k, i)`` that make up the blocks ``first`` to ``last`` (from 1): node ``(k, i)`` has ``2**k`` blocks from ``i * 2**k`` on.
+def tree_nodes(first: Column, last: Column) -> Column:
+    """The nodes ``(k, i)`` that make up the blocks ``first`` to ``last`` (from 1): node ``(k, i)`` has ``4**k`` blocks from ``i * 4**k`` on.
 
-    A node is taken if it lies within and its parent does not: at most two of each size.
+    A node is taken if it lies within and its parent does not: at most six of each size, three at each end.
     """
-    start = lambda k: _shifted(first + _shifted_left(k) - 1, k)
-    end = lambda k: _shifted(last + 1, k) - 1
+    size = lambda k: F.call_function("shiftleft", F.lit(1).cast("bigint"), k * BITS)
+    start = lambda k: _shifted(first + size(k) - 1, k * BITS)
+    end = lambda k: _shifted(last + 1, k * BITS) - 1
+    outer = (1 << BITS) - 1
 
     def at(k: Column) -> Column:
         a, c, above_a, above_c = start(k), end(k), start(k + 1), end(k + 1)
-        parent_out = lambda i: ~_shifted(i, F.lit(1)).between(above_a, above_c)
-        inside = F.filter(F.array_distinct(F.array(a, c)), lambda i: i.between(a, c) & parent_out(i))
+        parent_out = lambda i: ~_shifted(i, F.lit(BITS)).between(above_a, above_c)
+        ends = F.concat(F.sequence(a, F.least(a + outer - 1, c)), F.sequence(F.greatest(c - outer + 1, a), c))
+        inside = F.when(a <= c, F.filter(F.array_distinct(ends), parent_out)).otherwise(F.array().cast("array<bigint>"))
         return F.transform(inside, lambda i: F.struct(k.alias("k"), i.alias("i")))
 
     return F.flatten(F.transform(F.sequence(F.lit(0), _level(last - first + 1)), at))
 
 
-def _shifted_left(k: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), k)
-
-
-def dyadic_ancestors(block: Column) -> Column:
-    """All nodes that hold a block (from 1).  Nodes of intervals start at 1 or later, so none is larger than its start."""
-    return F.transform(F.sequence(F.lit(0), _level(block)), lambda k: F.struct(k.alias("k"), _shifted(block, k).alias("i")))
-
-
 def line_intervals(
     lines: DataFrame, definitions: DataFrame, strict: bool = False, block: int = BLOCK,
     unique: bool = False, keys: Keys = (),
 ) -> DataFrame:
     """Lines joined with the definitions found for them (``lines`` holds ``fn, line``).
 
-    A range join turned into an equi join.  Blocks of lines are the leaves of a binary tree: an interval is split into
-    the largest nodes that make up its blocks, at most two per level, and a line meets the nodes above its block.
+    A range join turned into an equi join.  Blocks of lines are the leaves of a tree with four branches per node: an
+    interval is split into the largest nodes that make up its blocks, at most six per level, and a line meets the nodes
+    above its block.  Nodes of intervals start at block 1 or later, so none is larger than its start, and a line has
+    ``log4(block) + 1`` of them, one to three in files of usual length.
     Exactly one of them belongs to an interval that has the block, so a pair is found once; only lines of
     the two outer blocks may still lie outside.  ``strict`` takes every interval that contains the line.  ``unique``, here and below:
     ``definitions`` comes from ``latest_definitions``.
@@ -271,14 +269,16 @@ def line_intervals(
     # numbered from 1, lines before the first included
     block_of = lambda line: F.greatest(F.floor(line / block).cast("bigint"), F.lit(0)) + 1
     spread = intervals.where(F.col(end) >= F.greatest("l", F.lit(0)))
-    spread = spread.withColumn("_node", F.explode(dyadic_nodes(block_of(F.col("l")), block_of(F.col(end)))))
-    left = lines.withColumn("_node", F.explode(dyadic_ancestors(block_of(F.col("line"))))).alias("a")
+    spread = spread.withColumn("_node", F.explode(tree_nodes(block_of(F.col("l")), block_of(F.col(end)))))
+    spread = spread.withColumns({"_k": F.col("_node.k"), "_i": F.col("_node.i")}).drop("_node")
+    met = lines.withColumn("_k", F.explode(F.sequence(F.lit(0), _level(block_of(F.col("line"))))))
+    left = met.withColumn("_i", _shifted(block_of(F.col("line")), F.col("_k") * BITS)).alias("a")
     right = spread.alias("d")
-    match = (F.col("a._node.k") == F.col("d._node.k")) & (F.col("a._node.i") == F.col("d._node.i"))
-    for name in file:
+    match = F.lit(True)
+    for name in (*file, "_k", "_i"):
         match = match & (F.col(f"a.{name}") == F.col(f"d.{name}"))
     inside = F.col("a.line").between(F.col("d.l"), F.col(f"d.{end}"))
-    chosen = [c for c in right.columns if c not in (*file, "_node", "r_eff")]
+    chosen = [c for c in right.columns if c not in (*file, "_k", "_i", "r_eff")]
     return left.join(right, match & inside).select(
         *[F.col(f"a.{c}") for c in lines.columns], *[F.col(f"d.{c}") for c in chosen]
     )

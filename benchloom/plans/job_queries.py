@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import collect, jobs
 from . import collect_queries as c, coverage_queries as d, log_queries as lg, patch_queries as p, report_queries as r
+from ..sources.files import scratch_folder
 from .registry import Tables, query
 
 
@@ -130,6 +131,8 @@ def collect_tasks(t: Tables):
     ).where("i % 2 = 0")
     contexts = spots.selectExpr("run", "fn", "cast(4 + 3 * i AS INT) AS line", "concat('t::', i, '|run') AS context")
     outcomes = spots.selectExpr("run", "concat('t::', i) AS nodeid", "if(i % 4 = 0, 'passed', 'failed') AS outcome")
-    found = jobs.collect_tasks(files, contexts, outcomes, keys=["run"])
+    # parsed once: three parts of the plan read the definitions
+    folder = scratch_folder(t.spark, "definitions")
+    found = jobs.collect_tasks(files, contexts, outcomes, keys=["run"], folder=folder)
     kind = F.substring("intent_name", 1, 1).alias("kind")
     return found.select("run", "fn", "l", "r", kind, "n_pass_to_pass", "n_fail_to_pass", "coverage_rate")

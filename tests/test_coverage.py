@@ -144,14 +144,14 @@ def test_deep_expression_is_reported(spark):
 
 
 def test_intervals_become_few_nodes(spark):
-    """A file of a million lines: an interval has at most two nodes per level, and a line meets each interval once."""
+    """A file of a million lines: an interval has at most six nodes per level, and a line meets each interval once."""
     rng = random.Random(5)
     n = 1_000_000
     intervals = sorted({tuple(sorted((rng.randrange(n), rng.randrange(n)))) for _ in range(40)} | {(0, n - 1), (0, 0), (1, n - 1), (63, 64), (n - 1, n - 1)})
     block = lambda name: F.floor(F.col(name) / 64) + 1
     df = definitions(spark, *intervals)
-    sizes = df.select(F.size(coverage.dyadic_nodes(block("l"), block("r"))).alias("n")).agg(F.max("n")).first()[0]
-    assert sizes <= 2 * math.log2(n)
+    sizes = df.select(F.size(coverage.tree_nodes(block("l"), block("r"))).alias("n")).agg(F.max("n")).first()[0]
+    assert sizes <= 6 * math.ceil(math.log(n / 64, 4))
     lines = [*range(0, n, 997), 1, 62, 63, 64, 65, n - 1]
     want = sorted((x, *i) for x in lines for i in intervals if i[0] <= x <= i[1])
     assert hits(spark, lines, intervals, strict=True) == want
@@ -159,9 +159,9 @@ def test_intervals_become_few_nodes(spark):
 
 def test_nodes_are_the_blocks(spark):
     rows = [(a, b) for a in range(1, 12) for b in (*range(a, 34), 1000)]
-    df = spark.createDataFrame(rows, "a LONG, b LONG").select("a", "b", coverage.dyadic_nodes(F.col("a"), F.col("b")).alias("n"))
+    df = spark.createDataFrame(rows, "a LONG, b LONG").select("a", "b", coverage.tree_nodes(F.col("a"), F.col("b")).alias("n"))
     for r in df.collect():
-        assert sorted(b for k, i in r.n for b in range(i << k, (i + 1) << k)) == list(range(r.a, r.b + 1))
+        assert sorted(b for k, i in r.n for b in range(i << 2 * k, (i + 1) << 2 * k)) == list(range(r.a, r.b + 1))
 
 
 def snapshots(spark, runs):

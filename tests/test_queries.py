@@ -12,8 +12,8 @@ TABLES = (
     "labels conversations"
 ).split()
 PYTHON_QUERIES = {
-    "parse_definitions", "definition_contexts", "duplicate_sources", "definition_errors", "collect_tasks",
-}
+    "parse_definitions", "definition_contexts", "duplicate_sources", "definition_errors",
+}  # collect_tasks parses in a job of its own and reads the stored definitions
 
 
 @pytest.fixture(scope="module")
