@@ -1,22 +1,36 @@
 """The pipeline against a version without Spark."""
 
-import numpy as np
+from itertools import combinations
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 
 import corpus_pipeline
 from benchloom.llm import bin_packing, language_kernel, quality
 from tests.llm.odd import table
-from tests.llm.test_near_duplicates import Groups, brute_fingerprint, brute_lines, near_pairs
+from tests.llm.test_near_duplicates import Groups, brute_lines
 from tests.llm.test_packing import check
+from tests.llm.test_shingle_sets import brute_set, jaccard
 
 FOLDER = "/root/testdata/sf0.01"
 
 
-def test_pipeline(spark):
-    rows = {r["doc_id"]: r for r in pq.read_table(f"{FOLDER}/documents.parquet").to_pylist()}
+def wrapped(text, width):
+    """The words of a text in other lines: no line is a near copy, but the document is."""
+    words = text.split()
+    return "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+
+def test_pipeline(spark, tmp_path):
+    given = pq.read_table(f"{FOLDER}/documents.parquet")
+    rows = {r["doc_id"]: r for r in given.to_pylist()}
+    long = [r for r in rows.values() if r["lang"] and len((r["text"] or "").split()) > 80][:25]
+    planted = [{**r, "doc_id": 900_000 + i, "text": wrapped(r["text"], 4 + i % 4)} for i, r in enumerate(long)]
+    rows |= {r["doc_id"]: r for r in planted}
+    pq.write_table(pa.Table.from_pylist(list(rows.values()), given.schema), tmp_path / "documents.parquet")
+    folder = str(tmp_path)
     # stage 1: the model is the operator's own, fitted on the same rows
-    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
     model = language_kernel.train(documents.where(~language_kernel.held_out(documents["doc_id"], 4)))
     own = language_kernel.Presence()
     texts = {key: r["text"] for key, r in rows.items()}
@@ -32,18 +46,23 @@ def test_pipeline(spark):
     cleaned = brute_lines(list(texts.items()))
     live = lambda x: any(any(c.isalnum() for c in y) for y in x.split("\n"))
     texts = {key: x for key, x in cleaned.items() if x == texts[key] or live(x)}
-    # stage 4
-    prints = {key: brute_fingerprint(x) for key, x in texts.items()}
-    different = np.array(sorted(set(prints.values())), np.uint64)
-    groups, place = Groups(len(different)), {int(x): i for i, x in enumerate(different)}
-    for i, j in near_pairs(different, 2):
-        groups.join(i, j)
+    # stage 4: all pairs that share a shingle
+    names, sets = sorted(texts), {key: brute_set(x) for key, x in texts.items()}
+    place, holders, groups = {key: i for i, key in enumerate(names)}, {}, Groups(len(names))
+    for key in names:
+        for shingle in sets[key]:
+            holders.setdefault(shingle, []).append(key)
+    for a, b in {pair for own in holders.values() for pair in combinations(own, 2)}:
+        if jaccard(sets[a], sets[b]) >= 0.8:
+            groups.join(place[a], place[b])
     first = {}
-    for key in sorted(prints, reverse=True):
-        first[groups.root(place[prints[key]])] = key
+    for key in sorted(names, reverse=True):
+        first[groups.root(place[key])] = key
+    gone = set(names) - set(first.values())
+    assert len(gone & {r["doc_id"] for r in planted}) >= 10
     texts = {key: texts[key] for key in first.values()}
     # stage 5: any placing is right that is whole and as cheap as the plan
-    found = corpus_pipeline.run(spark, FOLDER).collect()
+    found = corpus_pipeline.run(spark, folder).collect()
     check(found, {key: len(x.encode().split()) + 1 for key, x in texts.items()}, 4096)
     histogram = {}
     for r in found:
