@@ -9,7 +9,8 @@ With ``dropout`` 0 the result is the library's own encoding.
 
 No piece of such a vocabulary holds a word mark behind another letter, so a text is cut before spaces, and
 before the punctuation that no piece holds behind a letter; each different word is worked out once per
-variant.  The variant of a row follows from its key.
+variant.  The variant of a row follows from its key.  Where no merge of a word is skipped, the agenda would run as the
+library does: which merges those are follows from the library's pieces, so such words need no agenda of their own.
 
 Decoding joins the pieces of the ids: it gives back every text unchanged, also one that holds the word
 mark itself (which is spelled in bytes here).
@@ -26,6 +27,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 from operator import add
 
 import numpy as np
@@ -46,9 +48,15 @@ SEED = 13
 VARIANTS = 4
 #: Words whose ids a task remembers; beyond that it forgets all and starts again.
 REMEMBERED = 600_000
+#: Odd constants that spread a span over 64 bits and mix it with the hash of a word.
+SPREAD, MIX, ALL = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, (1 << 64) - 1
 WORDS = re.compile(r" *[^ \n]+| +|\n")
 
 
+def _word_hash(word: str, seed: int, variant: int) -> int:
+    return xxh64_intdigest(word.encode(), (seed << 8 | variant) & ALL)
+
+
 class Pieces:
     """The vocabulary of one model file (byte-pair pieces with byte fallback)."""
 
@@ -73,8 +81,20 @@ class Pieces:
         self.cut = r"(\pL)([" + "".join("\\" + c for c in cuts) + "])" if cuts else None
         self._known: dict[tuple, bytes] = {}
 
-    def segment(self, word: str, dropout: float, seed: int, variant: int) -> list[int]:
-        """The ids of one word; spaces in it are word marks."""
+        # how the library makes each piece out of its characters: one (place, size) per merge
+        traces: list[list[tuple[int, int]]] = [[] for _ in range(size)]
+        for x, i in self.ids.items():
+            self.segment(x.replace(MARK, " "), trace=traces[i])
+        self.model = model
+        self.letters = np.zeros(size, np.int64)
+        for x, i in self.ids.items():
+            self.letters[i] = len(x)
+        self.merges = np.array([len(x) for x in traces], np.int64)
+        self.first_merge = np.cumsum(self.merges) - self.merges
+        self.merge_at, self.merge_size = np.array([m for x in traces for m in x], np.int64).reshape(-1, 2).T
+
+    def segment(self, word: str, dropout: float = 0.0, seed: int = SEED, variant: int = 0, trace: list | None = None) -> list[int]:
+        """The ids of one word; spaces in it are word marks.  ``trace`` gets the merges that are made."""
         symbols: list = [ESCAPED if c == MARK else c for c in word] if MARK in word else list(word)
         symbols = [MARK if c == " " else c for c in symbols] if " " in word else symbols
         n, rank = len(symbols), self.rank.get
@@ -83,8 +103,7 @@ class Pieces:
         agenda = [r * n + i for i, r in enumerate(map(rank, map(add, symbols, symbols[1:]))) if r is not None]
         heapify(agenda)
         limit = int(dropout * 2**64)
-        key = word.encode() if limit else b""
-        keyed = (seed << 8 | variant) << 32
+        key = _word_hash(word, seed, variant) if limit else 0
         while agenda:
             r, i = divmod(heappop(agenda), n)
             left, j = symbols[i], following[i]
@@ -93,9 +112,11 @@ class Pieces:
             merged = left + symbols[j]
             if rank(merged) != r:
                 continue  # one of its parts has changed since
-            # the span, the seed and the variant are the key of the hash of the word
-            if limit and xxh64_intdigest(key, keyed + (i << 16) + len(merged)) < limit:
+            # the hash of seed, variant and word, mixed with the span
+            if limit and (key ^ (i << 16 | len(merged)) * SPREAD & ALL) * MIX & ALL < limit:
                 continue
+            if trace is not None:
+                trace.append((i, len(merged)))
             symbols[i], symbols[j] = merged, None
             following[i] = k = following[j]
             if k < n:
@@ -118,18 +139,47 @@ class Pieces:
                     out.append(own)
         return out
 
+    def _kept_whole(self, words: list[str], dropout: float, seed: int, variant: int) -> list[bytes | None]:
+        """The ids of words in which no merge is skipped, which are the library's; None for the others.
+
+        The merges inside a piece are the same in any word, so those of a word are known from its pieces, and the hashes
+        of all merges of all words are looked at together.
+        """
+        found = self.model.encode([x[1:] for x in words], out_type=int, num_threads=1)
+        counts = np.array([len(x) for x in found], np.int64)
+        ids = np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum()))
+        owner, letters = np.repeat(np.arange(len(words)), counts), self.letters[ids]
+        ends = np.cumsum(letters)
+        total = np.bincount(owner, letters, len(words)).astype(np.int64)
+        place = ends - letters - np.repeat(np.cumsum(total) - total, counts)
+        # bytes stand for no letters, so their words do not add up
+        whole = total == np.array([len(x) for x in words], np.int64)
+        merges = self.merges[ids]
+        at = ranges(self.first_merge[ids], merges)
+        span = (np.repeat(place, merges) + self.merge_at[at]) << 16 | self.merge_size[at]
+        owner = np.repeat(owner, merges)
+        key = np.fromiter((_word_hash(x, seed, variant) for x in words), np.uint64, len(words))
+        mixed = (key[owner] ^ span.astype(np.uint64) * np.uint64(SPREAD)) * np.uint64(MIX)
+        whole[owner[mixed < np.uint64(int(dropout * 2**64))]] = False
+        flat, cuts = ids.astype("<u4").tobytes(), (np.cumsum(counts) * 4).tolist()
+        return [flat[a:b] if kept else None for a, b, kept in zip([0, *cuts], cuts, whole.tolist())]
+
     def words(self, words: list[str], dropout: float, seed: int, variant: int) -> list[bytes]:
         """The ids of many words, as bytes of unsigned 32-bit integers."""
-        known, own, out = self._known, (dropout, seed, variant), []
+        known, own = self._known, (dropout, seed, variant)
         if len(known) > REMEMBERED:
             known.clear()
-        for x in words:
-            found = known.get((own, x))
-            if found is None:
-                found = array("I", self.segment(x, dropout, seed, variant)).tobytes()
-                if len(x) < 32:
-                    known[own, x] = found
-            out.append(found)
+        out = [known.get((own, x)) for x in words]
+        if 0 < dropout < 1:
+            # the library puts a mark before a text, so it takes words that begin with one
+            new = [i for i, (x, ids) in enumerate(zip(words, out)) if ids is None and x[:1] == " " and len(x) < 1000 and MARK not in x]
+            for i, ids in zip(new, self._kept_whole([words[i] for i in new], *own) if new else ()):
+                out[i] = ids
+        for i, x in enumerate(words):
+            if out[i] is None:
+                out[i] = array("I", self.segment(x, dropout, seed, variant)).tobytes()
+            if len(x) < 32:
+                known[own, x] = out[i]
         return out
 
     def encode(self, texts: pa.Array, dropout: float, seed: int, variant: int) -> tuple[np.ndarray, np.ndarray]:
