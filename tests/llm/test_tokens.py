@@ -163,3 +163,33 @@ def test_dropout_tables_of_odd_rows(spark):
     back = sorted((r["doc_id"] or 0, r["text"]) for r in merge_dropout.decode(found, PIECE).collect())
     assert back == sorted((r["doc_id"] or 0, r["text"] or "") for r in table(spark).collect())
     assert merge_dropout.encode(table(spark).limit(0), PIECE).count() == 0
+
+
+def naive_segment(own, word, dropout, seed, variant):
+    """All pairs of neighbours are looked at anew for every merge."""
+    symbols, skipped = [c.replace(" ", merge_dropout.MARK) for c in word], set()
+    limit, key = int(dropout * 2**64), merge_dropout._word_hash(word, seed, variant)
+    while True:
+        best, at = None, 0
+        for i in range(len(symbols) - 1):
+            rank = own.rank.get(symbols[i] + symbols[i + 1])
+            if rank is not None and (at, symbols[i], symbols[i + 1]) not in skipped and (best is None or (rank, at) < best[:2]):
+                best = rank, at, i
+            at += len(symbols[i])
+        if best is None:
+            return [i for x in symbols for i in ([own.ids[x]] if x in own.ids else [own.bytes[b] for b in x.encode()])]
+        _, at, i = best
+        merged = symbols[i] + symbols[i + 1]
+        if (key ^ (at << 16 | len(merged)) * merge_dropout.SPREAD & merge_dropout.ALL) * merge_dropout.MIX & merge_dropout.ALL < limit:
+            skipped.add((at, symbols[i], symbols[i + 1]))
+        else:
+            symbols[i : i + 2] = [merged]
+
+
+def test_dropout_equals_naive_merging():
+    own = merge_dropout.vocabulary(PIECE)
+    words = [" " + w for x in texts(300, 6) for w in x.split(" ") if merge_dropout.MARK not in w and w] + [" é中🙂x", " Übergrößenträger", " aaaaaaaaaaaaaaa", " 1234567890"]
+    words = list(dict.fromkeys(words))
+    for dropout in (0.1, 0.5):
+        found = own.words(words, dropout, 13, 2)
+        assert [list(np.frombuffer(x, "<u4")) for x in found] == [naive_segment(own, x, dropout, 13, 2) for x in words]
