@@ -233,6 +233,47 @@ def validate_mappings(mappings: DataFrame) -> DataFrame:
     return rows.withColumn("map_issue_pr_ok", F.col("map_issue_ok") & F.col("map_pr_ok"))
 
 
+FLAGS = ("map_issue_ok", "map_pr_ok", "map_issue_pr_ok")
+SIDES = ("issue", "pr")
+
+
+def _touched(new: DataFrame, side: str) -> DataFrame:
+    """The numbers of one side that new rows name."""
+    key = ["repo_name", f"{side}_number"]
+    return new.select(*key).dropna().distinct()
+
+
+def unchanged_flags(validated: DataFrame, new: DataFrame) -> DataFrame:
+    """The validated rows whose flags new rows cannot change: both numbers are untouched."""
+    rows = validated
+    for side in SIDES:
+        rows = rows.join(_touched(new, side), ["repo_name", f"{side}_number"], "left_anti")
+    return rows.select(*validated.columns)
+
+
+def changed_flags(validated: DataFrame, new: DataFrame) -> DataFrame:
+    """New mapping rows, and the validated ones that share a number with them, with fresh flags.
+
+    A flag depends on the links of one number only.  So the links of the numbers that new rows name are counted
+    again, from these rows and the validated ones with such a number; the other number of such a row keeps
+    its flag.  With :func:`unchanged_flags` this is :func:`validate_mappings` of all rows, whatever the batches.
+    """
+    columns = new.columns
+    marked = validated
+    for side in SIDES:
+        mark = _touched(new, side).withColumn(f"_{side}", F.lit(True))
+        marked = marked.join(mark, ["repo_name", f"{side}_number"], "left")
+    met = marked.where(F.col("_issue") | F.col("_pr"))
+    rows = met.select(*columns, *FLAGS[:2]).unionByName(new, allowMissingColumns=True)
+    for side in SIDES:
+        # only touched numbers have rows here, and all of their rows are
+        linked = met.where(f"_{side}").select(*columns).unionByName(new)
+        fresh = link_cardinality(linked, side).select("repo_name", f"{side}_number", F.col(f"{side}_ok").alias("_fresh"))
+        rows = rows.join(fresh, ["repo_name", f"{side}_number"], "left")
+        rows = rows.withColumn(f"map_{side}_ok", F.coalesce("_fresh", f"map_{side}_ok")).drop("_fresh")
+    return rows.withColumn("map_issue_pr_ok", F.col("map_issue_ok") & F.col("map_pr_ok")).select(*columns, *FLAGS)
+
+
 def mapping_stats(validated: DataFrame) -> DataFrame:
     """Per repository: rows, issues and pull requests, in all and valid.
 

@@ -129,3 +129,25 @@ def test_jobs_refuse_tables_without_their_columns(spark):
     tasks = spark.createDataFrame([("t",)], "instance_id STRING")
     with pytest.raises(ValueError, match="PASS_TO_PASS"):
         jobs.score_benchmark(tasks, tasks)
+
+
+def test_flags_after_batches_equal_those_of_all_rows(spark):
+    """Links that repeat, that make earlier ones ambiguous, and rows without a number, in batches of any order."""
+    import random
+
+    draw = random.Random(11)
+    number = lambda n: draw.choice([*range(n), None]) if draw.random() < 0.1 else draw.randrange(n)
+    rows = [(f"r{draw.randrange(3)}", draw.choice(["linked", "referenced"]), number(40), number(40), i) for i in range(240)]
+    rows += rows[:20] + [(None, "linked", 1, 1, 999)]
+    ddl = "repo_name STRING, type STRING, issue_number BIGINT, pr_number BIGINT, seq INT"
+    frame = lambda part: spark.createDataFrame(part, ddl)
+    names = ["repo_name", "type", "issue_number", "pr_number", "seq", *collect.FLAGS]
+    found = lambda df: sorted((tuple(r) for r in df.select(*names).collect()), key=str)
+    validated = collect.validate_mappings(frame(rows[:150])).select(*names)
+    for batch in (rows[150:151], rows[151:230], rows[230:]):
+        new = frame(batch)
+        after = collect.unchanged_flags(validated, new).unionByName(collect.changed_flags(validated, new))
+        validated = spark.createDataFrame(after.collect(), after.schema)
+    assert found(validated) == found(collect.validate_mappings(frame(rows)))
+    one = frame(rows[:1])
+    assert collect.changed_flags(validated, one).count() < 40
