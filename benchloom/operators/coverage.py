@@ -67,7 +67,7 @@ def parse_definitions(
     With ``errors`` such a file has one row with its ``parse_error`` instead: ``syntax``,
     or ``too_deep`` for nesting that the parser does not follow.  The one operator that
     needs Python: files are parsed independently, batch by batch, so the work spreads
-    over the input partitions.  The text around a definition is left to
+    over the input partitions; Spark cuts a batch at 64 MB of text (``spark.sql.execution.arrow.maxBytesPerBatch``).  The text around a definition is left to
     ``definition_contexts``.
     """
     names = [field.split()[0] for field in schemas.DEFINITIONS.replace("\n", " ").split(",")]
