@@ -1,6 +1,7 @@
 """SimHash trees and line dedup against brute force."""
 
 import random
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -143,12 +144,22 @@ def test_edit_distance():
         assert line_dedup.similar(a, b, 0.8) == (row[-1] <= 0.2 * max(len(a), len(b)) + 1e-9)
 
 
+def sharing_pairs(lines):
+    """Lines with an equal value in some block."""
+    keys, there = line_dedup.block_keys(pa.array(lines, pa.large_string()))
+    met = {}
+    for i in range(len(lines)):
+        for b in np.flatnonzero(there[i]).tolist():
+            met.setdefault((b, int(keys[i, b])), []).append(i)
+    return sorted({pair for own in met.values() for pair in combinations(own, 2)})
+
+
 def brute_lines(rows):
     found = [(key, line) for key, text in sorted(rows) for line in text.split("\n")]
     plain = line_dedup.normalised(pa.array([x for _, x in found], pa.large_string())).to_pylist()
     different = sorted(set(plain) - {""})
     groups, place = Groups(len(different)), {x: i for i, x in enumerate(different)}
-    for i, j in near_pairs(line_dedup.simhashes(pa.array(different, pa.large_string())), line_dedup.RADIUS):
+    for i, j in sharing_pairs(different):
         if line_dedup.similar(different[i], different[j]):
             groups.join(i, j)
     seen, out = set(), {key: [] for key, _ in rows}
@@ -187,30 +198,47 @@ def test_line_dedup_of_odd_rows(spark):
     assert line_dedup.dedup_lines(table(spark).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("n", [20, 200])
-def test_links_of_small_and_large_buckets(n):
+@pytest.mark.parametrize("n", [2, 6, 20, 200])
+@pytest.mark.parametrize("cross", [False, True])
+def test_links_of_small_and_large_units(n, cross):
     draw = random.Random(n)
-    base = [draw.getrandbits(64) for _ in range(4)]
-    words = ["".join(draw.choice("abc") for _ in range(40)) for _ in base]
-    prints, lines = [], []
+    words = ["".join(draw.choice("abc") for _ in range(40)) for _ in range(4)]
+    lines = []
     for _ in range(n):
-        k = draw.randrange(4)
-        x, line = base[k], list(words[k])
-        for _ in range(draw.randint(0, 3)):
-            x ^= 1 << draw.randrange(64)
-        for _ in range(draw.randint(0, 8)):
+        line = list(words[draw.randrange(4)])
+        for _ in range(draw.randint(0, 9)):
             line[draw.randrange(40)] = draw.choice("abc")
-        prints.append(x)
-        lines.append("".join(line))
-    blocks = [draw.randrange(3) for _ in range(n)]
-    for pair in (0, 4):
-        for cross in (None, blocks):
-            want, found = Groups(n), Groups(n)
-            for i, j in near_pairs(np.array(prints, np.uint64), line_dedup.RADIUS):
-                first = next((k for k, m in enumerate(line_dedup.PAIR_MASKS) if not (prints[i] ^ prints[j]) & m), None)
-                shared = all((prints[i] ^ prints[j]) & m for m in line_dedup.PAIR_MASKS[:pair])
-                if shared and first is not None and (cross is None or blocks[i] != blocks[j]) and line_dedup.similar(lines[i], lines[j]):
-                    want.join(i, j)
-            for a, b in line_dedup.links_of(pair, list(range(n)), prints, lines, cross, 0.8):
-                found.join(a, b)
-            assert all((found.root(i) == found.root(j)) >= (want.root(i) == want.root(j)) for i in range(n) for j in range(i))
+        lines.append("".join(line[: draw.randint(34, 40)]))
+    roots = [i if draw.random() < 0.7 else draw.randrange(i + 1) for i in range(n)]
+    roots = [roots[r] for r in roots]
+    blocks = [draw.randrange(3) for _ in range(n)] if cross else None
+    want, found = Groups(n), Groups(n)
+    for i in range(n):
+        want.join(i, next(j for j in range(n) if roots[j] == roots[i]))
+        found.join(i, next(j for j in range(n) if roots[j] == roots[i]))
+    for i, j in combinations(range(n), 2):
+        if (blocks is None or blocks[i] != blocks[j]) and line_dedup.similar(lines[i], lines[j]):
+            want.join(i, j)
+    links = line_dedup.links_of(list(range(n)), roots, lines, blocks, 0.8)
+    for a, b in links:
+        assert line_dedup.similar(lines[a], lines[b])
+        found.join(a, b)
+    assert len(links) < n
+    assert [found.root(i) for i in range(n)] == [want.root(i) for i in range(n)]
+
+
+def test_blocks_of_a_line():
+    base = [f"{chr(97 + i)}{'xyz' * (1 + i % 3)}word" for i in range(24)]
+    other = base[:5] + ["replaced"] + base[6:]
+    lines = pa.array([" ".join(base), " ".join(other), "tiny", "ab cd ef"], pa.large_string())
+    prints, letters = line_dedup.simhashes(lines)
+    assert (prints[0] != prints[1]).sum() <= 2 and (letters[0] != letters[1]).sum() <= 2
+    assert letters.sum(axis=1).tolist() == [len("".join(base)), len("".join(other)), 4, 6]
+    # by hand: a word votes with its letters, in the block of its hash
+    word = xxh64_intdigest(b"tiny", line_dedup.SEED)
+    block = (word >> 32) % line_dedup.BLOCKS
+    assert prints[2, block] == word & 0xFFFFFFFF and letters[2, block] == 4 and prints[2].astype(bool).sum() == 1
+    keys, there = line_dedup.block_keys(lines)
+    assert there.sum(axis=1).tolist()[2:] == [1, 1]
+    heavy = (letters >= line_dedup.LETTERS) & there
+    assert (keys[heavy] == prints[heavy]).all()
