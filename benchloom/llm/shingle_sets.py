@@ -1,11 +1,13 @@
 """Near-duplicate documents: groups by the Jaccard similarity of their shingle sets.
 
 Two documents are linked when the sets of their ``SHINGLE``-word shingles have a Jaccard similarity of
-``SIMILARITY`` or more, computed exactly; a group is what is connected by links.  Candidates are documents
-that share a band of MinHash values: a pair at 0.8 shares one of 24 bands of four values with a probability
+``SIMILARITY`` or more, computed exactly; a group is what is connected by links.  Candidates come two ways.
+The SimHashes of the documents are searched in BK-trees (:mod:`simhash_trees`): what is connected by links
+within two bits is a bucket.  Two bits reach hardly more than copies, so documents that share a band of MinHash
+values are a bucket as well: a pair at 0.8 shares one of 24 bands of four values with a probability
 of 0.999997, a pair that is more alike with a higher one.  Equal sets are one.
 
-Buckets of a band hold numbers only; sets are worked out again for the documents that share a bucket, and
+Buckets hold numbers only; sets are worked out again for the documents that share a bucket, and
 buckets with the same members are one.  A bucket with many members is cut into blocks: first the members of
 each block are compared, and the first ones of all blocks, then what is not connected by that is compared
 across blocks.  Pairs that are connected already are not compared.
@@ -24,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
+from . import simhash_trees
 from .batches import pieces, texts_of
 from .components import components
 from .folders import stored
@@ -78,23 +81,25 @@ def _print(hashes: np.ndarray) -> int:
 
 
 def set_prints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bands: bool = False) -> DataFrame:
-    """``key`` and ``fp``, a hash of the shingle set as a signed long, and with ``bands`` the keys of the bands."""
+    """``key`` and ``fp``, a hash of the shingle set as a signed long, and with ``bands`` the keys of the bands and the ``simhash``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            prints, keys = [], []
+            prints, keys, simhashes = [], [], []
             for x in texts_of(piece, "text").to_pylist():
                 hashes = shingle_set(x, shingle)
                 prints.append(_print(hashes))
                 if bands:
                     keys.append(bands_of(hashes).view(np.int64))
+                    simhashes.append(simhash_trees.fingerprint(x))
             columns = [piece.column(0), pa.array(np.array(prints, np.uint64).view(np.int64))]
-            columns += [pa.array(keys, pa.list_(pa.int64()))] if bands else []
-            yield pa.RecordBatch.from_arrays(columns, ["key", "fp", "bands"][: len(columns)])
+            if bands:
+                columns += [pa.array(keys, pa.list_(pa.int64())), pa.array(np.array(simhashes, np.uint64).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "fp", "bands", "simhash"][: len(columns)])
 
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, fp long" + (", bands array<bigint>" if bands else ""))
+    return rows.mapInArrow(run, f"key {kind}, fp long" + (", bands array<bigint>, simhash long" if bands else ""))
 
 
 def set_table(df: DataFrame, text: str, shingle: int = SHINGLE) -> DataFrame:
@@ -166,11 +171,19 @@ def _linked(units: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return dealt.repartition("bucket", "unit").sortWithinPartitions("bucket", "unit", "fp").mapInArrow(run, "a long, b long")
 
 
+def _tree_buckets(prints: DataFrame) -> DataFrame:
+    """``bucket, fp``: the sets whose SimHashes are connected by links that the BK-trees find."""
+    marks = stored(prints.select("fp", "simhash").distinct(), "simhashes")
+    roots = components(simhash_trees.link(marks.select(F.col("simhash").alias("fp")).distinct()))
+    rooted = marks.join(roots.withColumnRenamed("node", "simhash"), "simhash", "left")
+    return rooted.select(F.xxhash64(F.lit("simhash"), F.coalesce("root", "simhash")).alias("bucket"), "fp").distinct()
+
+
 def groups(df: DataFrame, prints: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
-    """``fp, group_fp, component_id`` for every different set of ``prints`` (key, fp, bands)."""
+    """``fp, group_fp, component_id`` for every different set of ``prints`` (key, fp, bands, simhash)."""
     different = prints.groupBy("fp").agg(F.min("key").alias("first"), F.min("bands").alias("bands"))
     different = stored(different, "shingle-sets")
-    rows = different.select(F.explode("bands").alias("bucket"), "fp")
+    rows = different.select(F.explode("bands").alias("bucket"), "fp").unionByName(_tree_buckets(prints))
     # of buckets with the same members one is enough
     members = F.sum(F.xxhash64("fp").cast("decimal(38,0)"))
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), members.alias("members")).where("n > 1")

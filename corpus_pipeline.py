@@ -31,7 +31,10 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group whose five-word shingles have a Jaccard similarity of 0.8 or more."""
+    """Keep one document of each group whose five-word shingles have a Jaccard similarity of 0.8 or more.
+
+    Candidates are what BK-trees over SimHashes connect, and what shares a MinHash band; all are compared exactly.
+    """
     prints = stored(shingle_sets.set_prints(docs, bands=True), "prints")
     found = shingle_sets.groups(docs, prints)
     return simhash_trees.keep_first(docs, "doc_id", "text", prints.select("key", "fp"), found, shingle_sets.set_prints)

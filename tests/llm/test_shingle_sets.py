@@ -6,6 +6,7 @@ import pytest
 
 import corpus_pipeline
 from benchloom.llm import shingle_sets
+from benchloom.llm.simhash_trees import fingerprint
 from tests.llm.test_near_duplicates import Groups
 
 
@@ -57,3 +58,22 @@ def test_bands_find_pairs_at_the_border():
         assert shingle_sets.similar(a, b)
         met += bool((shingle_sets.bands_of(a) == shingle_sets.bands_of(b)).any())
     assert met == pairs
+
+
+def test_near_dedup_searches_the_simhash_trees(spark, monkeypatch):
+    """Copies without a common MinHash band are found by the trees, and compared exactly."""
+    draw = random.Random(3)
+    texts = []
+    for _ in range(30):
+        base = [f"w{draw.randrange(20_000)}" for _ in range(600)]
+        texts += [" ".join(base), " ".join(base[:-1] + ["other"])]
+    # the same SimHash of repeated shingles, but no similar sets
+    texts += ["b " * 50 + "x y z", "b " * 50 + "u v w p q"]
+    near = {i for i in range(1, 60, 2) if (fingerprint(texts[i - 1]) ^ fingerprint(texts[i])).bit_count() <= 2}
+    assert len(near) > 10 and (fingerprint(texts[-1]) ^ fingerprint(texts[-2])).bit_count() <= 2
+    draws = shingle_sets.np.random.default_rng(4)
+    monkeypatch.setattr(shingle_sets, "bands_of", lambda hashes: draws.integers(0, 1 << 63, 24, "u8"))
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    near_dedup = dict(corpus_pipeline.STAGES)["near_dedup"]
+    kept = {r["doc_id"] for r in near_dedup(spark, docs.coalesce(1), "").collect()}
+    assert kept == set(range(len(texts))) - near
