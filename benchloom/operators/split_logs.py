@@ -200,6 +200,7 @@ def diff_files(lines: DataFrame, keys: Keys = ("path",), strict: bool = False, a
     named = compute_once(sections, [*keys, "_section", "_diff"], patches.header_key(F.col("_diff"), strict), "file").where(F.length("file") > 0)
     # of several sections of one file the last counts, at the place of the first
     newest = named.groupBy(*keys, "file").agg(F.min("_section").alias("_first"), F.max("_section").alias("_section"))
-    placed = newest.join(named.drop("file"), [*keys, "_section"])
+    # places are counted before the texts are joined: these move once, to their section
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("_first")) - 1
-    return placed.select(*keys, place.alias("position"), "file", F.col("_diff").alias("diff"))
+    placed = newest.select(*keys, "_section", "file", place.alias("position"))
+    return named.drop("file").join(placed, [*keys, "_section"]).select(*keys, "position", "file", F.col("_diff").alias("diff"))

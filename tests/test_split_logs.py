@@ -111,3 +111,13 @@ def test_files_are_split(spark, tmp_path, cut):
     lines, _ = both(spark, tmp_path, {"a": GO * 20})
     splits = lines.select("at.path", "at.start").distinct().count()
     assert splits == 2 if cut == 1 << 20 else splits > 50
+
+
+def test_places_of_diffs_are_counted_without_their_texts(spark):
+    rows = [("l", ("p", 0, i), x) for i, x in enumerate(["diff --git a/x b/x", "+1", "diff --git a/y b/y", "+2", "diff --git a/x b/x", "+3"])]
+    lines = spark.createDataFrame(rows, "path string, at struct<path: string, start: long, id: long>, line string")
+    found = split_logs.diff_files(lines)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Window [row_number")
+    want = [(0, "x", "diff --git a/x b/x\n+3"), (1, "y", "diff --git a/y b/y\n+2")]
+    assert sorted(map(tuple, found.select("position", "file", "diff").collect())) == want
