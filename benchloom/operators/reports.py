@@ -162,12 +162,16 @@ def junit_summary(
     text: str = "text",
     keys: Keys = ("run_id",),
     need_tests: bool = False,
+    count_cases: bool = False,
 ) -> DataFrame:
     """Counters from the suite attributes, summed over all levels.
 
-    ``need_tests`` (C++ reports): a report without tests has failed.
+    ``need_tests`` (C++ reports): a report without tests has failed.  ``count_cases`` adds ``n_tests``, the
+    test rows that :func:`junit_cases` has of the report, without a second parse.
     """
     n = F.col
+    cases = F.coalesce(F.size("_cases"), F.lit(0)).cast("bigint").alias("n_tests")
+    more = [cases] if count_cases else []
     good = n("failed") + n("errors") == 0
     if need_tests:
         good = good & (n("total") > 0)
@@ -180,6 +184,7 @@ def junit_summary(
             _junit_total("_failures").alias("failed"),
             _junit_total("_errors").alias("errors"),
             _junit_total("_skipped").alias("skipped"),
+            *more,
         )
         .withColumn("passed", n("total") - n("failed") - n("errors") - n("skipped"))
         .select(
@@ -188,6 +193,7 @@ def junit_summary(
             n("total").alias("collected"),
             F.when(good, "passed").when(n("parse_error").isNull(), "failed").alias("status"),
             "parse_error",
+            *(["n_tests"] if count_cases else []),
         )
     )
 
@@ -818,7 +824,7 @@ def rust_summary(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",
 def merge_reports(summaries: DataFrame, keys: Keys = ("run_id",)) -> DataFrame:
     """One summary per run: reports without tests are dropped, counters are summed."""
     n = F.col
-    names = [c for c in (*COUNTERS, "collected") if c in summaries.columns]
+    names = [c for c in (*COUNTERS, "collected", "n_tests") if c in summaries.columns]
     good = (n("failed") + n("errors") == 0) & (n("total") > 0)
     return (
         summaries.where(n("total") > 0)

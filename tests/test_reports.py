@@ -326,3 +326,26 @@ def test_root_that_is_no_suite_counts_nothing(one, text):
     row = reports.junit_summary(df).first()
     assert (row["total"], row["failed"], row["parse_error"]) == (0, 0, None)
     assert reports.junit_cases(df).count() == 0
+
+
+def test_merging_parses_reports_once(spark):
+    from benchloom.plans import QUERIES
+
+    found = QUERIES["merge_reports"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    single = QUERIES["junit_cases"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count("from_xml") == single.count("from_xml") > 0
+
+
+def test_counted_cases_are_the_test_rows(spark):
+    texts = ['<testsuite tests="2"><testcase name="a"/><testcase name="b"/></testsuite>', '<testsuite tests="0"><testcase name="a"/></testsuite>', "<testsuite>", None, '<testsuite tests="3"/>']
+    df = spark.createDataFrame(list(enumerate(texts)), "run_id long, text string")
+    rows = reports.junit_summary(df, count_cases=True).where("total > 0").agg({"n_tests": "sum"}).first()[0]
+    assert rows == reports.junit_cases(df, skip_empty=True).count() == 2
+
+
+def test_an_attribute_is_searched_once(spark):
+    from benchloom.functions import xml
+
+    df = spark.createDataFrame([('<t name="a &amp; b">',), ("<t>",), ('<t name="">',), (None,)], "s string").select(xml.attribute(F.col("s"), "name").alias("v"))
+    assert df._jdf.queryExecution().analyzed().toString().count("regexp_extract(") == 1
+    assert [r["v"] for r in df.collect()] == ["a & b", None, "", None]
