@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import all_matches, first_group, let
+from .text import all_matches, let
 
 # The attribute part of a start tag; quoted values may hold '>'.
 ATTRIBUTES = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+"""
@@ -120,5 +120,8 @@ def escape(col: Column) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """The value of an attribute in a start tag; NULL when the tag has none."""
-    quoted = first_group(tag, rf"""[\s]{name}\s*=\s*("[^"]*"|'[^']*')""")
-    return unescape(F.substring(quoted, F.lit(2), F.length(quoted) - 2))
+    quoted = F.regexp_extract(tag, rf"""[\s]{name}\s*=\s*("[^"]*"|'[^']*')""", 1)
+    inner = lambda found: F.substring(found, F.lit(2), F.length(found) - 2)
+    plain = lambda found: F.when(F.contains(found, F.lit("&")), unescape(inner(found))).otherwise(inner(found))
+    # searched once: unescaping reads its text many times
+    return let(quoted, lambda found: F.when(found != "", plain(found)))

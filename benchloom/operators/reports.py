@@ -253,11 +253,13 @@ def _surefire_tags(case: Column) -> Column:
 
 
 def _surefire_state(tags: Column) -> Column:
-    last_name = F.regexp_extract(last(tags), r"^<([\w-]+)", 1)
-    state = F.lit("passed")
-    for tag, name in SUREFIRE_STATE.items():
-        state = F.when(last_name == tag, name).otherwise(state)
-    return state
+    def state_of(last_name: Column) -> Column:
+        state = F.lit("passed")
+        for tag, name in SUREFIRE_STATE.items():
+            state = F.when(last_name == tag, name).otherwise(state)
+        return state
+
+    return let(F.regexp_extract(last(tags), r"^<([\w-]+)", 1), state_of)
 
 
 def surefire_cases(reports: DataFrame, text: str = "text", keys: Keys = ("run_id",)) -> DataFrame:
@@ -273,18 +275,19 @@ def surefire_cases(reports: DataFrame, text: str = "text", keys: Keys = ("run_id
     newest = lambda names: last(F.filter("_tags", lambda tag: name_of(tag).isin(*names)))
 
     def text_of(tag: Column) -> Column:
-        start = start_of(tag)
-        told = F.when(~start.endswith("/>"), own_text(F.substring(tag, F.length(start) + 1, F.length(tag))))
-        return F.when(told != "", told)
+        behind = lambda start: F.when(~start.endswith("/>"), F.substring(tag, F.length(start) + 1, F.length(tag)))
+        told = let(let(start_of(tag), behind), own_text)
+        return let(told, lambda x: F.when(x != "", x))
 
     good = _surefire_root(reports, text, keys).where(n("parse_error").isNull())
     good = good.withColumn("suite", attribute(n("_root"), "name"))
     rows = explode_rows(good, [*keys, "suite"], _surefire_texts(n("_xml")), value="_case")
     tagged = compute_once(rows, [*keys, "suite", "pos"], _surefire_tags(n("_case")), "_tags")
-    chosen = tagged.select(
-        *keys, "suite", "pos", F.get("_tags", F.lit(0)).alias("_head"), _surefire_state(n("_tags")).alias("status"),
+    found = F.struct(
+        F.get("_tags", F.lit(0)).alias("_head"), _surefire_state(n("_tags")).alias("status"),
         newest(SUREFIRE_FAULTS).alias("_fault"), newest((*SUREFIRE_FAULTS, "skipped")).alias("_told"), newest(("system-err",)).alias("_system"),
     )
+    chosen = compute_once(tagged, [*keys, "suite", "pos"], found, "_found").select(*keys, "suite", "pos", "_found.*")
     return chosen.select(
         *keys, "suite", "pos",
         attribute(start_of(n("_head")), "name").alias("name"),
