@@ -222,13 +222,26 @@ def link_cardinality(mappings: DataFrame, side: str) -> DataFrame:
     )
 
 
+def link_flags(mappings: DataFrame, side: str) -> DataFrame:
+    """``repo_name``, the number of one side and its ``ok`` as in :func:`link_cardinality`.
+
+    Whether a number has one distinct counterpart, none or several shows in the least and the greatest one, so
+    links are not made distinct: one aggregation, combined before its exchange.
+    """
+    other = "pr_number" if side == "issue" else "issue_number"
+    links = mappings.where("repo_name IS NOT NULL AND issue_number IS NOT NULL AND pr_number IS NOT NULL")
+    of = lambda kind: F.when(F.col("type") == kind, F.col(other))
+    ends = [f(of(kind)).alias(f"_{name}_{kind}") for kind in ("linked", "referenced") for name, f in (("min", F.min), ("max", F.max))]
+    one = lambda kind: F.coalesce(F.col(f"_min_{kind}") == F.col(f"_max_{kind}"), F.lit(False))
+    ok = one("linked") | (F.col("_min_linked").isNull() & one("referenced"))
+    return links.groupBy("repo_name", f"{side}_number").agg(*ends).select("repo_name", f"{side}_number", ok.alias(f"{side}_ok"))
+
+
 def validate_mappings(mappings: DataFrame) -> DataFrame:
     """Flag every mapping row: is its issue, its pull request, are both unambiguous?"""
     rows = mappings
     for side in ("issue", "pr"):
-        flags = link_cardinality(mappings, side).select(
-            "repo_name", f"{side}_number", F.col(f"{side}_ok").alias(f"map_{side}_ok")
-        )
+        flags = link_flags(mappings, side).withColumnRenamed(f"{side}_ok", f"map_{side}_ok")
         rows = rows.join(flags, ["repo_name", f"{side}_number"], "left")
     return rows.withColumn("map_issue_pr_ok", F.col("map_issue_ok") & F.col("map_pr_ok"))
 
@@ -268,7 +281,7 @@ def changed_flags(validated: DataFrame, new: DataFrame) -> DataFrame:
     for side in SIDES:
         # only touched numbers have rows here, and all of their rows are
         linked = met.where(f"_{side}").select(*columns).unionByName(new)
-        fresh = link_cardinality(linked, side).select("repo_name", f"{side}_number", F.col(f"{side}_ok").alias("_fresh"))
+        fresh = link_flags(linked, side).withColumnRenamed(f"{side}_ok", "_fresh")
         rows = rows.join(fresh, ["repo_name", f"{side}_number"], "left")
         rows = rows.withColumn(f"map_{side}_ok", F.coalesce("_fresh", f"map_{side}_ok")).drop("_fresh")
     return rows.withColumn("map_issue_pr_ok", F.col("map_issue_ok") & F.col("map_pr_ok")).select(*columns, *FLAGS)
@@ -329,17 +342,14 @@ def flatten_comments(edges: Column) -> Column:
 def enrich_mappings(validated: DataFrame, prs: DataFrame, issues: DataFrame) -> DataFrame:
     """Add texts and comments to the valid rows; all other rows pass through unenriched.
 
-    A row is enriched only when both of its details exist.  Only details of numbers that
-    a valid row names are looked at, and reduced to one per number; the flag is part of
-    the join condition, not of the join key, so invalid rows stay spread over the numbers.
+    A row is enriched only when both of its details exist.  Details are reduced to one per number
+    before they travel; the flag is part of the join condition, not of the join key, so invalid rows
+    stay spread over the numbers.
     """
-    valid = validated.where("map_issue_pr_ok")
 
     def details(df: DataFrame, side: str) -> DataFrame:
-        named = valid.select("repo_name", F.col(f"{side}_number").alias("number")).distinct()
         value = F.struct("title", "body", flatten_comments(F.col("comments.edges")).alias("comments"))
-        wanted = df.join(named, ["repo_name", "number"], "left_semi")
-        one = wanted.groupBy("repo_name", "number").agg(F.any_value(value).alias(f"_{side}"))
+        one = df.groupBy("repo_name", "number").agg(F.any_value(value).alias(f"_{side}"))
         return one.withColumnsRenamed({"repo_name": f"_{side}_repo", "number": f"_{side}_no"})
 
     rows = validated

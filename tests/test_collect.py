@@ -151,3 +151,26 @@ def test_flags_after_batches_equal_those_of_all_rows(spark):
     assert found(validated) == found(collect.validate_mappings(frame(rows)))
     one = frame(rows[:1])
     assert collect.changed_flags(validated, one).count() < 40
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_flags_need_no_distinct_links(spark):
+    """One aggregation for each side; flags as counted from distinct links, with repeated links and nulls."""
+    rows = [("r", i % 7 or None, i * i % 11 if i % 5 else None, ("linked", "referenced", "other", None)[i * 3 % 4]) for i in range(90)] * 2
+    rows += [("r", 100, 200, "linked"), ("r", 100, 201, "referenced"), ("r", 101, 202, "referenced"), (None, 1, 2, "linked")]
+    df = spark.createDataFrame(rows, "repo_name string, issue_number long, pr_number long, type string")
+    assert _optimized(collect.validate_mappings(df)).count("Aggregate [") == 2
+    for side in ("issue", "pr"):
+        want = collect.link_cardinality(df, side).select("repo_name", f"{side}_number", f"{side}_ok")
+        assert sorted(map(tuple, want.collect())) == sorted(map(tuple, collect.link_flags(df, side).collect()))
+
+
+def test_enriching_computes_the_mappings_once(spark):
+    df = spark.createDataFrame([("r", 1, 2, "linked")], "repo_name string, issue_number long, pr_number long, type string")
+    edges = "named_struct('edges', array(named_struct('node', named_struct('author', named_struct('login', 'u'), 'body', 'b', 'createdAt', 'd'))))"
+    detail = df.selectExpr("repo_name", "cast(2 AS bigint) AS number", "'t' AS title", "'b' AS body", f"{edges} AS comments")
+    out = collect.enrich_mappings(collect.validate_mappings(df), detail, detail.selectExpr("repo_name", "1L AS number", "title", "body", "comments"))
+    assert _optimized(out).count("Join Left") == 4 and out.first()["pr_title"] == "t"
