@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schemas
+from ..functions.text import compute_once
 
 # Lines per leaf of the tree that the range join uses.
 BLOCK = 128
@@ -100,22 +101,29 @@ def source_hash(source: Column) -> Column:
 
 
 def parse_distinct(
-    files: DataFrame, path: str = "path", source: str = "source", keys: Keys = (), errors: bool = False, cache: str | None = None
+    files: DataFrame, path: str = "path", source: str = "source", keys: Keys = (), errors: bool = False, cache: str | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """:func:`parse_definitions` in which equal sources are parsed once, whatever files and runs they are in.
 
     Snapshots of a repository share most files.  A source is known by its hash; definitions of a hash are joined back to
     all files that have it and named after them.  With ``cache`` the parsed hashes stay in that folder, and later
-    calls parse only what is new.
+    calls parse only what is new.  With ``folder`` the files are written there with their hashes: two parts of the
+    plan read them, and a source that is computed may cost more than its parse.
     """
-    files = files.where(F.col(source).isNotNull())
-    texts = files.select(source_hash(F.col(source)).alias("_hash"), F.col(source).alias("_source"))
+    # a filter on a computed source would be pushed down with a copy of what computes it
+    files = compute_once(files, [*keys, F.col(path).alias("_path")], F.col(source), "_source").where("_source IS NOT NULL")
+    files = files.withColumn("_hash", source_hash(F.col("_source")))
+    if folder is not None:
+        files.write.mode("overwrite").parquet(folder)
+        files = files.sparkSession.read.schema(files.schema).parquet(folder)
+    texts = files.select("_hash", "_source")
     texts = texts.groupBy("_hash").agg(F.first("_source").alias("_source"))
     if cache is None:
         found = parse_definitions(texts, "_hash", "_source", errors=True)
     else:
         found = _cached(texts, cache)
-    places = files.select(*keys, F.col(path).alias("_path"), source_hash(F.col(source)).alias("_hash"))
+    places = files.select(*keys, "_path", "_hash")
     joined = places.join(found.withColumnRenamed("fn", "_hash"), "_hash")
     names = [c for c in found.columns if c not in ("fn", "source")]
     named = F.concat_ws(":", "_path", F.substring(F.col("source"), F.lit(66), F.length("source")))
@@ -244,7 +252,9 @@ def tree_nodes(first: Column, last: Column) -> Column:
         inside = F.when(a <= c, F.filter(F.array_distinct(ends), parent_out)).otherwise(F.array().cast("array<bigint>"))
         return F.transform(inside, lambda i: F.struct(k.alias("k"), i.alias("i")))
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), _level(last - first + 1)), at))
+    nodes = F.flatten(F.transform(F.sequence(F.lit(0), _level(last - first + 1)), at))
+    # most definitions lie in one block
+    return F.when(first == last, F.array(F.struct(F.lit(0).alias("k"), first.alias("i")))).otherwise(nodes)
 
 
 def line_intervals(

@@ -152,15 +152,19 @@ def collect_tasks(
     ``contexts`` holds the covered lines (``fn, line, context``), ``outcomes`` the
     results of the test runs (``nodeid, outcome``); ``keys`` are the columns that tell
     runs apart in all three.  With ``folder`` the parsed definitions are written there as
-    Parquet and read again.  Equal sources are parsed once; with ``cache`` also across calls.
+    Parquet and read again; until then the files are kept beside it.  Equal sources are parsed once; with ``cache`` also
+    across calls.
     """
     collect.require_columns(files, (*keys, path, source))
     collect.require_columns(contexts, (*keys, *schemas.CONTEXTS))
     collect.require_columns(outcomes, (*keys, *schemas.OUTCOMES))
-    definitions = coverage.latest_definitions(coverage.parse_distinct(files, path, source, keys, cache=cache), keys)
+    spark, beside = files.sparkSession, None if folder is None else f"{folder.rstrip('/')}-files"
+    definitions = coverage.latest_definitions(coverage.parse_distinct(files, path, source, keys, cache=cache, folder=beside), keys)
     if folder is not None:
         definitions.write.mode("overwrite").parquet(folder)
-        definitions = files.sparkSession.read.schema(definitions.schema).parquet(folder)
+        definitions = spark.read.schema(definitions.schema).parquet(folder)
+        gone = spark._jvm.org.apache.hadoop.fs.Path(beside)
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
     spot = [*keys, "fn", "l", "r"]
     spans = definitions.select(*spot, "seq")
     tests = coverage.definition_tests(contexts, spans, unique=True, keys=keys)
