@@ -243,3 +243,28 @@ def test_blocks_of_a_line():
     assert there.sum(axis=1).tolist()[2:] == [1, 1]
     heavy = (letters >= line_dedup.LETTERS) & there
     assert (keys[heavy] == prints[heavy]).all()
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh "])
+def test_bounds_of_the_edit_distance(letters):
+    """The band and the counts of pairs never contradict the distance; long lines that differ are left early."""
+    draw = random.Random(3)
+    for _ in range(2000):
+        a = [draw.choice(letters) for _ in range(draw.randint(1, 60))]
+        b = list(a)
+        for _ in range(draw.randint(0, len(a) // 2)):
+            at = draw.randrange(len(b) + 1)
+            b[at : at + draw.randint(0, 1)] = draw.choice(["", draw.choice(letters)])
+        a, b = sorted(("".join(a), "".join(b)), key=len, reverse=True)
+        distance = line_dedup.edit_distance(a, b)
+        assert line_dedup._edits_at_least(*(line_dedup._pair_counts(x) for x in (a, b))) <= distance
+        for allowed in (0, 1, 3, 8):
+            if len(a) - len(b) <= allowed < len(b):
+                assert line_dedup._within(a, b, allowed) == (distance <= allowed)
+
+
+def test_lines_are_normalised_as_by_hand():
+    given = ["  A--b  00 1234x", "", "٣٤12 Ⅷ½ x", "a—b…c 日本語、テ", "0 0  0", "é́ ß", "...", "0", "00"]
+    want = ["a b 0 0x", "", "0 0 x", "a b c 日本語 テ", "0 0 0", "é ß", "", "0", "0"]
+    for lines in (pa.array(given, pa.large_string()), pa.array(["00", *given], pa.large_string())[1:]):
+        assert line_dedup.normalised(lines).to_pylist() == want
