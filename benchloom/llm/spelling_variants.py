@@ -3,7 +3,7 @@
 Letters are hashed to a few symbols, so a word becomes a reduced word of the same length.  Words that
 differ by one inserted, deleted or replaced letter have reduced words that are equal or differ by one such
 edit, therefore one reduced word lies in the one-edit neighbourhood of the other.  The neighbourhoods are
-generated, joined with the reduced vocabulary, and each candidate is verified on the original strings.
+generated as 64-bit codes, joined with the reduced vocabulary, and each candidate is verified on the original strings.
 
 The neighbourhoods of both words hold each other, so a pair would be met twice.  Each is met once: an
 insertion is seen as the deletion from the longer word, a replacement from the smaller symbol upwards, and
@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .batches import pieces, ranges, texts_of
+from .batches import flat_bytes, pieces, ranges, texts_of
 from .folders import discard, store, stored
 
 SHORTEST = 7
@@ -51,6 +51,14 @@ _LETTER = ((_LOWER >= ord("a")) & (_LOWER <= ord("z"))) | (_BYTES == LEAD)
 #: Longer runs are hashed one by one.
 HASHED_TOGETHER = 64
 
+#: Factor from one place of a reduced word to the next, and the values of its symbols.
+BASE = np.uint64(0x9E3779B97F4A7C15)
+VALUES = np.random.default_rng(41).integers(1, 1 << 64, MOST_SYMBOLS, np.uint64)
+#: Letters up to which a word is carried by each of its neighbours.
+CARRIED = 64
+#: Codes that are worked out or sent together, and letters that are read together.
+CELLS, PIECE_LETTERS = 1 << 20, 1 << 20
+
 
 def _crc_table() -> np.ndarray:
     table = np.arange(256, dtype=np.uint32)
@@ -148,31 +156,90 @@ def reduced(word: Column, symbols: int) -> Column:
     return F.regexp_replace(known, r"[^a-z]", string.ascii_lowercase[0])
 
 
-def neighbours(word: Column, symbols: int) -> Column:
-    """The reduced words that are equal to a reduced word, lack one of its symbols, or have one raised."""
-    places = F.sequence(F.lit(1), F.length(word))
-    before = lambda i: word.substr(F.lit(1), i - 1)
-    behind = lambda i: word.substr(i + 1, F.length(word))
-    shorter = F.transform(places, lambda i: F.concat(before(i), behind(i)))
-    alphabet = string.ascii_lowercase[:symbols]
+def _places(size: int) -> tuple[np.ndarray, np.uint64]:
+    """Powers of an odd number modulo 2^64, one for each place of a word, and its inverse."""
+    powers = np.full(size, BASE, np.uint64)
+    powers[:1] = 1
+    return np.cumprod(powers), np.uint64(pow(int(BASE), -1, 1 << 64))
+
 
-    def raised(i: Column) -> Column:
-        larger = F.lit(alphabet).substr(F.position(word.substr(i, F.lit(1)), F.lit(alphabet)) + 1, F.lit(symbols))
-        return F.transform(F.filter(F.split(larger, ""), lambda s: s != ""), lambda s: F.concat(before(i), s, behind(i)))
+def near_codes(words: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """The code of each of the reduced words in the rows of a matrix, all of one length, and codes of a half of its neighbourhood.
 
-    return F.array_distinct(F.concat(F.array(word), shorter, F.flatten(F.transform(places, raised))))
+    The neighbourhood is the word itself, what it is without one of its symbols, and with one raised.  A code is a sum over the symbols,
+    so those of the neighbours follow from it; no neighbour is spelled.  A row of codes is sorted and may repeat some.
+    """
+    powers, inverse = _places(words.shape[1])
+    parts = VALUES[words] * powers
+    ends = np.cumsum(parts, axis=1)
+    own = parts.sum(axis=1, keepdims=True, dtype=np.uint64)
+    found = [own, ends - parts + (own - ends) * inverse]
+    for symbol in range(1, symbols):
+        found.append(np.where(words < symbol, own - parts + VALUES[symbol] * powers, own))
+    return own[:, 0].view(np.int64), np.sort(np.concatenate(found, axis=1).view(np.int64), axis=1)
+
+
+def coded(forms: DataFrame, symbols: int, near: bool) -> DataFrame:
+    """``word, own`` of ``word, short``: the code of the reduced word; with ``near`` its neighbours in ``codes``, maybe in several rows."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "short", PIECE_LETTERS):
+            data, starts = flat_bytes(x.encode() for x in batch.column("short").to_pylist())
+            sizes = np.diff(starts)
+            for size in np.unique(sizes).tolist():
+                of_size = np.flatnonzero(sizes == size)
+                # matrices of bounded size; a longer word is one by itself
+                for at in np.split(of_size, range(0, len(of_size), max(1, CELLS // max(1, size * symbols)))[1:]):
+                    words = data[starts[at][:, None] + np.arange(size)] - ord("a")
+                    if not near:
+                        own = (VALUES[words] * _places(size)[0]).sum(axis=1, dtype=np.uint64).view(np.int64)
+                        yield pa.RecordBatch.from_arrays([batch.column("word").take(pa.array(at)), pa.array(own)], ["word", "own"])
+                        continue
+                    own, codes = near_codes(words, symbols)
+                    new = np.ones(codes.shape, bool)
+                    new[:, 1:] = codes[:, 1:] != codes[:, :-1]
+                    ends, codes = np.cumsum(new.sum(axis=1)), codes[new]
+                    if len(at) == 1:
+                        cuts = np.append(np.arange(0, len(codes), CELLS), len(codes))
+                    else:
+                        cuts = np.append(0, ends)
+                    for some in np.array_split(np.arange(len(cuts) - 1), max(1, -(-len(codes) // CELLS))):
+                        row = np.minimum(some, len(at) - 1)
+                        part = codes[cuts[some[0]] : cuts[some[-1] + 1]]
+                        lists = pa.ListArray.from_arrays((np.append(cuts[some], cuts[some[-1] + 1]) - cuts[some[0]]).astype(np.int32), part)
+                        columns = [batch.column("word").take(pa.array(at[row])), pa.array(own[row]), lists]
+                        yield pa.RecordBatch.from_arrays(columns, ["word", "own", "codes"])
+
+    kind = forms.schema["word"].dataType.simpleString()
+    return forms.mapInArrow(run, f"word {kind}, own long" + (", codes array<long>" if near else ""))
+
+
+def _met(near: DataFrame, held: DataFrame, symbols: int) -> DataFrame:
+    """``a, b``: the words of ``held`` (word, short) in the neighbourhoods of those of ``near``."""
+    around = coded(near, symbols, True).select(F.col("word").alias("a"), "own", F.explode("codes").alias("code"))
+    around = around.select("a", "code", (F.col("code") == F.col("own")).alias("same"))
+    # equal reduced words meet from both sides
+    met = around.join(coded(held, symbols, False).select(F.col("word").alias("b"), F.col("own").alias("code")), "code")
+    return met.where(~F.col("same") | (F.col("a") < F.col("b"))).select("a", "b")
 
 
 def links(words: DataFrame, symbols: int | None = None) -> DataFrame:
     """``a, b``: every pair of different words that are one edit apart, once; ``words`` has ``word``, each once."""
     symbols = symbols or symbols_for(words.count())
+    words = words.where("word IS NOT NULL")
     forms = words.select("word", reduced(F.col("word"), symbols).alias("short"))
-    near = forms.select(F.col("word").alias("a"), F.explode(neighbours(F.col("short"), symbols)).alias("near"), "short")
-    # equal reduced words meet from both sides
-    near = near.select("a", F.xxhash64("near").alias("code"), (F.col("near") == F.col("short")).alias("same"))
-    held = forms.select(F.col("word").alias("b"), F.xxhash64("short").alias("code"))
-    met = near.join(held, "code").where(~F.col("same") | (F.col("a") < F.col("b")))
-    return met.where(F.levenshtein("a", "b", 1) == 1).select("a", "b")
+    size = F.length("word")
+    one_edit = F.levenshtein("a", "b", 1) == 1
+    found = _met(forms.where(size <= CARRIED), forms.where(size <= CARRIED), symbols).where(one_edit)
+    long = words.where(size >= CARRIED).select("word", F.xxhash64("word").alias("id"))
+    if long.where(size > CARRIED).isEmpty():
+        return found
+    # a long word has many neighbours: they carry a number instead of it
+    numbered = long.select(F.col("id").alias("word"), reduced(F.col("word"), symbols).alias("short"), size.alias("size"))
+    met = _met(numbered.where(F.col("size") > CARRIED).select("word", "short"), numbered.select("word", "short"), symbols)
+    for name in ("a", "b"):
+        met = met.withColumnRenamed(name, "id").join(long.withColumnRenamed("word", name), "id").drop("id")
+    return found.unionByName(met.where(one_edit))
 
 
 def roots(forms: DataFrame) -> DataFrame:

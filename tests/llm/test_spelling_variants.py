@@ -90,6 +90,27 @@ def test_any_number_of_symbols(spark, symbols):
     assert {tuple(r) for r in spelling_variants.variants(held, symbols=symbols).collect()} == brute(words)
 
 
+def test_long_words(spark):
+    """A run of letters has as many neighbours as letters and more: they are not spelled, nor do they carry it."""
+    rng = np.random.default_rng(5)
+    letters = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzéü"), 40_000))
+    edges = [letters[: spelling_variants.CARRIED + i] for i in range(-2, 3)]
+    words = {letters: 90, letters[:20_000] + letters[20_001:]: 9, letters[:-1] + "é": 2, letters[1:] + "aa": 4}
+    words |= {x: 2 + 30 * i for i, x in enumerate(edges)} | {edges[2][:-1] + "ü": 5, edges[4][:-1] + "ü": 3, "ab" * 5000: 70, "ab" * 5000 + "a": 7}
+    held = spark.createDataFrame([*words.items()], "word string, n long")
+    assert {tuple(r) for r in spelling_variants.variants(held).collect()} == brute(words)
+
+
+def test_codes_of_neighbours():
+    """A code of a neighbour is the code of the word that it is."""
+    words = np.random.default_rng(7).integers(0, 3, (5, 6))
+    code = lambda x: int((spelling_variants.VALUES[list(x)] * spelling_variants._places(len(x))[0]).sum(dtype=np.uint64).view(np.int64))
+    for word, own, codes in zip(words.tolist(), *spelling_variants.near_codes(words.astype(np.uint8), 3)):
+        near = {tuple(word)} | {(*word[:i], *word[i + 1 :]) for i in range(6)}
+        near |= {(*word[:i], s, *word[i + 1 :]) for i in range(6) for s in range(word[i] + 1, 3)}
+        assert own == code(word) and set(codes.tolist()) == {code(x) for x in near}
+
+
 def test_ties_and_chains(spark):
     words = {"colored": 2, "coloured": 25, "colouredx": 260, "colouredy": 260, "colouredxx": 30_000, "lonelyword": 7}
     rows = {r.word: r for r in spelling_variants.variants(spark.createDataFrame([*words.items()], "word string, n long")).collect()}
