@@ -30,6 +30,7 @@ from . import simhash_trees
 from .batches import pieces, texts_of
 from .components import components
 from .folders import stored
+from .shingles import Worded, together, worded
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -40,26 +41,28 @@ SEED = 42
 #: Documents of a bucket that are compared with each other in one unit.
 UNIT = 256
 #: Shingles whose MinHash values are worked out at a time.
-TOGETHER = 4096
+TOGETHER = 1024
+
+
+def shingle_sets(words: Worded, shingle: int = SHINGLE) -> list[np.ndarray]:
+    """The hashes of the shingles of each text, ascending."""
+    hashes, ends = words.hashes(shingle, SEED)
+    found = []
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        own = np.sort(hashes[a:b])
+        found.append(own[np.append(True, own[1:] != own[:-1])[: len(own)]])
+    return found
 
 
 def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
     """The hashes of the shingles of a text, ascending."""
-    words = text.encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
-    starts = np.zeros(len(words) + 1, np.int64)
-    np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=starts[1:])
-    n = max(1, len(words) - shingle + 1)
-    spans = zip(starts[:n].tolist(), (starts[min(shingle, len(words)) :][:n] - 1).tolist())
-    return np.unique(np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in spans), np.uint64, n))
+    return shingle_sets(worded([text]), shingle)[0]
 
 
 def _factors() -> tuple[np.ndarray, np.ndarray]:
     random = np.random.default_rng(SEED)
-    drawn = random.integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64)
-    return drawn[0] * np.uint64(2) + np.uint64(1), drawn[1]
+    drawn = random.integers(0, 1 << 32, (2, BANDS * ROWS, 1), np.uint32)
+    return drawn[0] | np.uint32(1), drawn[1]
 
 
 FACTORS, SHIFTS = _factors()
@@ -67,12 +70,13 @@ FACTORS, SHIFTS = _factors()
 
 def bands_of(hashes: np.ndarray) -> np.ndarray:
     """One key for each band of a set."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), TOGETHER):
-        # the high half of a product depends on all bits of the hash
-        mixed = (hashes[at : at + TOGETHER, None] ^ SHIFTS) * FACTORS
-        mixed ^= mixed >> np.uint64(32)
-        least = np.minimum(least, (mixed * FACTORS).min(axis=0))
+    # the hashes are mixed already: an odd factor and a shift give another order of their high halves
+    high = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(high), TOGETHER):
+        mixed = high[at : at + TOGETHER] * FACTORS
+        mixed += SHIFTS
+        least = np.minimum(least, mixed.min(axis=1))
     return np.array([xxh64_intdigest(x.tobytes(), i) for i, x in enumerate(least.reshape(BANDS, ROWS))], np.uint64)
 
 
@@ -86,15 +90,16 @@ def set_prints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             prints, keys, simhashes = [], [], []
-            for x in texts_of(piece, "text").to_pylist():
-                hashes = shingle_set(x, shingle)
-                prints.append(_print(hashes))
+            for texts in together(texts_of(piece, "text").to_pylist()):
+                words = worded(texts)
+                sets = shingle_sets(words, shingle)
+                prints += map(_print, sets)
                 if bands:
-                    keys.append(bands_of(hashes).view(np.int64))
-                    simhashes.append(simhash_trees.fingerprint(x))
+                    keys += [bands_of(x).view(np.int64) for x in sets]
+                    simhashes.append(simhash_trees.simhashes(words))
             columns = [piece.column(0), pa.array(np.array(prints, np.uint64).view(np.int64))]
             if bands:
-                columns += [pa.array(keys, pa.list_(pa.int64())), pa.array(np.array(simhashes, np.uint64).view(np.int64))]
+                columns += [pa.array(keys, pa.list_(pa.int64())), pa.array(np.concatenate(simhashes).view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["key", "fp", "bands", "simhash"][: len(columns)])
 
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -107,10 +112,10 @@ def set_table(df: DataFrame, text: str, shingle: int = SHINGLE) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            for x in texts_of(piece, "text").to_pylist():
-                hashes = shingle_set(x, shingle)
-                prints = pa.array(np.array([_print(hashes)], np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([prints, pa.array([hashes.tobytes()], pa.binary())], ["fp", "hashes"])
+            for texts in together(texts_of(piece, "text").to_pylist()):
+                sets = shingle_sets(worded(texts), shingle)
+                prints = pa.array(np.array([_print(x) for x in sets], np.uint64).view(np.int64))
+                yield pa.RecordBatch.from_arrays([prints, pa.array([x.tobytes() for x in sets], pa.binary())], ["fp", "hashes"])
 
     return df.select(F.col(text).alias("text")).mapInArrow(run, "fp long, hashes binary")
 

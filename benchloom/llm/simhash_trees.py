@@ -22,11 +22,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from xxhash import xxh64_intdigest
 
 from .batches import pieces, texts_of
 from .components import components
 from .folders import stored
+from .shingles import Worded, together, worded
 
 SEED = 42
 SHINGLE = 3
@@ -34,25 +34,35 @@ RADIUS = 2
 #: A shard with more fingerprints is split.
 CROWDED = 4096
 #: Hashes whose bits are counted at a time.
-HASHES = 1 << 16
+HASHES = 1 << 13
+
+
+def simhashes(words: Worded, shingle: int = SHINGLE) -> np.ndarray:
+    """The 64-bit SimHash of each text, unsigned."""
+    hashes, ends = words.hashes(shingle, SEED)
+    counts, found = np.diff(ends), np.zeros(len(ends) - 1, np.uint64)
+    there = np.flatnonzero(counts)
+    if not len(there):
+        return found
+    counts, starts = counts[there], ends[there]
+    # one byte for each bit, eight in a number: up to 255 hashes are added without a carry
+    parts = -(-counts // 255)
+    first = np.cumsum(parts) - parts
+    cuts = np.repeat(starts, parts) + 255 * (np.arange(parts.sum()) - np.repeat(first, parts))
+    some = max(1, HASHES // 255)
+    ones = []
+    for at in range(0, len(cuts), some):
+        low, high = cuts[at], cuts[at + some] if at + some < len(cuts) else len(hashes)
+        bits = np.unpackbits(hashes[low:high].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(np.uint64)
+        ones.append(np.add.reduceat(bits, cuts[at : at + some] - low, axis=0))
+    ones = np.add.reduceat(np.concatenate(ones).view(np.uint8).reshape(-1, 64), first, axis=0, dtype=np.int64)
+    found[there] = np.packbits(2 * ones > counts[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
+    return found
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     """The 64-bit SimHash of a text, unsigned."""
-    words = text.encode("utf-8", "replace").lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    starts = np.zeros(len(words) + 1, np.int64)
-    np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=starts[1:])
-    n = max(1, len(words) - shingle + 1)
-    ends = starts[min(shingle, len(words)) :][:n] - 1
-    ones = np.zeros(64, np.int64)
-    for at in range(0, n, HASHES):
-        spans = zip(starts[at : at + HASHES].tolist(), ends[at : at + HASHES].tolist())
-        hashes = np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in spans), np.uint64)
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    return int(simhashes(worded([text]), shingle)[0])
 
 
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -60,7 +70,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            found = np.fromiter((fingerprint(x, shingle) for x in texts_of(piece, "text").to_pylist()), np.uint64, piece.num_rows)
+            found = np.concatenate([simhashes(worded(x), shingle) for x in together(texts_of(piece, "text").to_pylist())])
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(found.view(np.int64))], ["key", "fp"])
 
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
